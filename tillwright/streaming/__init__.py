@@ -1,0 +1 @@
+"""Empty on purpose: every job here is a batch job over stored order lines."""
