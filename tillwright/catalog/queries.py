@@ -40,7 +40,7 @@ _REGISTERED: dict[str, Query] = {}
 
 def _query(run: Query) -> Query:
     def tuned(spark: SparkSession, folder: str) -> DataFrame:
-        return run(tune(spark), folder)
+        return run(tune(spark, folder), folder)
 
     _REGISTERED[run.__name__] = tuned
     return run
@@ -61,7 +61,7 @@ def _measures(frame: DataFrame, money: tuple[str, ...], percent: tuple[str, ...]
 
 
 def _monthly(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.monthly_sales(order_totals(spark, folder, "order_id", "order_date", "customer_id"))
+    return marts.monthly_sales(order_totals(spark, folder, "order_id", "order_date", "customer_id"), per_order=True)
 
 
 def _total_by_month(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,20 +111,20 @@ def mart_sales_by_category(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def mart_sales_by_region(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.sales_by_region(order_totals(spark, folder, "order_id", "customer_id", "region", "state"))
+    return marts.sales_by_region(order_totals(spark, folder, "order_id", "customer_id", "region", "state"), per_order=True)
 
 
 @_query
 def mart_sales_by_segment(spark: SparkSession, folder: str) -> DataFrame:
     return marts.sales_by_segment(
-        order_totals(spark, folder, "order_id", "order_date", "customer_id", "segment")
+        order_totals(spark, folder, "order_id", "order_date", "customer_id", "segment"), per_order=True
     )
 
 
 @_query
 def mart_product_performance(spark: SparkSession, folder: str) -> DataFrame:
     totals = written(_product_totals(spark, folder), "product-totals")
-    return marts.product_performance(totals).orderBy(F.desc("total_sales"))
+    return marts.product_performance(totals).orderBy(F.desc("total_sales"), "product_id")
 
 
 # Forecast features.
@@ -179,12 +179,12 @@ def top10_products_per_subcategory(spark: SparkSession, folder: str) -> DataFram
 
 @_query
 def executive_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboards.executive_kpis(order_totals(spark, folder, "order_id"))
+    return dashboards.executive_kpis(order_totals(spark, folder, "order_id"), per_order=True)
 
 
 @_query
 def eda_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboards.eda_kpis(order_totals(spark, folder, "order_id"))
+    return dashboards.eda_kpis(order_totals(spark, folder, "order_id"), per_order=True)
 
 
 @_query
@@ -238,7 +238,7 @@ def dq_training_values(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def dq_panel_training_values(spark: SparkSession, folder: str) -> DataFrame:
-    monthly, keys = _by_sub_category(spark, folder), ["sub_category"]
+    monthly, keys = written(_by_sub_category(spark, folder), "monthly"), ["sub_category"]
     return quality.training_value_check(features.forecast_training(monthly, keys), monthly, keys)
 
 

@@ -1,7 +1,8 @@
 """Exact amounts.
 
-Sums of doubles depend on the order in which tasks finish, so a retried task may change a
-result. Amounts are therefore summed as decimals and become doubles only in the result.
+Sums of doubles depend on the order in which tasks finish, so a retried task may change a result.
+Here the whole part and the ten-thousandths of an amount are summed apart as longs: as fast as a
+double sum, the same in any order, and far from overflow over 10^12 rows.
 """
 
 from __future__ import annotations
@@ -11,15 +12,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: source amounts carry at most four decimals.
-AMOUNT = "decimal(18,4)"
-TOTAL = "decimal(28,4)"
+PLACES = 4
 
+TOTAL = f"decimal(28,{PLACES})"
 
-def exact(frame: DataFrame, name: str) -> Column:
-    """The column as a decimal; already pre-aggregated decimals stay as they are."""
-    if isinstance(frame.schema[name].dataType, T.DecimalType):
-        return F.col(name)
-    return F.col(name).cast(AMOUNT)
+
+def _parts(frame: DataFrame, name: str) -> tuple[Column, Column]:
+    if isinstance(frame.schema[name].dataType, T.StructType):
+        return F.col(f"{name}.whole"), F.col(f"{name}.rest")
+    whole = F.col(name).cast("bigint")
+    return whole, F.rint((F.col(name) - whole) * 10**PLACES).cast("bigint")
+
+
+def partial_sum(frame: DataFrame, name: str) -> Column:
+    """Sum that later sums can go on adding to: a struct of both parts."""
+    whole, rest = _parts(frame, name)
+    return F.struct(F.sum(whole).alias("whole"), F.sum(rest).alias("rest"))
+
+
+def exact_sum(frame: DataFrame, name: str) -> Column:
+    """Decimal sum of a double column or of partial sums."""
+    whole, rest = _parts(frame, name)
+    step = F.lit(f"1e-{PLACES}").cast(f"decimal({PLACES},{PLACES})")
+    return F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * step
 
 
 def rounded(value: Column, places: int) -> Column:

@@ -6,29 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.dates import month_start
-from tillwright.functions.money import exact, percent, ratio, rounded
+from tillwright.functions.money import exact_sum, percent, ratio, rounded
 
 
 def _total(lines: DataFrame, name: str, to: str) -> Column:
-    return rounded(F.sum(exact(lines, name)), 2).alias(to)
+    return rounded(exact_sum(lines, name), 2).alias(to)
 
 
-def executive_kpis(lines: DataFrame) -> DataFrame:
-    sales, profit = F.sum(exact(lines, "sales")), F.sum(exact(lines, "profit"))
+def _orders(per_order: bool) -> Column:
+    return (F.count if per_order else F.count_distinct)("order_id")
+
+
+def executive_kpis(lines: DataFrame, per_order: bool = False) -> DataFrame:
+    sales, profit = exact_sum(lines, "sales"), exact_sum(lines, "profit")
     return lines.agg(
         _total(lines, "sales", "total_sales"),
         _total(lines, "profit", "total_profit"),
-        F.count_distinct("order_id").alias("total_orders"),
+        _orders(per_order).alias("total_orders"),
         rounded(percent(profit, sales), 2).alias("profit_margin_pct"),
     )
 
 
-def eda_kpis(lines: DataFrame) -> DataFrame:
-    orders = F.count_distinct("order_id")
+def eda_kpis(lines: DataFrame, per_order: bool = False) -> DataFrame:
+    orders = _orders(per_order)
     return lines.agg(
         _total(lines, "sales", "total_revenue"),
         orders.alias("total_orders"),
-        rounded(ratio(F.sum(exact(lines, "sales")), orders), 2).alias("avg_order_value"),
+        rounded(ratio(exact_sum(lines, "sales"), orders), 2).alias("avg_order_value"),
     )
 
 
@@ -47,7 +51,7 @@ def price_by_quantity(lines: DataFrame) -> DataFrame:
         lines.groupBy("quantity")
         .agg(
             F.count("*").alias("lines"),
-            rounded(ratio(F.sum(exact(lines, "sales")), F.sum("quantity")), 2).alias("avg_unit_price"),
+            rounded(ratio(exact_sum(lines, "sales"), F.sum("quantity")), 2).alias("avg_unit_price"),
         )
         .orderBy("quantity")
     )

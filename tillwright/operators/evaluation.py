@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwright.functions.joins import null_safe_join
 from tillwright.functions.metrics import error_measures
 from tillwright.operators.series import seasonal_naive
 
@@ -40,7 +41,7 @@ def with_baseline(targets: DataFrame, monthly: DataFrame, keys: Sequence[str] =
     A target without a baseline fails the query, or is dropped if not `strict`.
     """
     naive = seasonal_naive(monthly, keys).withColumnRenamed("month", "target_month")
-    rows = targets.join(naive.drop("total_sales"), [*keys, "target_month"])
+    rows = null_safe_join(targets, naive.drop("total_sales"), [*keys, "target_month"])
     if strict:
         none = F.raise_error(F.lit("a hold-out month has neither last year's nor the previous month's sales"))
         baseline = F.when(F.col("baseline").isNull(), none).otherwise(F.col("baseline"))

@@ -1,7 +1,8 @@
-"""Sales marts.
+"""Sales marts over staged order lines.
 
-Every function takes staged order lines, or rows already summed per order: measures are plain
-sums and exact distinct counts, so both give the same result.
+The monthly, segment and region marts also take rows summed per order. With `per_order` each order
+has exactly one row, so orders are counted as rows and only customers need a distinct count; Spark
+then neither expands the rows once per distinct count nor shuffles the order ids.
 """
 
 from __future__ import annotations
@@ -10,16 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwright.functions.dates import month_start
-from tillwright.functions.money import exact, percent, ratio, rounded
+from tillwright.functions.money import exact_sum, percent, ratio, rounded
 from tillwright.operators.ranking import rank_within, share_within
 
 PRODUCT_KEYS = ("product_id", "product_name", "category", "sub_category")
 
 
-def _sum(lines: DataFrame, name: str) -> Column:
-    return F.sum(exact(lines, name))
-
-
 def _money(total: str) -> Column:
     return rounded(F.col(total), 2).alias(total)
 
@@ -29,15 +26,20 @@ def _margin_percent() -> Column:
 
 
 def _average_discount(lines: DataFrame) -> Column:
-    return rounded(ratio(_sum(lines, "discount"), F.count("discount")), 4).alias("avg_discount")
+    return rounded(ratio(exact_sum(lines, "discount"), F.count("discount")), 4).alias("avg_discount")
+
 
+def _orders(per_order: bool) -> Column:
+    count = F.count if per_order else F.count_distinct
+    return count("order_id").alias("order_count")
 
-def monthly_sales(lines: DataFrame) -> DataFrame:
+
+def monthly_sales(lines: DataFrame, per_order: bool = False) -> DataFrame:
     """Sales, profit, distinct orders and customers per calendar month, unrounded."""
     return lines.groupBy(month_start("order_date").alias("month")).agg(
-        _sum(lines, "sales").cast("double").alias("total_sales"),
-        _sum(lines, "profit").cast("double").alias("total_profit"),
-        F.count_distinct("order_id").alias("order_count"),
+        exact_sum(lines, "sales").cast("double").alias("total_sales"),
+        exact_sum(lines, "profit").cast("double").alias("total_profit"),
+        _orders(per_order),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
 
@@ -45,7 +47,7 @@ def monthly_sales(lines: DataFrame) -> DataFrame:
 def monthly_totals(lines: DataFrame, *keys: str) -> DataFrame:
     """Sales per series and month: the input of the forecast features."""
     return lines.groupBy(*keys, month_start("order_date").alias("month")).agg(
-        _sum(lines, "sales").cast("double").alias("total_sales")
+        exact_sum(lines, "sales").cast("double").alias("total_sales")
     )
 
 
@@ -63,8 +65,8 @@ def monthly_kpis(monthly: DataFrame) -> DataFrame:
 
 def sales_by_category(lines: DataFrame) -> DataFrame:
     totals = lines.groupBy("category", "sub_category").agg(
-        _sum(lines, "sales").alias("total_sales"),
-        _sum(lines, "profit").alias("total_profit"),
+        exact_sum(lines, "sales").alias("total_sales"),
+        exact_sum(lines, "profit").alias("total_profit"),
         F.sum("quantity").alias("total_quantity"),
         F.count_distinct("order_id").alias("order_count"),
         _average_discount(lines),
@@ -82,17 +84,17 @@ def sales_by_category(lines: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_sales"))
 
 
-def _customer_sales(lines: DataFrame, *keys: Column | str) -> DataFrame:
+def _customer_sales(lines: DataFrame, per_order: bool, *keys: Column | str) -> DataFrame:
     return lines.groupBy(*keys).agg(
-        _sum(lines, "sales").alias("total_sales"),
-        _sum(lines, "profit").alias("total_profit"),
-        F.count_distinct("order_id").alias("order_count"),
+        exact_sum(lines, "sales").alias("total_sales"),
+        exact_sum(lines, "profit").alias("total_profit"),
+        _orders(per_order),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
 
 
-def sales_by_segment(lines: DataFrame) -> DataFrame:
-    totals = _customer_sales(lines, month_start("order_date").alias("month"), "segment")
+def sales_by_segment(lines: DataFrame, per_order: bool = False) -> DataFrame:
+    totals = _customer_sales(lines, per_order, month_start("order_date").alias("month"), "segment")
     return totals.select(
         "month",
         "segment",
@@ -104,8 +106,8 @@ def sales_by_segment(lines: DataFrame) -> DataFrame:
     ).orderBy("month", F.desc("total_sales"))
 
 
-def sales_by_region(lines: DataFrame) -> DataFrame:
-    return _customer_sales(lines, "region", "state").select(
+def sales_by_region(lines: DataFrame, per_order: bool = False) -> DataFrame:
+    return _customer_sales(lines, per_order, "region", "state").select(
         "region",
         "state",
         _money("total_sales"),
@@ -125,8 +127,8 @@ def product_totals(lines: DataFrame, *keys: str) -> DataFrame:
     """
     keys = keys or PRODUCT_KEYS
     totals = lines.groupBy(*keys).agg(
-        _sum(lines, "sales").alias("total_sales"),
-        _sum(lines, "profit").alias("total_profit"),
+        exact_sum(lines, "sales").alias("total_sales"),
+        exact_sum(lines, "profit").alias("total_profit"),
         F.sum("quantity").alias("total_quantity"),
         F.count_distinct("order_id").alias("order_count"),
         _average_discount(lines),

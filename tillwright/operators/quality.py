@@ -19,6 +19,7 @@ from tillwright.contract import (
     FeatureContractError,
 )
 from tillwright.functions.dates import months_apart
+from tillwright.functions.joins import null_safe_join
 from tillwright.functions.money import TOTAL, ratio
 
 # Fixed value: largest difference between a feature and its recomputation.
@@ -142,7 +143,7 @@ def training_value_check(
     lookup = offsets.groupBy(*keys, "target_month").agg(
         *(F.max(F.when(F.col("_back") == k, F.col("total_sales"))).alias(f"_m{k}") for k in range(7))
     )
-    rows = training.join(lookup, [*keys, "target_month"], "left")
+    rows = null_safe_join(training, lookup, [*keys, "target_month"], "left")
 
     def mean(n: int) -> Column:
         return reduce(lambda a, b: a + b, (F.col(f"_m{k}").cast(TOTAL) for k in range(1, n + 1))).cast("double") / n
@@ -182,7 +183,7 @@ def next_month_value_check(
         mean(6).alias("_mean6"),
     )
     # Without keys both sides are single rows.
-    rows = features.join(expected, list(keys)) if keys else features.crossJoin(F.broadcast(expected))
+    rows = null_safe_join(features, expected, keys) if keys else features.crossJoin(F.broadcast(expected))
     failing = {
         "history": F.col("_months") != 6,
         "target_month": F.col("target_month") != F.col("_target"),

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwright.functions.money import TOTAL, percent, rounded
+from tillwright.functions.joins import null_safe_join
+from tillwright.functions.money import exact_sum, percent, rounded
 from tillwright.session import written
 
 # Ranges per e-fold of the value: at most some 17,000 in a group, about 0.4 % wide each.
@@ -22,13 +23,6 @@ def value_range(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * RANGES)
 
 
-def _join(left: DataFrame, right: DataFrame, *names: str) -> DataFrame:
-    """Inner join on equal or equally NULL columns; right copies of the columns are dropped."""
-    renamed = right.withColumnsRenamed({name: f"_{name}" for name in names})
-    on = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names]
-    return left.join(renamed, on).drop(*(f"_{name}" for name in names))
-
-
 def rank_within(frame: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """Competition rank of `value`, highest first, inside `group`; a tie leaves a gap."""
     values = (
@@ -46,18 +40,18 @@ def rank_within(frame: DataFrame, group: str, value: str, name: str) -> DataFram
         .select(group, "_range", F.sum("_rows").over(higher_ranges).alias("_above"))
     )
     inside = values.select(group, value, "_range", F.sum("_rows").over(higher_values).alias("_before"))
-    ranks = _join(inside, ranges, group, "_range").select(
+    ranks = null_safe_join(inside, ranges, [group, "_range"]).select(
         group, value, (1 + F.coalesce("_above", F.lit(0)) + F.coalesce("_before", F.lit(0))).alias(name)
     )
-    return _join(frame, ranks, group, value)
+    return null_safe_join(frame, ranks, [group, value])
 
 
 def share_within(frame: DataFrame, totals: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """Percent of the group's sum of `value` in `totals`, added to the rows of `frame`."""
     # Written, so that its real size decides about a broadcast before `frame` is shuffled.
-    sums = written(totals.groupBy(group).agg(F.sum(F.col(value).cast(TOTAL)).alias("_sum")), "group-sums")
+    sums = written(totals.groupBy(group).agg(exact_sum(totals, value).alias("_sum")), "group-sums")
     return (
-        _join(frame, sums, group)
+        null_safe_join(frame, sums, [group])
         .withColumn(name, rounded(percent(F.col(value), F.col("_sum")), 2))
         .drop("_sum")
     )

@@ -27,11 +27,12 @@ def build(
 ) -> dict[str, DataFrame]:
     """Write all marts below `folder` and return every relation by name.
 
-    `orders` may hold sales and profit summed per order: the monthly, segment and region marts
-    then read those rows instead of all lines. `products` may hold ready product totals.
+    `orders` may hold one row per order with its sales and profit: the monthly, segment and region
+    marts then read those rows instead of all lines. `products` may hold ready product totals.
     `publish` makes each relation a temporary view of its name.
     """
-    orders = lines if orders is None else orders
+    per_order = orders is not None
+    orders = orders if per_order else lines
     totals = written(product_totals(lines) if products is None else products, "product-totals")
     relations = {"stg_orders": lines}
 
@@ -40,11 +41,11 @@ def build(
         return relations[name]
 
     # Every later relation reads the few monthly rows, so these are written too.
-    monthly = table("int_monthly_sales", monthly_sales(orders))
+    monthly = table("int_monthly_sales", monthly_sales(orders, per_order))
     table("mart_monthly_sales", monthly_kpis(monthly))
     table("mart_sales_by_category", sales_by_category(lines))
-    table("mart_sales_by_segment", sales_by_segment(orders))
-    table("mart_sales_by_region", sales_by_region(orders))
+    table("mart_sales_by_segment", sales_by_segment(orders, per_order))
+    table("mart_sales_by_region", sales_by_region(orders, per_order))
     table("mart_product_performance", product_performance(totals))
     table("mart_forecast_training", forecast_training(monthly))
     table("mart_next_month_features", next_month_features(monthly))

@@ -13,8 +13,13 @@ _RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot order or part is split even when the aggregate above then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort where every shuffled build partition turns out to be this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
+# Stored input per shuffle partition. Jobs here shuffle a few pruned columns, some tenth of it.
+_INPUT_PER_PARTITION = 4 << 30
+
 
 def local_session(cores: int | str = "*", app: str = "tillwright") -> SparkSession:
     """Session for tests and benchmarks on one machine."""
@@ -31,13 +36,28 @@ def local_session(cores: int | str = "*", app: str = "tillwright") -> SparkSessi
     )
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Switch on adaptive skew handling for the given session."""
+def tune(spark: SparkSession, folder: str | None = None) -> SparkSession:
+    """Adaptive settings for the given session, with enough shuffle partitions for a folder's tables.
+
+    Adaptive execution merges small partitions but never cuts large ones, so the first number has to
+    grow with the input. It never falls below the session's own number.
+    """
     for key, value in _RUNTIME.items():
         spark.conf.set(key, value)
+    if folder is not None:
+        own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        needed = -(-stored_bytes(spark, folder) // _INPUT_PER_PARTITION)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(own, needed)))
     return spark
 
 
+def stored_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files below a folder, from the file system's own summary."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(path).getLength()
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """New folder below the cluster's `spark.checkpoint.dir`.
 

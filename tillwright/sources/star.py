@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.contract import STAGED_NAMES
-from tillwright.functions.money import AMOUNT
+from tillwright.functions.money import partial_sum
 from tillwright.sources.orders import stage
 
-# Fixed value: margin rate before discount of the stand-in profit.
-MARGIN_RATE = "0.06"
+# Fixed value: margin before discount of the stand-in profit.
+MARGIN_PERCENT = 6
 
 _CUSTOMER = {"Customer Name", "Segment"}
 _NATION = {"Country", "State"}
@@ -43,8 +43,9 @@ def line_key() -> Column:
 
 
 def line_profit() -> Column:
-    rate = F.lit(MARGIN_RATE).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
-    return (F.col("l_extendedprice").cast("decimal(16,2)") * rate).cast(AMOUNT)
+    """Price times margin less discount, counted in ten-thousandths to be exact."""
+    cents = F.rint(F.col("l_extendedprice") * 100)
+    return cents * (MARGIN_PERCENT - F.rint(F.col("l_discount") * 100)) / 10_000
 
 
 def customers(spark: SparkSession, folder: str, wanted: set[str]) -> DataFrame:
@@ -76,6 +77,13 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _with_dimensions(spark: SparkSession, folder: str, lines: DataFrame, wanted: set[str]) -> DataFrame:
+    """Joins in an order that saves shuffles. Customers come last, which leaves the rows spread by
+    customer for the distinct customer counts. Products come first where orders are counted, which
+    leaves the rows spread by order, and otherwise late, so that names are not shuffled with the lines.
+    """
+    count_orders = "Order ID" in wanted
+    if wanted & _PART and count_orders:
+        lines = lines.join(products(spark, folder), "Product ID", "left")
     orders = table(spark, folder, "orders").filter(F.col("o_orderdate").isNotNull()).select(
         F.col("o_orderkey").alias("Order ID"),
         F.col("o_orderdate").cast("date").alias("Order Date"),
@@ -84,10 +92,10 @@ def _with_dimensions(spark: SparkSession, folder: str, lines: DataFrame, wanted:
     )
     # A line without a dated order would not pass staging, so this join may be an inner one.
     frame = lines.join(orders, "Order ID")
+    if wanted & _PART and not count_orders:
+        frame = frame.join(products(spark, folder), "Product ID", "left")
     if wanted & (_CUSTOMER | _NATION | _REGION):
         frame = frame.join(customers(spark, folder, wanted), "Customer ID", "left")
-    if wanted & _PART:
-        frame = frame.join(products(spark, folder), "Product ID", "left")
     return frame
 
 
@@ -117,18 +125,20 @@ def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def order_totals(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Sales and profit summed per order, with the given staged order and customer columns.
+    """One row per order: its sales and profit, with the given staged order and customer columns.
 
     Lines are added up below the join: the map side already folds a hot order into one row per
     task, the shuffle on the order key also serves the join with `orders`, and everything above
-    handles orders instead of lines. Sums and distinct counts over it equal those over lines.
+    handles orders instead of lines. Sales and profit are partial sums.
     """
     wanted = {_RAW_NAMES[c] for c in columns}
     lines = (
         table(spark, folder, "lineitem")
         .filter(F.col("l_extendedprice").isNotNull())
-        .groupBy(F.col("l_orderkey").alias("Order ID"))
-        .agg(F.sum(F.col("l_extendedprice").cast(AMOUNT)).alias("sales"), F.sum(line_profit()).alias("profit"))
+        .select(F.col("l_orderkey").alias("Order ID"), F.col("l_extendedprice").alias("sales"), line_profit().alias("profit"))
     )
-    frame = _with_dimensions(spark, folder, lines, wanted)
+    sums = lines.groupBy("Order ID").agg(
+        partial_sum(lines, "sales").alias("sales"), partial_sum(lines, "profit").alias("profit")
+    )
+    frame = _with_dimensions(spark, folder, sums, wanted)
     return frame.select(*(F.col(f"`{_RAW_NAMES[c]}`").alias(c) for c in columns), "sales", "profit")
