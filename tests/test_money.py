@@ -1,0 +1,31 @@
+from decimal import Decimal
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.helpers import dicts
+from tillwright.functions.money import exact_sum, partial_sum, rounded
+from pyspark.sql import functions as F
+
+AMOUNTS = st.lists(st.one_of(st.none(), st.decimals(-(10**10), 10**10, places=4)), min_size=1, max_size=40)
+
+
+@settings(max_examples=15, deadline=None)
+@given(AMOUNTS)
+def test_sum_is_exact_in_one_or_two_steps(spark, amounts):
+    frame = spark.createDataFrame([(i % 3, None if a is None else float(a)) for i, a in enumerate(amounts)], "k int, x double")
+    known = [a for a in amounts if a is not None]
+    want = sum(known, Decimal(0)) if known else None
+    assert frame.agg(exact_sum(frame, "x").alias("s")).first()["s"] == want
+    parts = frame.groupBy("k").agg(partial_sum(frame, "x").alias("x"))
+    assert parts.agg(exact_sum(parts, "x").alias("s")).first()["s"] == want
+
+
+def test_huge_totals_do_not_overflow(spark):
+    frame = spark.range(1000).select(F.lit(9e15).alias("x"))
+    assert frame.agg(exact_sum(frame, "x").cast("double").alias("s")).first()["s"] == 9e18
+
+
+def test_ties_round_half_up(spark):
+    frame = spark.createDataFrame([(1.005,), (2.675,), (-1.005,), (0.05125,)], "x double")
+    assert [r["r"] for r in dicts(frame.select(rounded(F.col("x"), 2).alias("r")))] == [1.01, 2.68, -1.01, 0.05]
