@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import dicts, monthly_frame
-from tillwright.contract import FEATURES, FeatureContractError
+from tillwright.contract import FEATURES, DataCheckError, FeatureContractError
 from tillwright.operators import quality
 from tillwright.operators.features import forecast_training, next_month_features
 
@@ -39,6 +39,15 @@ def test_column_checks_count_failures(spark):
     assert set(failures(quality.column_checks(frame.limit(0), "r", checks[1:])).values()) == {0}
 
 
+def test_failed_checks_are_named(spark):
+    frame = spark.createDataFrame([(None,), (2,)], "id int")
+    report = quality.column_checks(frame, "r", [quality.Check("not_null", "id"), quality.Check("unique", "id")])
+    assert {r["rows"] for r in dicts(report)} == {2}
+    with pytest.raises(DataCheckError, match="r.id not_null: 1 failures$"):
+        quality.require_clean(report)
+    quality.require_clean(report.filter("check = 'unique'"))
+
+
 def test_one_row_check(monthly):
     features = next_month_features(monthly)
     assert failures(quality.one_row_check(features, "r")) == {("one_row", "*"): 0}

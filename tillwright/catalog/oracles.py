@@ -75,10 +75,13 @@ def _next(name: str, source: str, keys: tuple[str, ...]) -> str:
   WHERE d <= 6 GROUP BY {keyed}target_month HAVING COUNT(*) = 6)"""
 
 
-_LINE_KEY = """md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
-    CAST(l_quantity AS DECIMAL(18,2)), CAST(l_extendedprice AS DECIMAL(18,2)),
-    CAST(l_discount AS DECIMAL(18,2)), CAST(l_tax AS DECIMAL(18,2)),
-    l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d')))"""
+_HUNDREDTHS = ", ".join(
+    f"CAST(ROUND({c} * 100) AS BIGINT)" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+)
+_LINE_KEY = (
+    f"md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, {_HUNDREDTHS}, "
+    "l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d')))"
+)
 
 _RELATIONS = f"""
 WITH lines AS (
@@ -208,64 +211,91 @@ def _checked(name: str) -> str:
     }[name]
 
 
-def _check_row(relation: str, kind: str, column: str, failures: str) -> str:
+def _check_row(relation: str, kind: str, column: str, source: str, failures: str) -> str:
     return (
         f"SELECT '{relation}' AS relation, '{kind}' AS \"check\", '{column}' AS \"column\", "
-        f"CAST(({failures}) AS BIGINT) AS failures"
+        f"(SELECT COUNT(*) FROM {source}) AS \"rows\", CAST(({failures}) AS BIGINT) AS failures"
     )
 
 
+def _looked_up(training: str, monthly: str, keys: tuple[str, ...]) -> str:
+    """Training rows beside the lags of the series, up to six rows back."""
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    cols = "".join(f"{k}, " for k in keys)
+    on = " AND ".join(["w.month = t.target_month", *(f"w.{k} = t.{k}" for k in keys)])
+    lags = ", ".join(f"LAG(total_sales, {n}) OVER s AS m{n}" for n in range(1, 7))
+    return (
+        f"(SELECT * FROM {training} t LEFT JOIN (SELECT {cols}month, total_sales AS m0, {lags} "
+        f"FROM {monthly} WINDOW s AS ({part}ORDER BY month)) w ON {on})"
+    )
+
+
+def _last_values(features: str, monthly: str) -> str:
+    """The feature row beside the last six months as a list, newest first."""
+    return (
+        f"(SELECT * FROM {features}, (SELECT MAX(month) AS last_month, "
+        f"list(total_sales ORDER BY month DESC)[1:6] AS v FROM {monthly}))"
+    )
+
+
+def _apart(a: str, b: str) -> str:
+    return f"ABS({a} - {b}) > 1e-6"
+
+
+_TRAINING_FAULTS = {
+    "history": "m0 + m1 + m2 + m3 + m4 + m5 + m6 IS NULL",
+    "target_sales": _apart("target_sales", "m0"),
+    **{f"lag_{n}": _apart(f"lag_{n}", f"m{n}") for n in (1, 2, 3)},
+    "month_of_year": "month_of_year <> month(target_month)",
+    "rolling_mean_3": _apart("rolling_mean_3", "(m1 + m2 + m3) / 3"),
+    "rolling_mean_6": _apart("rolling_mean_6", "(m1 + m2 + m3 + m4 + m5 + m6) / 6"),
+}
+_NEXT_FAULTS = {
+    "history": "len(v) <> 6",
+    "target_month": "target_month <> last_month + INTERVAL 1 MONTH",
+    **{f"lag_{n}": _apart(f"lag_{n}", f"v[{n}]") for n in (1, 2, 3)},
+    "month_of_year": "month_of_year <> month(last_month) % 12 + 1",
+    "rolling_mean_3": _apart("rolling_mean_3", "list_avg(v[1:3])"),
+    "rolling_mean_6": _apart("rolling_mean_6", "list_avg(v)"),
+}
+
+
+def _count(source: str, condition: str) -> str:
+    return f"SELECT COUNT(*) FROM {source} WHERE {condition}"
+
+
+def _values_report(relation: str, source: str, faults: dict[str, str]) -> str:
+    rows = (_check_row(relation, "recomputed", c, source, _count(source, fault)) for c, fault in faults.items())
+    return _RELATIONS + "\n" + "\nUNION ALL\n".join(rows)
+
+
+_TRAINING_CHECK = ("mart_forecast_training", _looked_up("training", "int_monthly", ()), _TRAINING_FAULTS)
+_PANEL_CHECK = ("mart_forecast_training", _looked_up("training_sub", "by_sub", ("sub_category",)), _TRAINING_FAULTS)
+_NEXT_CHECK = ("mart_next_month_features", _last_values("next_all", "int_monthly"), _NEXT_FAULTS)
+
+
 def _dq_report() -> str:
     rows = []
     for relation, checks in declared_checks(ACCEPTED).items():
         source = _checked(relation)
         for check in checks:
             if check.kind == "unique":
-                failures = (
-                    f"SELECT COUNT(*) FROM (SELECT {check.column} FROM {source} WHERE {check.column} IS NOT NULL "
-                    f"GROUP BY 1 HAVING COUNT(*) > 1)"
-                )
+                repeated = f"SELECT {check.column} FROM {source} WHERE {check.column} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1"
+                failures = f"SELECT COUNT(*) FROM ({repeated})"
             elif check.kind == "not_null":
-                failures = f"SELECT COUNT(*) FROM {source} WHERE {check.column} IS NULL"
+                failures = _count(source, f"{check.column} IS NULL")
             else:
                 allowed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in check.values)
-                failures = f"SELECT COUNT(*) FROM {source} WHERE {check.column} NOT IN ({allowed})"
-            rows.append(_check_row(relation, check.kind, check.column, failures))
-    rows.append(_check_row("mart_forecast_training", "recomputed", "*", _wrong_training("training", "int_monthly", ())))
-    rows.append(_check_row("mart_next_month_features", "recomputed", "*", _WRONG_NEXT))
-    rows.append(
-        _check_row("mart_next_month_features", "one_row", "*", "SELECT CASE WHEN COUNT(*) = 1 THEN 0 ELSE 1 END FROM next_all")
-    )
+                failures = _count(source, f"{check.column} NOT IN ({allowed})")
+            rows.append(_check_row(relation, check.kind, check.column, source, failures))
+    for relation, source, faults in (_TRAINING_CHECK, _NEXT_CHECK):
+        failures = " + ".join(f"({_count(source, fault)})" for fault in faults.values())
+        rows.append(_check_row(relation, "recomputed", "*", source, f"SELECT {failures}"))
+    one = "SELECT CASE WHEN COUNT(*) = 1 THEN 0 ELSE 1 END FROM next_all"
+    rows.append(_check_row("mart_next_month_features", "one_row", "*", "next_all", one))
     return _RELATIONS + "\n" + "\nUNION ALL\n".join(rows)
 
 
-def _wrong_training(training: str, monthly: str, keys: tuple[str, ...]) -> str:
-    """Training rows whose features differ from lag windows over the series."""
-    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
-    cols = "".join(f"{k}, " for k in keys)
-    on = " AND ".join(["w.month = t.target_month", *(f"w.{k} = t.{k}" for k in keys)])
-    return f"""SELECT COUNT(*) FROM {training} t LEFT JOIN (
-      SELECT {cols}month, total_sales, LAG(total_sales, 1) OVER s AS a, LAG(total_sales, 2) OVER s AS b,
-             LAG(total_sales, 3) OVER s AS c
-      FROM {monthly} WINDOW s AS ({part}ORDER BY month)) w ON {on}
-    WHERE w.total_sales IS NULL OR ABS(t.target_sales - w.total_sales) > 1e-6 OR ABS(t.lag_1 - w.a) > 1e-6
-       OR ABS(t.lag_2 - w.b) > 1e-6 OR ABS(t.lag_3 - w.c) > 1e-6
-       OR ABS(t.rolling_mean_3 - (w.a + w.b + w.c) / 3) > 1e-6"""
-
-
-_WRONG_NEXT = """SELECT COUNT(*) FROM next_all t, (
-      SELECT MAX(month) AS month, arg_max(total_sales, month) AS a FROM int_monthly) w
-    WHERE t.target_month <> w.month + INTERVAL 1 MONTH OR ABS(t.lag_1 - w.a) > 1e-6"""
-
-_TRAINING_PARTS = ("history", "target_sales", "lag_1", "lag_2", "lag_3", "month_of_year", "rolling_mean_3", "rolling_mean_6")
-_NEXT_PARTS = ("history", "target_month", "lag_1", "lag_2", "lag_3", "month_of_year", "rolling_mean_3", "rolling_mean_6")
-
-
-def _values_report(relation: str, parts: tuple[str, ...], wrong: str) -> str:
-    """One row per compared column; the recomputation finds the same rows right on both sides."""
-    return _RELATIONS + "\n" + "\nUNION ALL\n".join(_check_row(relation, "recomputed", p, wrong) for p in parts)
-
-
 def statements() -> dict[str, str]:
     def plain(select: str) -> str:
         return f"{_RELATIONS}\n{select}"
@@ -315,13 +345,9 @@ def statements() -> dict[str, str]:
             "WHERE NOT EXISTS (SELECT 1 FROM by_sub x WHERE x.sub_category = s.sub_category AND x.month = g.m)"
         ),
         "dq_report": _dq_report(),
-        "dq_training_values": _values_report(
-            "mart_forecast_training", _TRAINING_PARTS, _wrong_training("training", "int_monthly", ())
-        ),
-        "dq_panel_training_values": _values_report(
-            "mart_forecast_training", _TRAINING_PARTS, _wrong_training("training_sub", "by_sub", ("sub_category",))
-        ),
-        "dq_next_month_values": _values_report("mart_next_month_features", _NEXT_PARTS, _WRONG_NEXT),
+        "dq_training_values": _values_report(*_TRAINING_CHECK),
+        "dq_panel_training_values": _values_report(*_PANEL_CHECK),
+        "dq_next_month_values": _values_report(*_NEXT_CHECK),
         "holdout_split": plain("SELECT * FROM holdout"),
         "seasonal_naive_by_segment": plain(
             'SELECT segment, target_month, actual AS "Actual", baseline AS "Baseline" FROM segment_eval'

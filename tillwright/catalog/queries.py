@@ -321,9 +321,12 @@ def backtest_fold_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sub_category_panel(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Written training rows and monthly sales of all sub-category series."""
+    """Written training rows and monthly sales of all sub-category series.
+
+    Rows are sorted by month, so that the folds of a backtest skip the row groups of other months.
+    """
     monthly = written(_by_sub_category(spark, folder), "monthly")
-    rows = features.forecast_training(monthly, ["sub_category"]).orderBy("sub_category", "target_month")
+    rows = features.forecast_training(monthly, ["sub_category"]).orderBy("target_month", "sub_category")
     return written(rows, "training"), monthly
 
 

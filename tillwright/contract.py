@@ -76,3 +76,7 @@ ACCEPTED = {
 
 class FeatureContractError(ValueError):
     """A feature table or model breaks the forecast feature contract."""
+
+
+class DataCheckError(ValueError):
+    """A built relation fails one of its declared checks."""

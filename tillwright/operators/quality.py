@@ -16,6 +16,7 @@ from tillwright.contract import (
     FEATURES,
     PREDICTION_COLUMNS,
     TRAINING_COLUMNS,
+    DataCheckError,
     FeatureContractError,
 )
 from tillwright.functions.dates import months_apart
@@ -25,7 +26,7 @@ from tillwright.functions.money import TOTAL, ratio
 # Fixed value: largest difference between a feature and its recomputation.
 TOLERANCE = 1e-6
 
-REPORT_COLUMNS = ("relation", "check", "column", "failures")
+REPORT_COLUMNS = ("relation", "check", "column", "rows", "failures")
 
 
 @dataclass(frozen=True)
@@ -77,13 +78,14 @@ def _fails(check: Check) -> Column:
 
 
 def _report(counts: DataFrame, relation: str, checks: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """One row per (check, column, count column) of a one-row frame."""
+    """One row per (check, column, count column) of a one-row frame, with the rows looked at."""
     rows = F.array(
         *(
             F.struct(
                 F.lit(relation).alias("relation"),
                 F.lit(kind).alias("check"),
                 F.lit(column).alias("column"),
+                F.coalesce("_rows", F.lit(0)).alias("rows"),
                 F.coalesce(F.col(count), F.lit(0)).cast("bigint").alias("failures"),
             )
             for kind, column, count in checks
@@ -106,17 +108,17 @@ def column_checks(frame: DataFrame, relation: str, checks: Sequence[Check]) -> D
     counts = [F.count_if(_fails(c)).alias(name) for name, c in by_row.items()]
     named = [(c.kind, c.column, name) for name, c in by_row.items()]
     if not unique:
-        return _report(frame.agg(*counts), relation, named)
+        return _report(frame.agg(F.count("*").alias("_rows"), *counts), relation, named)
     key = unique[0].column
     per_key = frame.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_copies"), *counts)
     repeated = F.count_if((F.col("_copies") > 1) & F.col("_key").isNotNull()).alias("_unique")
-    totals = per_key.agg(repeated, *(F.sum(name).alias(name) for name in by_row))
+    totals = per_key.agg(F.sum("_copies").alias("_rows"), repeated, *(F.sum(name).alias(name) for name in by_row))
     return _report(totals, relation, [("unique", key, "_unique"), *named])
 
 
 def one_row_check(frame: DataFrame, relation: str) -> DataFrame:
     """Fails unless the relation has exactly one row."""
-    counts = frame.agg((F.count("*") != 1).cast("bigint").alias("_bad"))
+    counts = frame.agg(F.count("*").alias("_rows"), (F.count("*") != 1).cast("bigint").alias("_bad"))
     return _report(counts, relation, [("one_row", "*", "_bad")])
 
 
@@ -126,7 +128,7 @@ def _differs(actual: str, expected: str) -> Column:
 
 def _count_failures(frame: DataFrame, relation: str, failing: Mapping[str, Column]) -> DataFrame:
     counts = [F.count_if(condition).alias(f"_{name}") for name, condition in failing.items()]
-    return _report(frame.agg(*counts), relation, [("recomputed", name, f"_{name}") for name in failing])
+    return _report(frame.agg(F.count("*").alias("_rows"), *counts), relation, [("recomputed", name, f"_{name}") for name in failing])
 
 
 def training_value_check(
@@ -207,13 +209,24 @@ def quality_report(tables: Mapping[str, DataFrame], accepted: Mapping[str, Seque
     ]
     # The recomputations report one row per check, with the failures of all compared columns.
     parts += [
-        v.groupBy("relation", "check").agg(F.lit("*").alias("column"), F.sum("failures").alias("failures"))
+        v.groupBy("relation", "check").agg(
+            F.lit("*").alias("column"), F.max("rows").alias("rows"), F.sum("failures").alias("failures")
+        )
         for v in values
     ]
     parts.append(one_row_check(features, "mart_next_month_features"))
     return reduce(DataFrame.unionByName, parts).select(*REPORT_COLUMNS)
 
 
+def require_clean(report: DataFrame) -> None:
+    """Raise DataCheckError naming the failed checks of a report."""
+    failed = report.filter(F.col("failures") > 0).orderBy(*REPORT_COLUMNS).collect()
+    if failed:
+        raise DataCheckError(
+            "; ".join(f"{r['relation']}.{r['column']} {r['check']}: {r['failures']} failures" for r in failed)
+        )
+
+
 def require_columns(frame: DataFrame, columns: Sequence[str]) -> None:
     absent = [c for c in columns if c not in frame.columns]
     if absent:

@@ -33,13 +33,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def line_key() -> Column:
     """Digest of a whole line: order key and line number repeat, whole lines do not."""
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
-    money = [
-        F.col(name).cast("decimal(18,2)").cast("string")
-        for name in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    ]
-    keys = [F.col(name).cast("string") for name in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
-    return F.md5(F.concat_ws("|", *keys, *money, "l_returnflag", "l_linestatus", day))
+    keys = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    hundredths = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return F.md5(
+        F.concat_ws(
+            "|",
+            *(F.col(name).cast("string") for name in keys),
+            *(F.rint(F.col(name) * 100).cast("bigint").cast("string") for name in hundredths),
+            "l_returnflag",
+            "l_linestatus",
+            F.col("l_shipdate").cast("date").cast("string"),
+        )
+    )
 
 
 def line_profit() -> Column:
