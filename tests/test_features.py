@@ -1,8 +1,11 @@
 from datetime import date
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tests.helpers import dicts, month, monthly_frame
+from tillwright.contract import FEATURES
 from tillwright.operators.features import forecast_training, next_month_features
 from tillwright.operators.series import missing_months, monthly_series, seasonal_naive
 
@@ -51,6 +54,32 @@ def test_as_of_leaves_out_the_partial_month(spark):
     assert dicts(next_month_features(monthly))[0]["target_month"] == month(8)
     row = dicts(next_month_features(monthly, as_of=date(2014, 8, 15)))[0]
     assert row["target_month"] == month(7) and row["lag_1"] == 7.0
+    assert [r["target_month"] for r in dicts(forecast_training(monthly, as_of=date(2014, 8, 15)))] == [month(6)]
+
+
+PANELS = st.dictionaries(
+    st.tuples(st.sampled_from("abc"), st.integers(0, 25)), st.decimals(0, 10**6, places=2), min_size=20, max_size=70
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(PANELS)
+def test_features_of_random_panels(spark, panel):
+    def features(series, at):
+        past = [panel.get((series, at - k)) for k in range(1, 7)]
+        if None in past:
+            return None
+        means = [float(sum(past[:n])) / n for n in (3, 6)]
+        return (series, month(at), *(float(v) for v in past[:3]), month(at).month, *means)
+
+    values = [(s, n, v) for (s, n), v in panel.items()]
+    monthly = monthly_frame(spark, values, ["s"])
+    columns = ["s", "target_month", *FEATURES]
+    want = sorted(f for s, n in panel if (f := features(s, n)))
+    assert sorted(tuple(r) for r in forecast_training(monthly, ["s"]).select(columns).collect()) == want
+    last = {s: max(n for t, n in panel if t == s) for s, _ in panel}
+    want = sorted(f for s, n in last.items() if (f := features(s, n + 1)))
+    assert sorted(tuple(r) for r in next_month_features(monthly, ["s"]).select(columns).collect()) == want
 
 
 def test_panel_series_stay_apart(spark):

@@ -143,6 +143,8 @@ def test_warehouse_from_lines_and_from_orders(spark, tmp_path):
     folder = str(tmp_path / "a")
     months = [r["month"] for r in mart_reads.read_mart(spark, folder, "mart_monthly_sales", 5).collect()]
     assert len(months) == 5 and months == sorted(months)
+    records = mart_reads.mart_records(spark, folder, "mart_monthly_sales", 2)
+    assert [r["month"] for r in records] == ["1995-01-01", "1995-02-01"] and isinstance(records[0]["total_sales"], float)
     for name, limit in (("int_monthly_sales", 5), ("mart_monthly_sales", 0), ("mart_monthly_sales", 10_001), ("mart_monthly_sales", "5")):
         with pytest.raises(ValueError):
             mart_reads.read_mart(spark, folder, name, limit)

@@ -109,7 +109,7 @@ def connect_folders(folder):
 
 def test_shuffle_partitions_grow_with_the_input(spark, monkeypatch):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    tune(spark, SF)
+    tune(spark, f"{SF}/lineitem.parquet")
     assert spark.conf.get(key) == "8"
     monkeypatch.setattr("tillwright.session.stored_bytes", lambda *_: 100 * 10**12)
     tune(spark, SF)

@@ -19,7 +19,7 @@ from tillwright.plans.forecasting import forecast_and_log
 from tillwright.session import tune, work_path, written
 from tillwright.sinks.forecast_log import latest_forecasts as read_latest_forecasts
 from tillwright.sources.marts import latest_months as read_latest_months
-from tillwright.sources.star import order_lines, order_totals, products
+from tillwright.sources.star import GROWING, order_lines, order_totals, products, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +40,7 @@ _REGISTERED: dict[str, Query] = {}
 
 def _query(run: Query) -> Query:
     def tuned(spark: SparkSession, folder: str) -> DataFrame:
-        return run(tune(spark, folder), folder)
+        return run(tune(spark, *(table_path(folder, name) for name in GROWING)), folder)
 
     _REGISTERED[run.__name__] = tuned
     return run

@@ -19,12 +19,18 @@ def _exact_total() -> Column:
     return F.col("total_sales").cast(TOTAL)
 
 
-def forecast_training(monthly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def months_before(monthly: DataFrame, as_of: date | None) -> DataFrame:
+    """Without the month of `as_of` and later ones: the last month in the data may be partial."""
+    return monthly if as_of is None else monthly.filter(F.col("month") < month_start(F.lit(as_of)))
+
+
+def forecast_training(monthly: DataFrame, keys: Sequence[str] = (), as_of: date | None = None) -> DataFrame:
     """One row per month that has the six calendar months before it.
 
     `monthly` has (keys, month, total_sales). The row frames end one row before the target, and
     the month span tells six rows from six consecutive months.
     """
+    monthly = months_before(monthly, as_of)
     series = Window.partitionBy(*keys).orderBy("month")
 
     def mean_of_last(n: int) -> Column:
@@ -50,10 +56,9 @@ def next_month_features(monthly: DataFrame, keys: Sequence[str] = (), as_of: dat
     """The feature row of the month after the last one of each series.
 
     A series without six consecutive last months gives no row. The last month in the data counts
-    as complete; `as_of` leaves out the month of that day and later ones.
+    as complete unless `as_of` leaves it out.
     """
-    if as_of is not None:
-        monthly = monthly.filter(F.col("month") < month_start(F.lit(as_of)))
+    monthly = months_before(monthly, as_of)
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("month"))
     age = F.col("_age")
 

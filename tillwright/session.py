@@ -36,26 +36,33 @@ def local_session(cores: int | str = "*", app: str = "tillwright") -> SparkSessi
     )
 
 
-def tune(spark: SparkSession, folder: str | None = None) -> SparkSession:
-    """Adaptive settings for the given session, with enough shuffle partitions for a folder's tables.
+def tune(spark: SparkSession, *inputs: str) -> SparkSession:
+    """Adaptive settings for the given session, with enough shuffle partitions for the input paths.
 
     Adaptive execution merges small partitions but never cuts large ones, so the first number has to
     grow with the input. It never falls below the session's own number.
     """
     for key, value in _RUNTIME.items():
         spark.conf.set(key, value)
-    if folder is not None:
+    if inputs:
         own = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        needed = -(-stored_bytes(spark, folder) // _INPUT_PER_PARTITION)
+        needed = -(-sum(stored_bytes(spark, path) for path in inputs) // _INPUT_PER_PARTITION)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(own, needed)))
     return spark
 
 
-def stored_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of all files below a folder, from the file system's own summary."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.getContentSummary(path).getLength()
+_SIZES: dict[tuple[str, str], int] = {}
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a stored table, from the file system's own summary; listed once per application."""
+    context = spark.sparkContext
+    key = (context.applicationId, path)
+    if key not in _SIZES:
+        located = context._jvm.org.apache.hadoop.fs.Path(path)
+        system = located.getFileSystem(context._jsc.hadoopConfiguration())
+        _SIZES[key] = system.getContentSummary(located).getLength()
+    return _SIZES[key]
 
 
 def work_path(spark: SparkSession, label: str) -> str:

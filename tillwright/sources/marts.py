@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,11 @@ def read_mart(spark: SparkSession, folder: str, name: str, limit: int = DEFAULT_
     return _mart(spark, folder, name).orderBy(*MART_GRAIN[name]).limit(limit)
 
 
+def mart_records(spark: SparkSession, folder: str, name: str, limit: int = DEFAULT_ROWS) -> list[dict]:
+    """The rows of `read_mart`, at most MAX_ROWS, as dictionaries of JSON values."""
+    return [json.loads(row) for row in read_mart(spark, folder, name, limit).toJSON().collect()]
+
+
 def read_training(spark: SparkSession, folder: str) -> DataFrame:
     return _mart(spark, folder, "mart_forecast_training").select(*TRAINING_COLUMNS).orderBy("target_month")
 

@@ -27,8 +27,16 @@ _PART = {"Category", "Sub-Category", "Product Name"}
 _RAW_NAMES = {staged: raw for raw, staged in STAGED_NAMES.items()}
 
 
+# The tables whose size grows with the business.
+GROWING = ("lineitem", "orders", "customer", "part")
+
+
+def table_path(folder: str, name: str) -> str:
+    return f"{folder.rstrip('/')}/{name}.parquet"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.parquet(table_path(folder, name))
 
 
 def line_key() -> Column:
