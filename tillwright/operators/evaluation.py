@@ -53,10 +53,13 @@ def with_baseline(targets: DataFrame, monthly: DataFrame, keys: Sequence[str] =
 
 def forecast_metrics(evaluation: DataFrame, predictions: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """MAPE, sMAPE, MAE and RMSE of each prediction column against `Actual`."""
-    long = evaluation.select(*by, "Actual", *predictions).unpivot(
-        [*by, "Actual"], list(predictions), "model", "predicted"
+    actual = F.col("Actual")
+    measured = evaluation.groupBy(*by).agg(
+        *(F.struct(*error_measures(actual, F.col(name))).alias(f"_{name}") for name in predictions)
     )
-    return long.groupBy(*by, "model").agg(*error_measures(F.col("Actual"), F.col("predicted")))
+    # One pass over the rows: the models become rows only after the aggregate.
+    models = F.array(*(F.struct(F.lit(name).alias("model"), f"_{name}.*") for name in predictions))
+    return measured.select(*by, F.inline(models))
 
 
 def fold_calendar(training: DataFrame, folds: int = FOLDS, months: int = FOLD_MONTHS) -> DataFrame:

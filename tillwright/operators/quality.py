@@ -20,7 +20,7 @@ from tillwright.contract import (
     FeatureContractError,
 )
 from tillwright.functions.dates import months_apart
-from tillwright.functions.joins import null_safe_join
+from tillwright.functions.joins import null_safe_join, one_row
 from tillwright.functions.money import TOTAL, ratio
 
 # Fixed value: largest difference between a feature and its recomputation.
@@ -184,8 +184,10 @@ def next_month_value_check(
         mean(3).alias("_mean3"),
         mean(6).alias("_mean6"),
     )
-    # Without keys both sides are single rows.
-    rows = null_safe_join(features, expected, keys) if keys else features.crossJoin(F.broadcast(expected))
+    if keys:
+        rows = null_safe_join(features, expected, keys)
+    else:
+        rows = features.withColumn("_expected", one_row(expected)).select(*features.columns, "_expected.*")
     failing = {
         "history": F.col("_months") != 6,
         "target_month": F.col("target_month") != F.col("_target"),

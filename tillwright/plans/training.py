@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.contract import FEATURES
+from tillwright.functions.joins import one_row
 from tillwright.operators import models
 from tillwright.operators.evaluation import (
     HOLDOUT_MONTHS,
@@ -63,7 +64,7 @@ def training_report(training: DataFrame, metrics: DataFrame, name: str, horizon:
     nested = metrics.agg(
         F.sort_array(F.collect_list(F.struct("model", "mape", "smape", "mae", "rmse"))).alias("metrics")
     )
-    return holdout.crossJoin(F.broadcast(nested)).select(  # both sides are single rows
+    return holdout.select(
         F.current_timestamp().alias("trained_at_utc"),
         F.lit(name).alias("model"),
         F.lit("mart_forecast_training").alias("source"),
@@ -76,7 +77,7 @@ def training_report(training: DataFrame, metrics: DataFrame, name: str, horizon:
         F.col("test_end").alias("training_end"),
         F.col("test_start").alias("holdout_start"),
         F.col("test_end").alias("holdout_end"),
-        "metrics",
+        one_row(nested)["metrics"].alias("metrics"),
     )
 
 
