@@ -40,6 +40,14 @@ def test_defaults_are_the_full_settings(spark):
         models.create_model("arima")
 
 
+def test_xgboost_is_optional(spark):
+    try:
+        import xgboost  # noqa: F401
+    except ImportError:
+        with pytest.raises(RuntimeError, match="xgboost"):
+            models.create_model("xgb")
+
+
 @pytest.mark.parametrize("name, settings", [("rf", TREES), ("gbt", {"maxIter": 3, "maxDepth": 3})])
 def test_same_seed_same_model(panel, name, settings):
     first, second = (dicts(models.predict(models.fit(name, panel, **settings), panel).orderBy("s", "target_month")) for _ in "12")

@@ -31,7 +31,6 @@ def local_session(cores: int | str = "*", app: str = "tillwright") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillwright-"))
         .getOrCreate()
     )
 
@@ -54,13 +53,23 @@ def tune(spark: SparkSession, *inputs: str) -> SparkSession:
 _SIZES: dict[tuple[str, str], int] = {}
 
 
+def _located(spark: SparkSession, path: str):
+    """The Hadoop file system and path of a location."""
+    context = spark.sparkContext
+    located = context._jvm.org.apache.hadoop.fs.Path(path)
+    return located.getFileSystem(context._jsc.hadoopConfiguration()), located
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, located = _located(spark, path)
+    return system.exists(located)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of a stored table, from the file system's own summary; listed once per application."""
-    context = spark.sparkContext
-    key = (context.applicationId, path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _SIZES:
-        located = context._jvm.org.apache.hadoop.fs.Path(path)
-        system = located.getFileSystem(context._jsc.hadoopConfiguration())
+        system, located = _located(spark, path)
         _SIZES[key] = system.getContentSummary(located).getLength()
     return _SIZES[key]
 

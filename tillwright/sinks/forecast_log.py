@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tillwright.contract import FEATURES
+from tillwright.session import path_exists
 
 # Columns of a log row, and the bounds and default of a log read.
 LOG_COLUMNS = ("id", "model", "target_month", *FEATURES, "prediction", "created_at")
@@ -39,12 +39,9 @@ def numbered(frame: DataFrame, first: int) -> DataFrame:
 
 
 def _last_id(spark: SparkSession, path: str) -> int:
-    try:
-        return spark.read.parquet(path).agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first()["id"]
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return 0
-        raise
+    if not path_exists(spark, path):
+        return 0
+    return spark.read.schema("id bigint").parquet(path).agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first()["id"]
 
 
 def append_forecasts(forecasts: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
