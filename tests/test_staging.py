@@ -1,5 +1,7 @@
 from datetime import date
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.helpers import RAW_COLUMNS, dicts, raw_line
@@ -45,6 +47,16 @@ def test_csv_and_parquet_agree(spark, tmp_path):
     assert from_csv.schema == from_parquet.schema
 
 
+def test_csv_dates_in_another_format_and_wrong_headers(spark, tmp_path):
+    frame = raw(spark, raw_line("1"))
+    frame.write.option("header", True).option("dateFormat", "M/d/yyyy").csv(str(tmp_path / "us"))
+    staged = stage(read_raw_orders(spark, str(tmp_path / "us"), "csv", "M/d/yyyy"))
+    assert dicts(staged.select("order_date")) == [{"order_date": date(2014, 1, 5)}]
+    frame.withColumnRenamed("Sales", "Turnover").write.option("header", True).csv(str(tmp_path / "wrong"))
+    with pytest.raises(PySparkException):
+        stage(read_raw_orders(spark, str(tmp_path / "wrong"), "csv")).collect()
+
+
 def test_daily_revenue_csv(spark, tmp_path):
     (tmp_path / "s.csv").write_text("store,date,revenue\na,2020-01-03,1.5\nb,2020-01-09,2.25\na,2020-02-01,4\n")
     months = monthly_revenue(read_daily_revenue(spark, str(tmp_path / "s.csv")))

@@ -1,0 +1,91 @@
+"""Order lines from star tables with holes."""
+
+from datetime import date, datetime
+
+import pytest
+
+from tests.helpers import dicts
+from tillwright.contract import STAGED_NAMES
+from tillwright.functions.money import exact_sum
+from tillwright.operators import dashboards, marts
+from tillwright.sources.star import order_lines, order_totals
+
+DAY = datetime(2014, 3, 9)
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("star")
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "North")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "A", 0), (1, "B", 9)]),
+        "customer": (
+            "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+            [(1, "Ann", 0, 0.0, "Home"), (2, "Bob", 1, 0.0, None)],
+        ),
+        "part": (
+            "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+            [(1, "cup", "X", "Kitchen", 1, 1.0)],
+        ),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+            [(1, 1, "O", 0.0, DAY, "1-A"), (2, 2, "O", 0.0, DAY, "2-B"), (3, 1, "O", 0.0, None, None), (4, None, "O", 0.0, DAY, None), (5, 1, "O", 0.0, DAY, None)],
+        ),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+            [
+                (1, 1, 1, 1, 2.0, 10.25, 0.05, 0.0, "N", "O", DAY),
+                (1, 7, 1, 2, 1.0, 20.0, None, 0.0, "N", "O", DAY),  # unknown part, no discount
+                (2, 1, 1, 1, 3.0, None, 0.0, 0.0, "N", "O", DAY),  # no price
+                (2, None, 1, 2, 1.0, 5.5, 0.1, 0.0, "N", "O", DAY),  # no part
+                (3, 1, 1, 1, 1.0, 7.0, 0.0, 0.0, "N", "O", DAY),  # undated order
+                (4, 1, 1, 1, 1.0, 8.0, 0.0, 0.0, "N", "O", None),  # order without a customer
+                (9, 1, 1, 1, 1.0, 9.0, 0.0, 0.0, "N", "O", DAY),  # no such order
+            ],
+        ),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(path / f"{name}.parquet"))
+    return str(path)
+
+
+def test_lines_keep_their_rows_and_lose_only_unstaged_ones(spark, folder):
+    lines = order_lines(spark, folder)
+    assert lines.columns == list(STAGED_NAMES.values())
+    rows = {(r["order_id"], r["sales"]): r for r in dicts(lines)}
+    assert set(rows) == {(1, 10.25), (1, 20.0), (2, 5.5), (4, 8.0)}
+    assert rows[1, 10.25]["profit"] == 0.1025 and rows[1, 20.0]["profit"] is None
+    assert rows[1, 10.25]["sub_category"] == "Kitchen / X" and rows[1, 10.25]["order_date"] == date(2014, 3, 9)
+    assert rows[1, 20.0]["product_id"] == 7 and rows[1, 20.0]["category"] is None
+    assert rows[2, 5.5]["region"] is None and rows[2, 5.5]["state"] == "B"
+    assert rows[4, 8.0]["customer_id"] is None and rows[4, 8.0]["segment"] is None
+    assert len({r["row_id"] for r in rows.values()}) == 4
+
+
+@pytest.mark.parametrize("columns", [("sales",), ("sales", "sub_category"), ("order_id", "sub_category", "sales"), ("segment", "sales"), ("region", "state", "sales")])
+def test_fewer_columns_mean_the_same_rows(spark, folder, columns):
+    full = sorted(map(repr, order_lines(spark, folder).select(*columns).collect()))
+    assert sorted(map(repr, order_lines(spark, folder, *columns).collect())) == full
+
+
+def test_order_totals_agree_with_lines(spark, folder):
+    keys = ("order_id", "order_date", "customer_id", "segment", "region", "state")
+    lines, orders = order_lines(spark, folder), order_totals(spark, folder, *keys)
+    assert orders.count() == 3  # an order without lines has no row
+    for frame in (lines, orders):
+        assert float(frame.agg(exact_sum(frame, "sales").alias("s")).first()["s"]) == 43.75
+    for mart in (marts.monthly_sales, marts.sales_by_segment, marts.sales_by_region, dashboards.executive_kpis):
+        assert sorted(map(repr, mart(lines).collect())) == sorted(map(repr, mart(orders, per_order=True).collect()))
+    month = dicts(marts.monthly_sales(orders, per_order=True))[0]
+    assert (month["order_count"], month["unique_customers"]) == (3, 2)
+
+
+def test_null_groups_are_groups(spark, folder):
+    lines = order_lines(spark, folder)
+    got = {r["product_id"]: r for r in dicts(marts.product_performance(marts.product_totals(lines)))}
+    assert set(got) == {1, 7, None}
+    assert got[7]["rank_in_subcategory"] == 1 and got[None]["rank_in_subcategory"] == 2
+    assert got[7]["pct_of_category_sales"] == 78.43 and got[7]["avg_discount"] is None
+    categories = {r["category"]: r for r in dicts(marts.sales_by_category(lines))}
+    assert categories[None]["order_count"] == 2 and categories[None]["avg_discount"] == 0.1

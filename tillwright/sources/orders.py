@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from tillwright.contract import RAW_SCHEMA, STAGED_CASTS, STAGED_NAMES
 
 
-def read_raw_orders(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_raw_orders(
+    spark: SparkSession, path: str, fmt: str = "parquet", date_format: str = "yyyy-MM-dd"
+) -> DataFrame:
     """Raw order lines from parquet (own types) or CSV (declared schema, header checked)."""
     if fmt == "csv":
         return (
             spark.read.schema(RAW_SCHEMA)
             .option("header", True)
             .option("enforceSchema", False)
+            .option("dateFormat", date_format)
             .option("mode", "FAILFAST")
             .csv(path)
         )
@@ -36,8 +39,8 @@ def stage(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_daily_revenue(spark: SparkSession, path: str) -> DataFrame:
+def read_daily_revenue(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """`date` and `revenue` of a CSV file with a header, whatever other columns it has."""
     return spark.read.option("header", True).csv(path).select(
-        F.to_date("date").alias("date"), F.col("revenue").cast("double").alias("revenue")
+        F.to_date("date", date_format).alias("date"), F.col("revenue").cast("double").alias("revenue")
     )
