@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from tests.helpers import RAW_COLUMNS, dicts, raw_line
@@ -53,7 +53,7 @@ def test_csv_dates_in_another_format_and_wrong_headers(spark, tmp_path):
     staged = stage(read_raw_orders(spark, str(tmp_path / "us"), "csv", "M/d/yyyy"))
     assert dicts(staged.select("order_date")) == [{"order_date": date(2014, 1, 5)}]
     frame.withColumnRenamed("Sales", "Turnover").write.option("header", True).csv(str(tmp_path / "wrong"))
-    with pytest.raises(PySparkException):
+    with pytest.raises(Py4JJavaError, match="CSV header does not conform"):
         stage(read_raw_orders(spark, str(tmp_path / "wrong"), "csv")).collect()
 
 
