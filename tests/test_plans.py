@@ -81,6 +81,21 @@ def test_training_writes_its_reports(panel, monthly, tmp_path, spark):
     assert models.load_model(str(tmp_path / "models/sales_forecast_rf"))
 
 
+def test_a_panel_with_gaps_trains_unless_strict(spark, tmp_path):
+    values = [("a", n, 50 + n * n % 13) for n in range(24)] + [("b", n, 30 + n) for n in range(24) if n != 8]
+    monthly = monthly_frame(spark, values, ["s"])
+    rows = forecast_training(monthly, ["s"])
+    with pytest.raises(ValueError, match="skips"):
+        train_plan.train("rf", rows, monthly, str(tmp_path), ["s"], **TREES)
+    done = train_plan.train("rf", rows, monthly, str(tmp_path), ["s"], strict=False, **TREES)
+    assert {(r["s"], r["Baseline"]) for r in dicts(done.evaluation)} >= {("b", 30.0 + 9), ("b", 30.0 + 10)}
+
+
+def test_a_backtest_refuses_broken_features(panel):
+    with pytest.raises(FeatureContractError, match="repeats"):
+        backtest.compare_feature_sets(panel.union(panel), {"rf": TREES}, ["s"], folds=2)
+
+
 def test_holdout_is_not_trained_on(panel, monthly):
     rows = train_plan.holdout_forecast("rf", panel, monthly, ["s"], **TREES)
     doubled = F.when(F.col("target_month") >= "2016-04-01", F.col("target_sales") * 2).otherwise(F.col("target_sales"))
@@ -91,7 +106,7 @@ def test_holdout_is_not_trained_on(panel, monthly):
 
 
 def test_feature_set_comparison(panel, tmp_path, spark):
-    done = backtest.compare_feature_sets(panel, {"rf": TREES}, folds=2, months=2)
+    done = backtest.compare_feature_sets(panel, {"rf": TREES}, ["s"], folds=2, months=2)
     rows = dicts(done.results.orderBy("feature_set", "fold"))
     assert [(r["feature_set"], r["feature_count"], r["fold"]) for r in rows] == [
         ("five_features", 5, 1), ("five_features", 5, 2), ("six_features", 6, 1), ("six_features", 6, 2)

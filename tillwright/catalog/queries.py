@@ -321,10 +321,7 @@ def backtest_fold_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sub_category_panel(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Written training rows and monthly sales of all sub-category series.
-
-    Rows are sorted by month, so that the folds of a backtest skip the row groups of other months.
-    """
+    """Written training rows, sorted by month, and monthly sales of all sub-category series."""
     monthly = written(_by_sub_category(spark, folder), "monthly")
     rows = features.forecast_training(monthly, ["sub_category"]).orderBy("target_month", "sub_category")
     return written(rows, "training"), monthly
@@ -347,8 +344,9 @@ def gbt_holdout_forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def feature_set_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = _sub_category_panel(spark, folder)
-    return backtest.compare_feature_sets(rows, {"rf": SMALL_FOREST, "gbt": SMALL_BOOST}).results
+    keys = ["sub_category"]
+    rows = written(features.forecast_training(_by_sub_category(spark, folder), keys), "training")
+    return backtest.compare_feature_sets(rows, {"rf": SMALL_FOREST, "gbt": SMALL_BOOST}, keys).results
 
 
 def _forecasts(spark: SparkSession, folder: str, log: str) -> DataFrame:

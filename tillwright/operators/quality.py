@@ -298,7 +298,7 @@ def _validated(frame: DataFrame, columns: Sequence[str], keys: Sequence[str], on
 
 def validate_training(frame: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Typed training rows in month order, or FeatureContractError."""
-    return _validated(frame, TRAINING_COLUMNS, keys, one_per_series=False).orderBy(*keys, "target_month")
+    return _validated(frame, TRAINING_COLUMNS, keys, one_per_series=False).orderBy("target_month", *keys)
 
 
 def validate_prediction(frame: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -28,10 +28,11 @@ def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     return frame.groupBy(*keys).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
 
 
-def monthly_series(monthly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def monthly_series(monthly: DataFrame, keys: Sequence[str] = (), gaps: bool = False) -> DataFrame:
     """Typed (keys, month, total_sales) rows of complete series.
 
-    Raises ValueError on missing columns, invalid dates or amounts, repeated months and gaps.
+    Raises ValueError on missing columns, invalid dates or amounts, repeated months and, unless
+    `gaps` are allowed, missing months.
     """
     absent = {"month", "total_sales", *keys} - set(monthly.columns)
     if absent:
@@ -46,7 +47,7 @@ def monthly_series(monthly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         raise ValueError("monthly sales holds invalid months or amounts")
     if not duplicate_keys(series, [*keys, "month"]).isEmpty():
         raise ValueError("monthly sales repeats a month")
-    if not missing_months(series, keys).isEmpty():
+    if not gaps and not missing_months(series, keys).isEmpty():
         raise ValueError("monthly sales skips a month")
     return series.orderBy(*keys, "month")
 

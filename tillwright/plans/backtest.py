@@ -22,6 +22,7 @@ from tillwright.operators.evaluation import (
     fold_wins,
     test_months,
 )
+from tillwright.operators.quality import validate_training
 from tillwright.session import written
 from tillwright.sinks.tables import as_csv
 
@@ -40,6 +41,7 @@ class Comparison:
 def compare_feature_sets(
     training: DataFrame,
     settings: Mapping[str, Mapping] | None = None,
+    keys: Sequence[str] = (),
     feature_sets: Mapping[str, Sequence[str]] = FEATURE_SETS,
     folds: int = FOLDS,
     months: int = FOLD_MONTHS,
@@ -47,9 +49,11 @@ def compare_feature_sets(
 ) -> Comparison:
     """Fit every model and feature set on each fold and measure the fold's test months.
 
-    `settings` maps the models to run to their setting overrides. `training` is a written table;
-    several fits are in flight at once, as in Spark's own cross-validation.
+    `settings` maps the models to run to their setting overrides. The training rows are validated
+    and written once, sorted by month, so that a fold skips the row groups of other months. Several
+    fits are in flight at once, as in Spark's own cross-validation.
     """
+    training = written(validate_training(training, keys), "training")
     settings = {name: {} for name in models.MODELS} if settings is None else settings
     calendar = written(fold_calendar(training, folds, months), "folds")
     starts = {row["fold"]: row["test_start"] for row in calendar.select("fold", "test_start").collect()}

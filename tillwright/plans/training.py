@@ -88,12 +88,17 @@ def train(
     out: str,
     keys: Sequence[str] = (),
     horizon: int = HOLDOUT_MONTHS,
+    strict: bool = True,
     **settings,
 ) -> Trained:
-    """Validate, evaluate, refit on all rows, and write model, evaluation and report below `out`."""
+    """Validate, evaluate, refit on all rows, and write model, evaluation and report below `out`.
+
+    Strict runs refuse gaps in a series and hold-out months without a baseline. A panel of series
+    that come and go is run with `strict=False`: such hold-out rows are then left out.
+    """
     training = written(validate_training(training, keys), "training")
-    monthly = written(monthly_series(monthly, keys), "monthly")
-    evaluation = written(holdout_forecast(name, training, monthly, keys, horizon, **settings), "evaluation")
+    monthly = written(monthly_series(monthly, keys, gaps=not strict), "monthly")
+    evaluation = written(holdout_forecast(name, training, monthly, keys, horizon, strict, **settings), "evaluation")
     metrics = forecast_metrics(evaluation, ["Forecast", "Baseline"])
     final = models.fit(name, training, **settings)
     out = out.rstrip("/")
