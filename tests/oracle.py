@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from tillwright.session import local_session
 
 DATA = Path("/root/testdata")
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
 def connect(folder: str):
@@ -35,10 +36,10 @@ def compare(spark, con, folder: str, name: str) -> str | None:
     want = rows_of(names, result.fetchall())
     if sorted(frame.columns) != sorted(names):
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
-    kinds = {n: str(d[1]) for n, d in zip(names, result.description)}
-    odd = {n: k for n, k in kinds.items() if k in ("HUGEINT", "TIMESTAMP") or k.startswith("DECIMAL")}
+    types = {n: str(d[1]) for n, d in zip(names, result.description)}
+    odd = {n: (t, types[n]) for n, t in frame.dtypes if SQL_TYPES.get(t) != types[n]}
     if odd:
-        return f"oracle types {odd}"
+        return f"types {odd}"
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}"
     differing = [(g, w) for g, w in zip(got, want) if g != w]

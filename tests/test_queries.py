@@ -58,6 +58,11 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     assert "customer" not in plan and "part.parquet" not in plan
 
 
+def test_top_products_are_cut_before_the_shuffle(spark):
+    plan = final_plan(entry.queries()["top10_products_per_subcategory"](spark, SF))
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_orders_are_counted_without_expanding_rows(spark, no_broadcast):
     plan = final_plan(entry.queries()["mart_sales_by_segment"](spark, SF))
     assert "Expand" not in plan

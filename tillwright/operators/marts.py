@@ -157,6 +157,7 @@ def top_products(totals: DataFrame, limit: int = 10) -> DataFrame:
     """Products ranked up to `limit` inside their sub-category, ties included."""
     best_first = Window.partitionBy("sub_category").orderBy(F.desc("total_sales"))
     # The rank filter becomes a group limit below the shuffle: a map task keeps only its own best.
-    return totals.withColumn("rank_in_subcategory", F.rank().over(best_first)).filter(
+    best = totals.withColumn("rank_in_subcategory", F.rank().over(best_first)).filter(
         F.col("rank_in_subcategory") <= limit
     )
+    return best.withColumn("rank_in_subcategory", F.col("rank_in_subcategory").cast("bigint"))
