@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from tillwright.session import local_session
 
 DATA = Path("/root/testdata")
-SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 
 def connect(folder: str):
