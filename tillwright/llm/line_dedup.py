@@ -116,8 +116,11 @@ def keep_bitmaps(
 
 def kept_text() -> Column:
     """The kept lines of a row of `keep_bitmaps`, joined by line feeds."""
-    lines = _lines(F.col("_text"))
-    kept = F.flatten(F.transform("_keep", lambda r: F.slice(lines, r["start"] + 1, r["length"])))
+    # The lines enter the lambda as its variable; named inside, they would be split anew for every run.
+    kept = F.transform(
+        F.array(_lines(F.col("_text"))),
+        lambda lines: F.flatten(F.transform("_keep", lambda r: F.slice(lines, r["start"] + 1, r["length"]))),
+    )[0]
     return F.when(F.col("_n_dropped") == 0, F.coalesce("_text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
 
 
