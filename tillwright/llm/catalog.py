@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import line_dedup
+from tillwright.llm import decontaminate, line_dedup, substrings
 from tillwright.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,28 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), window=10
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@_query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_words(_table(spark, folder, "documents"), window=35).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_line_dedup"] = r"""
@@ -64,3 +86,57 @@ SELECT doc_id, count(*) AS n_lines,
 FROM keyed LEFT JOIN frequent ON keyed.key = frequent.key
 GROUP BY doc_id
 """
+
+ORACLES["op7_decontamination"] = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+item_at AS (
+  SELECT item_id, words, least(10, len(words)) AS size,
+         unnest(generate_series(1, len(words) - least(10, len(words)) + 1)) AS pos
+  FROM iw WHERE len(words) > 0),
+item_window AS (
+  SELECT DISTINCT item_id, size, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS win FROM item_at),
+sizes AS (SELECT DISTINCT size FROM item_window),
+doc_at AS (
+  SELECT doc_id, words, size, unnest(generate_series(1, len(words) - size + 1)) AS pos
+  FROM dw, sizes WHERE len(words) >= size),
+hit AS (
+  SELECT doc_id, pos, d.size, item_id
+  FROM (SELECT doc_id, pos, size, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS win FROM doc_at) d
+  JOIN item_window i ON d.size = i.size AND d.win = i.win),
+word AS (
+  SELECT doc_id, count(DISTINCT w) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(pos, pos + size - 1)) AS w FROM hit) GROUP BY doc_id),
+item AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN word ON dw.doc_id = word.doc_id LEFT JOIN item ON dw.doc_id = item.doc_id
+"""
+
+ORACLES["op8_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (
+  SELECT doc_id, pos, md5(array_to_string(list_slice(words, pos, pos + 34), ' ')) AS win
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 34)) AS pos FROM d WHERE len(words) >= 35)),
+repeated AS (SELECT win FROM win GROUP BY win HAVING count(*) > 1),
+start AS (SELECT doc_id, pos FROM win JOIN repeated ON win.win = repeated.win),
+word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+reach AS (
+  SELECT word.doc_id, word, word.pos,
+         max(start.pos) OVER (PARTITION BY word.doc_id ORDER BY word.pos) AS last
+  FROM word LEFT JOIN start ON word.doc_id = start.doc_id AND word.pos = start.pos),
+kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE last > pos - 35) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (WHERE last IS NULL OR last <= pos - 35) AS kept
+  FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""

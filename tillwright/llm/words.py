@@ -88,8 +88,8 @@ def _offsets(texts: pa.Array) -> np.ndarray:
     return raw[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
 
 
-def split(texts: pa.Array, rule: Rule) -> Words:
-    """Words of each text; null is an empty text."""
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the texts, and where each begins (one more at the end); null is an empty text."""
     offsets = _offsets(texts)
     buffer = texts.buffers()[2]
     low, high = int(offsets[0]), int(offsets[-1])
@@ -100,6 +100,12 @@ def split(texts: pa.Array, rule: Rule) -> Words:
         sizes = np.where(empty, 0, np.diff(offsets))
         keep = np.repeat(~empty, np.diff(offsets))
         raw, offsets = raw[keep], np.concatenate(([0], np.cumsum(sizes)))
+    return raw, offsets
+
+
+def split(texts: pa.Array, rule: Rule) -> Words:
+    """Words of each text."""
+    raw, offsets = text_bytes(texts)
     data = raw if rule.mapped is None else rule.mapped[raw]
     inside = rule.is_word[data]
     edges = offsets[:-1][offsets[:-1] < len(data)]
