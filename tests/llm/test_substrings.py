@@ -1,0 +1,43 @@
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from tests.llm.helpers import prose
+from tillwright.llm import substrings
+
+
+def brute(rows, window):
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    wins = Counter(tuple(w[i : i + window]) for w in split for i in range(len(w) - window + 1))
+    out = []
+    for (doc_id, _), w in zip(rows, split):
+        gone = {j for i in range(len(w) - window + 1) if wins[tuple(w[i : i + window])] > 1 for j in range(i, i + window)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((str(doc_id), len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("window", "bits"), [(35, 28), (8, 20), (7, 7), (1, 20), (2, 20)])
+def test_matches_brute_force(docs, window, bits):
+    rng = random.Random(window)
+    shared = [prose(i, 90, 60) for i in range(6)]
+    rows = []
+    for i in range(40):
+        parts = [prose(1000 + i, rng.randrange(50), 60)]
+        for _ in range(rng.randrange(3)):
+            words = rng.choice(shared).split(" ")
+            begin = rng.randrange(60)
+            parts += [" ".join(words[begin : begin + rng.randrange(20, 60)]), prose(rng.random(), rng.randrange(30), 60)]
+        rows.append((i, rng.choice([" ", "\n", " \t "]).join(parts)))
+    rows += [(50, None), (51, ""), (52, "é " * 80), (53, rows[3][1]), (None, rows[4][1]), (3, rows[3][1]), (54, "A " * window), (55, "x\x85y\xa0z " * 9)]
+    found = substrings.repeated_words(docs(rows), window=window, index_bits=bits).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found) == brute(rows, window)
+
+
+def test_empty_table_and_clashing_columns(docs):
+    assert substrings.repeated_words(docs([])).count() == 0
+    rows = docs([(1, prose(1, 60)), (2, prose(1, 60))]).selectExpr("doc_id", "text", "1 AS row", "2 AS win", "3 AS block")
+    assert [r["n_removed"] for r in substrings.repeated_words(rows).collect()] == [60, 60]

@@ -15,6 +15,8 @@ PROBES = 4
 
 def table(values: DataFrame, column: str, bits: int) -> np.ndarray:
     """Table over a bigint column of well-mixed hashes; null values are left out."""
+    if bits < 7:
+        raise ValueError("a bit table has 7 bits of address at least")
     mask = " | ".join(f"shiftleft(1L, cast(shiftright(value, {6 * probe}) & 63L AS int))" for probe in range(PROBES))
     filled = (
         values.select(F.col(column).alias("value"))

@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontaminate, line_dedup, substrings
-from tillwright.session import tune
+from tillwright.llm import (
+    decontaminate,
+    html_text,
+    language,
+    line_dedup,
+    mixing,
+    near_dup,
+    neighbours,
+    pii,
+    substrings,
+    tokens,
+)
+from tillwright.session import tune, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTERED: dict[str, Query] = {}
@@ -34,6 +45,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in the order of the mixture; a source weighs the square root of its size."""
+    rows = _table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mix(rows, "source", order=["doc_id"])
+
+
 @_query
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.keep_bitmaps(_table(spark, folder, "documents"), min_docs=10, min_chars=1)
@@ -45,6 +63,56 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of all documents, and after two edits of each: a note put in at some place of the first half, and
+    some characters of the second half taken out. The places follow from the document's id."""
+    state = tokens.count_tokens(_table(spark, folder, "documents").select("doc_id", "text"))
+    size = F.coalesce(F.char_length("_text"), F.lit(0))
+    half = F.floor(size / 2).cast("int")
+    place = F.pmod(F.xxhash64("doc_id"), half + 1).cast("int")
+    begin = half + F.pmod(F.xxhash64("doc_id", F.lit(1)), size - half + 1).cast("int")
+    edit = lambda start, end, new: F.struct(
+        start.alias("start"), end.alias("end"), F.lit(new).alias("replacement")
+    )
+    edits = F.array(edit(place, place, " [note]"), edit(begin, F.least(begin + 40, size), ""))
+    return tokens.apply_edits(state.withColumn("_edits", edits)).select(
+        "doc_id",
+        F.col("_n_before").alias("n_tokens"),
+        F.col("_n_tokens").alias("n_tokens_edited"),
+        F.col("_n_reencoded").alias("n_chars_reencoded"),
+    )
+
+
+@_query
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    texts = html_text.extract(_table(spark, folder, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@_query
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its class: the smallest id in it, and its number of documents."""
+    found = near_dup.near_duplicates(_table(spark, folder, "documents"))
+    sizes = written(
+        found.groupBy("class_row").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size")), "classes"
+    )
+    return found.join(sizes, "class_row").select(F.col("id").alias("doc_id"), "class_id", "class_size")
+
+
+@_query
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @_query
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(
@@ -67,6 +135,28 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@_query
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents: the declared language is `lang`, the host is `source`."""
+    docs = _table(spark, folder, "documents")
+    found = language.identify(docs, language.train(docs), "doc_id", "text", declared="lang", host="source")
+    return found.withColumnsRenamed({"id": "doc_id", "language": "lang"})
+
+
+@_query
+def page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Web pages: markup language, host and address suffix, with the text model of the documents."""
+    pages = language.page_evidence(_table(spark, folder, "pages"))
+    model = language.train(_table(spark, folder, "documents"))
+    found = language.identify(pages, model, "id", "text", "declared", "host", "suffix")
+    return found.withColumnsRenamed({"id": "page_id", "language": "lang"})
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_line_dedup"] = r"""

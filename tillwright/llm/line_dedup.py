@@ -57,7 +57,7 @@ def sorted_lines(keyed: DataFrame, min_chars: int) -> DataFrame:
         .select(*[F.xxhash64(F.lit(salt), "_line").alias(name) for salt, name in enumerate(_LINE)], *_DOC, "_pos")
         .repartitionByRange(*_LINE, *_DOC)
         .groupBy(*_LINE, *_DOC)
-        .agg(F.array_sort(F.collect_list("_pos")).alias("_positions"))
+        .agg(F.array_sort(F.collect_set("_pos")).alias("_positions"))
         .sortWithinPartitions(*_LINE, *_DOC)
     )
 

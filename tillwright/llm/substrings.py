@@ -82,6 +82,41 @@ def _candidates(
             )
 
 
+def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of windows sorted by hash, those whose neighbour is equal (`row`, `start`). The first and the last window of
+    a partition may have their like in the next one: they come out with `win`, and without `row` if known to repeat."""
+    carried = None  # last window so far and whether the one before it is equal
+    first = True
+    names = ["row", "start", "win"]
+
+    def made(rows, starts, wins) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(rows, pa.int64()), pa.array(starts, pa.int32()), pa.array(wins, pa.int64())], names=names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows, starts, wins = (batch.column(n).to_numpy() for n in names)
+        like_before = np.zeros(len(wins) + 1, bool)
+        if carried is not None:
+            rows, starts, wins = (np.concatenate(([a], b)) for a, b in zip(carried[0], (rows, starts, wins)))
+            like_before[0] = carried[1]
+        like_before = like_before[: len(wins)]
+        equal = wins[1:] == wins[:-1]
+        like_before[1:] = equal
+        repeat = like_before[:-1] | equal
+        if first and len(repeat):
+            first = False
+            yield made([None if repeat[0] else rows[0]], [None if repeat[0] else starts[0]], [wins[0]])
+        kept = np.flatnonzero(repeat)
+        yield made(rows[kept], starts[kept], pa.nulls(len(kept), pa.int64()))
+        carried = (rows[-1], starts[-1], wins[-1]), like_before[-1]
+    if carried is not None:
+        (row, start, win), repeat = carried
+        yield made([None if repeat else row], [None if repeat else start], [win])
+        if repeat:
+            yield made([row], [start], [None])
+
+
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Per document what is left without the words of the repeated windows that start at `starts`."""
     for batch in batches:
@@ -125,8 +160,13 @@ def repeated_words(
     # The row number is fixed by writing it: a retried task can't change what was committed.
     scanned = written(scanned.withColumn("row", F.monotonically_increasing_id()), "passages")
     candidates = scanned.where("text IS NOT NULL").select("row", F.inline(F.arrays_zip("start", "win")))
-    repeated = written(candidates.groupBy("win").count().where("count > 1").select("win"), "repeated-windows")
-    starts = candidates.join(repeated, "win").groupBy("row").agg(F.collect_list("start").alias("starts"))
+    # One shuffle compares all windows: sorted by hash, equal ones are neighbours, however many there are.
+    ordered = candidates.repartitionByRange("win", "row", "start").sortWithinPartitions("win", "row", "start")
+    repeats = written(ordered.mapInArrow(_repeats, "row bigint, start int, win bigint"), "repeated-windows")
+    edges = repeats.where("win IS NOT NULL")  # two per partition
+    alike = written(edges.groupBy("win").count().where("count > 1").select("win"), "edges")
+    starts = repeats.where("win IS NULL").unionByName(edges.where("row IS NOT NULL").join(alike, "win").select("row", "start", "win"))
+    starts = starts.groupBy("row").agg(F.collect_list("start").alias("starts"))
     cleaned = (
         scanned.where("text IS NOT NULL").select("row", "text").join(starts, "row")
         .mapInArrow(partial(_kept, window=window), "row bigint, n_removed bigint, kept string")
