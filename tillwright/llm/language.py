@@ -174,8 +174,12 @@ def identify(
     # The language a text alone would have; texts without letters have none.
     vote = F.when(F.col("n_grams") > 0, F.array_position("scores", F.array_max("scores")) - 1)
     scanned = written(scanned.withColumn("vote", vote.cast("int")), "language-scores")
+    if not languages:  # nothing to choose from
+        return scanned.select(
+            "id", F.lit(UNKNOWN).alias("language"), F.lit(1.0).alias("confidence"), "n_grams", F.lit(False).alias("keep")
+        )
     hosts = written(scanned.groupBy("suffix", "host").agg(_tally("vote", languages).alias("own")), "hosts")
-    even = F.array(*[F.lit(1.0 / max(len(languages), 1))] * len(languages))
+    even = F.array(*[F.lit(1.0 / len(languages))] * len(languages))
     sums = [F.sum(F.col("own")[i]).alias(f"n{i}") for i in range(len(languages))]
     packed = F.array(*[F.coalesce(f"n{i}", F.lit(0)) for i in range(len(languages))])
     corpus = hosts.agg(F.count("*").alias("hosts"), *sums).select(packed.alias("all"))
@@ -186,7 +190,7 @@ def identify(
     priors = written(priors.select("suffix", "host", "prior"), "host-priors")
     # How often a language is declared for texts of a language: at most a few declared values matter, so the
     # table is keyed by those that are languages of the model; others say nothing.
-    said = F.when(F.col("declared").isin(languages), F.col("declared")) if languages else F.lit(None)
+    said = F.when(F.col("declared").isin(languages), F.col("declared"))
     tally = {
         (r["said"], r["vote"]): r["n"]
         for r in scanned.where("vote IS NOT NULL").groupBy(said.alias("said"), "vote").agg(F.count("*").alias("n")).collect()
@@ -203,7 +207,7 @@ def identify(
     uniform = -BUCKET_BITS * math.log(2) * text_weight
     heard = F.transform("scores", lambda s: s * F.lit(text_weight / UNIT))
     total = F.zip_with(F.zip_with(heard, evidence, lambda a, b: a + b), "prior", lambda a, p: a + F.log(p))
-    none = F.col("n_grams") * F.lit(uniform) + F.lit(math.log(unknown_prior)) + F.lit(-math.log(max(len(languages), 1)))
+    none = F.col("n_grams") * F.lit(uniform) + F.lit(math.log(unknown_prior)) + F.lit(-math.log(len(languages)))
     names = F.array(*[F.lit(x) for x in [*languages, UNKNOWN]])
     best = F.array_max("all")
     scored = scanned.join(priors, ["suffix", "host"]).withColumn("all", F.concat(total, F.array(none)))

@@ -88,7 +88,7 @@ class Counted:
             # Leaves with the edited characters and one more on each side.
             first = max(0, int(np.searchsorted(starts, max(start - 1, 0), side="right")) - 1)
             last = min(len(self.sizes), int(np.searchsorted(starts, min(end + 1, size), side="left")))
-            if regions and first < regions[-1][1]:
+            if regions and (first < regions[-1][1] or first == regions[-1][0]):
                 regions[-1][1] = max(last, regions[-1][1])
                 regions[-1][2].append((start, end, new))
             else:
