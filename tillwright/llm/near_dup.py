@@ -173,15 +173,15 @@ def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
     return rows.select(F.greatest(one, other).alias("u"), F.least(one, other).alias("v")).distinct()
 
 
-def _members(texts: DataFrame) -> DataFrame:
+def _members(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Buckets of two or more: `bucket`, `at` (number of its sketch), `row`, `size`, and `score`, the number of
-    members of all buckets of the row."""
+    members of all buckets of the row; and the rows that are in any."""
     each = texts.select("row", "size", F.posexplode("sketches").alias("at", "sketch"))
     each = each.select(F.xxhash64("at", "sketch").alias("bucket"), "at", "row", "size")
     shared = written(each.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     members = written(each.join(shared, "bucket"), "shared-members")
     scores = written(members.groupBy("row").agg(F.sum("members").alias("score")), "scores")
-    return written(members.drop("members").join(scores, "row"), "members")
+    return written(members.drop("members").join(scores, "row"), "members"), scores.select("row")
 
 
 def _central_pairs(members: DataFrame, threshold: float) -> DataFrame:
@@ -244,7 +244,8 @@ def near_duplicates(
     texts = scanned.where("size > 0").join(wordings.where("row = first").select("row"), "row")
     texts = written(texts.select("row", "size", "sketches", "words"), "texts")
 
-    members = _members(texts)
+    members, shared = _members(texts)
+    texts = written(texts.join(shared, "row"), "shared-texts")  # most documents share no bucket
     result = written(_compare(_central_pairs(members, threshold), texts, threshold), "central-tests")
     tested, links = result.select("u", "v"), components(result.where("linked").select("u", "v"))
     sketches = texts.select("row", "sketches")
