@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.llm import decontaminate, language, line_dedup, mixing, near_dup
+from tillwright.llm.shipping import ship
 from tillwright.session import tune, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,7 +27,7 @@ def _stage(run: Stage) -> Stage:
 
     @wraps(run)
     def tuned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return run(tune(spark), docs, sf_dir)
+        return run(tune(ship(spark)), docs, sf_dir)
 
     return tuned
 

@@ -19,6 +19,7 @@ from tillwright.llm import (
     substrings,
     tokens,
 )
+from tillwright.llm.shipping import ship
 from tillwright.session import tune, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +28,7 @@ _REGISTERED: dict[str, Query] = {}
 
 def _query(run: Query) -> Query:
     def tuned(spark: SparkSession, folder: str) -> DataFrame:
-        return run(tune(spark), folder)
+        return run(tune(ship(spark)), folder)
 
     _REGISTERED[run.__name__] = tuned
     return run
