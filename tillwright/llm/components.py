@@ -13,29 +13,36 @@ def _nearest(edges: DataFrame) -> DataFrame:
     return written(edges.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("low", "u")), "nearest")
 
 
-def _step(edges: DataFrame, large: bool) -> DataFrame:
-    """Re-hang neighbours onto the smallest node: all greater ones (large star), or all smaller ones (small star)."""
-    if large:
-        both = written(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both-ways")
-        hung = both.join(_nearest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-    else:
-        nearest = _nearest(edges)
-        hung = edges.join(nearest, "u").where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        hung = hung.unionByName(nearest.select("u", F.col("low").alias("v")))
-    return written(hung.where("u != v").distinct(), "stars")
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Greater neighbours are hung onto the smallest node around each node."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    hung = both.join(_nearest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+    return written(hung.distinct(), "large-star")
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Smaller neighbours, and the node itself, are hung onto the smallest node around it."""
+    nearest = _nearest(edges)
+    hung = edges.join(nearest, "u").where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+    return written(hung.unionByName(nearest.select("u", F.col("low").alias("v"))).distinct(), "small-star")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs onto one other node that itself hangs onto none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.min("hangs").alias("low"))
+    return nodes.where("hangs > 1 OR (hangs = 1 AND low = 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """`u`, `v` for each node that is not the smallest of its component, with `v` the smallest.
 
-    `edges` holds bigint columns `u > v` in any number of copies. Ends when a round changes nothing, after a
-    number of rounds that grows with the logarithm of the number of nodes. The driver sees one count and one
-    checksum per round.
+    `edges` holds bigint columns `u > v` in any number of copies. The number of rounds grows with the logarithm
+    of the number of nodes; the driver learns only whether a round was the last.
     """
-    state, seen = written(edges.select("u", "v").distinct(), "edges"), None
-    while True:
-        now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen or not now[0]:
-            return state
-        seen = now
-        state = _step(_step(state, large=True), large=False)
+    state = written(edges.select("u", "v").distinct(), "edges")
+    while not _are_stars(state):
+        state = _small_star(_large_star(state))
+    return state

@@ -11,9 +11,9 @@ more are linked; classes are the connected components of the links.
 Documents with the same words form one class beforehand and enter with one representative. A bucket is not
 paired out. Its members are first compared with its most central one, the document whose buckets are the
 fullest: of a text and its edited copies, that is the text. After that, only members of different components are
-compared: all of them in buckets of at most `PAIRED` members; in larger ones, the most central member outside
-the largest component with all others, before the bucket is cut by the next sketch, and so on until all buckets
-are small or hold one component. No step handles more than `SKETCHES` rows per document. What can be missed
+compared: all of them in buckets of at most `PAIRED` members; in larger ones, three members outside the central
+one's component with all others, before the bucket is cut by the next sketches, and so on until all buckets
+are small or hold one component; each cut doubles the number of sketches that members agree in. No step handles more than `SKETCHES` rows per document. What can be missed
 is a link between two documents that is not needed to reach a centre of any bucket they share, and that
 shares no small bucket; the README gives the recall measured against all pairs.
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -173,15 +173,16 @@ def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
     return rows.select(F.greatest(one, other).alias("u"), F.least(one, other).alias("v")).distinct()
 
 
-def _members(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Buckets of two or more: `bucket`, `at` (number of its sketch), `row`, `size`, and `score`, the number of
-    members of all buckets of the row; and the rows that are in any."""
+def _sharing(texts: DataFrame) -> DataFrame:
+    """Documents that share a bucket with others: `row`, `size`, their `buckets` (hash, and number of the sketch it
+    stands for), and `score`, the number of members of all of them."""
     each = texts.select("row", "size", F.posexplode("sketches").alias("at", "sketch"))
     each = each.select(F.xxhash64("at", "sketch").alias("bucket"), "at", "row", "size")
     shared = written(each.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "shared")
-    members = written(each.join(shared, "bucket"), "shared-members")
-    scores = written(members.groupBy("row").agg(F.sum("members").alias("score")), "scores")
-    return written(members.drop("members").join(scores, "row"), "members"), scores.select("row")
+    own = each.join(shared, "bucket").groupBy("row", "size")
+    return written(
+        own.agg(F.collect_list(F.struct("bucket", "at")).alias("buckets"), F.sum("members").alias("score")), "sharing"
+    )
 
 
 def _central_pairs(members: DataFrame, threshold: float) -> DataFrame:
@@ -195,7 +196,7 @@ def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the buckets that reach over several components, with the component (`top`), the number of
     members, and the component of the most central one (`main`)."""
     tops = links.select(F.col("u").alias("row"), F.col("v").alias("top"))
-    labelled = written(members.join(tops, "row", "left").withColumn("top", F.coalesce("top", "row")), "labelled")
+    labelled = members.join(tops, "row", "left").withColumn("top", F.coalesce("top", "row"))
     stats = labelled.groupBy("bucket").agg(
         F.count("*").alias("members"),
         F.min("top").alias("low"),
@@ -214,18 +215,27 @@ def _cross_pairs(small: DataFrame, threshold: float) -> DataFrame:
     return _pairs(joined.where(_similar_sizes("size", "other_size", threshold)), "row", "other")
 
 
-def _outside_pairs(large: DataFrame, threshold: float) -> DataFrame:
-    """The most central member outside the main component, with all members of other components than its own."""
-    centres = large.where("top != main").groupBy("bucket").agg(F.max(F.struct("score", "row", "size", "top")).alias("centre"))
-    joined = large.join(written(centres, "outside-centres"), "bucket").withColumn("other", F.col("centre.row"))
-    return _pairs(joined.where("top != centre.top").where(_similar_sizes("size", "centre.size", threshold)), "row", "other")
+def _outside_pairs(large: DataFrame, threshold: float, depth: int) -> DataFrame:
+    """Three members outside the main component, the most central one and two that differ by depth, each with all
+    members of other components than its own."""
+    ranks = [F.col("score"), F.xxhash64("row", F.lit(depth)), F.xxhash64("row", F.lit(-depth))]
+    centres = F.array(*[F.max(F.struct(rank.alias("rank"), "row", "size", "top")) for rank in ranks])
+    outside = large.where("top != main").groupBy("bucket").agg(centres.alias("centres"))
+    joined = large.join(written(outside, "outside-centres"), "bucket").withColumn("centre", F.explode("centres"))
+    joined = joined.where("top != centre.top").where(_similar_sizes("size", "centre.size", threshold))
+    return _pairs(joined.withColumn("other", F.col("centre.row")), "row", "other")
 
 
-def _finer(large: DataFrame, sketches: DataFrame, depth: int) -> DataFrame:
-    """The buckets cut by one more sketch, the one after those that their members agree in."""
-    place = (F.col("at") + depth) % SKETCHES
+def _finer(large: DataFrame, sketches: DataFrame, depth: int, further: int) -> DataFrame:
+    """The buckets cut by the sketches that follow those that their members agree in, up to `further` in all."""
+    more = [F.get("sketches", (F.col("at") + n) % SKETCHES) for n in range(depth, further)]
     joined = large.select("bucket", "at", "row", "size", "score").join(sketches, "row")
-    return joined.select(F.xxhash64("bucket", F.get("sketches", place)).alias("bucket"), "at", "row", "size", "score")
+    return joined.select(F.xxhash64("bucket", *more).alias("bucket"), "at", "row", "size", "score")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs that pass the comparison."""
+    return written(_compare(pairs, texts, threshold).where("linked").select("u", "v"), "links")
 
 
 def near_duplicates(
@@ -239,38 +249,37 @@ def near_duplicates(
     )
     # The row number is fixed by writing it: a retried task can't change what was committed.
     scanned = written(scanned.withColumn("row", F.monotonically_increasing_id()), "sketches")
-    same = written(scanned.groupBy("key1", "key2").agg(F.min("row").alias("first")), "wordings")
-    wordings = written(scanned.select("row", "key1", "key2").join(same, ["key1", "key2"]).select("row", "first"), "first-rows")
-    texts = scanned.where("size > 0").join(wordings.where("row = first").select("row"), "row")
-    texts = written(texts.select("row", "size", "sketches", "words"), "texts")
-
-    members, shared = _members(texts)
-    texts = written(texts.join(shared, "row"), "shared-texts")  # most documents share no bucket
-    result = written(_compare(_central_pairs(members, threshold), texts, threshold), "central-tests")
-    tested, links = result.select("u", "v"), components(result.where("linked").select("u", "v"))
+    wordings = written(scanned.groupBy("key1", "key2").agg(F.min("row").alias("first")), "wordings")
+    firsts = wordings.select(F.col("first").alias("row"))
+    texts = written(scanned.where("size > 0").select("row", "size", "sketches").join(firsts, "row"), "wordings-sketches")
+    sharing = _sharing(texts)  # most documents share no bucket
+    texts = written(scanned.select("row", "sketches", "words").join(sharing.select("row"), "row"), "shared-texts")
+    members = sharing.select("row", "size", "score", F.inline("buckets"))
+    links = [components(_linked(_central_pairs(members, threshold), texts, threshold))]
     sketches = texts.select("row", "sketches")
-    for depth in range(1, SKETCHES + 1):
-        mixed = _mixed(members, links)
+    depth = 1
+    while True:
+        mixed = _mixed(members, links[0])
         large = mixed.where(F.col("members") > PAIRED)
         pairs = _cross_pairs(mixed.where(F.col("members") <= PAIRED), threshold)
-        pairs = pairs.unionByName(_outside_pairs(large, threshold)).distinct()
-        result = written(_compare(pairs.join(tested, ["u", "v"], "left_anti"), texts, threshold), "outside-tests")
-        tested = tested.unionByName(result.select("u", "v"))
-        new = result.where("linked").select("u", "v")
-        if not new.isEmpty():
-            links = components(links.unionByName(new))
+        links.append(_linked(pairs.unionByName(_outside_pairs(large, threshold, depth)).distinct(), texts, threshold))
         if depth == SKETCHES or large.isEmpty():
             break
-        members = _finer(large, sketches, depth)
+        further = min(depth + max(1, depth // 2), SKETCHES)
+        members, depth = _finer(large, sketches, depth, further), further
+    # The central links decide nearly all components; the few others join them at the end.
+    links = components(reduce(DataFrame.unionByName, links))
     tops = wordings.join(links.select(F.col("u").alias("first"), F.col("v").alias("top")), "first", "left")
-    return scanned.select("row", "id").join(tops.select("row", F.coalesce("top", "first").alias("class_row")), "row")
+    tops = written(tops.select("key1", "key2", F.coalesce("top", "first").alias("class_row")), "classes")
+    return scanned.select("id", "row", "key1", "key2").join(tops, ["key1", "key2"]).select("id", "row", "class_row")
 
 
 def one_per_class(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with one row of each class, all columns unchanged."""
-    keyed = docs.select(*[F.xxhash64(F.lit(salt), F.struct("*")).alias(f"_k{salt}") for salt in range(2)], "*")
-    packed = keyed.select(F.struct("_k0", "_k1").alias("key"), F.col(text).alias("text"))
+    keys = [f"_near_dup_key{salt}" for salt in range(2)]
+    keyed = docs.select(*[F.xxhash64(F.lit(salt), F.struct("*")).alias(key) for salt, key in enumerate(keys)], "*")
+    packed = keyed.select(F.struct(*keys).alias("key"), F.col(text).alias("text"))
     classes = near_duplicates(packed, "key", "text", threshold)
     kept = written(classes.where("row = class_row").select("id.*"), "kept-rows")
     # Rows that are equal in all columns share a key; one of them stays.
-    return keyed.join(kept, ["_k0", "_k1"], "left_semi").dropDuplicates(["_k0", "_k1"]).drop("_k0", "_k1")
+    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
