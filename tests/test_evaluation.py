@@ -35,6 +35,13 @@ def test_holdout_split(spark):
     assert len(split) == 10
     with pytest.raises(ValueError):
         ev.holdout_split(training(spark, 10), 0)
+    values = [("a", n, n) for n in range(16)] + [("b", n, n) for n in range(4, 13)]
+    panel = forecast_training(monthly_frame(spark, values, ["s"]), ["s"])
+    own = {(r["s"], r["target_month"]): r["split"] for r in dicts(ev.holdout_split(panel, keys=["s"]))}
+    assert {s for (k, _), s in own.items() if k == "b"} == {"short"} and own["a", month(13)] == "test"
+    pooled = {(r["s"], r["target_month"]): r["split"] for r in dicts(ev.holdout_split(panel, keys=["s"], calendar=True))}
+    assert {s for (k, _), s in pooled.items() if k == "b"} == {"train"} and len(pooled) == len(own)
+    assert {m for (k, m), s in pooled.items() if s == "test"} == {month(13), month(14), month(15)}
     with pytest.raises(PySparkException, match="too few months"):
         ev.holdout_split(training(spark, 3)).collect()
 
@@ -61,7 +68,9 @@ def test_baseline_missing(spark):
     monthly = monthly_frame(spark, [(0, 5), (2, 7), (3, 8)])
     targets = spark.createDataFrame([(month(2), 7.0), (month(3), 8.0)], "target_month date, target_sales double")
     loose = dicts(ev.with_baseline(targets, monthly, strict=False))
-    assert [(r["target_month"], r["Baseline"]) for r in loose] == [(month(3), 7.0)]
+    assert sorted((r["target_month"], r["Baseline"]) for r in loose) == [(month(2), None), (month(3), 7.0)]
+    metrics = {r["model"]: r for r in dicts(ev.forecast_metrics(ev.with_baseline(targets, monthly, strict=False), ["Baseline"]))}
+    assert metrics["Baseline"]["mae"] == 1.0
     with pytest.raises(PySparkException, match="neither"):
         ev.with_baseline(targets, monthly).collect()
 

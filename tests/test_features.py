@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from tests.helpers import dicts, month, monthly_frame
 from tillwright.contract import FEATURES
-from tillwright.operators.features import forecast_training, next_month_features
+from tillwright.operators.features import forecast_training, next_month_features, stale_series
 from tillwright.operators.series import missing_months, monthly_series, seasonal_naive
 
 
@@ -77,8 +77,8 @@ def test_features_of_random_panels(spark, panel):
     columns = ["s", "target_month", *FEATURES]
     want = sorted(f for s, n in panel if (f := features(s, n)))
     assert sorted(tuple(r) for r in forecast_training(monthly, ["s"]).select(columns).collect()) == want
-    last = {s: max(n for t, n in panel if t == s) for s, _ in panel}
-    want = sorted(f for s, n in last.items() if (f := features(s, n + 1)))
+    last = max(n for _, n in panel)
+    want = sorted(f for s in {s for s, _ in panel} if (f := features(s, last + 1)))
     assert sorted(tuple(r) for r in next_month_features(monthly, ["s"]).select(columns).collect()) == want
 
 
@@ -90,7 +90,12 @@ def test_panel_series_stay_apart(spark):
         ("None", month(6)), ("a", month(6)), ("a", month(7)), ("a", month(8))
     ]
     following = {r["s"]: r["lag_1"] for r in dicts(next_month_features(monthly, ["s"]))}
-    assert following == {"a": 9.0, "b": 108.0, None: 6.0}
+    assert following == {"a": 9.0, "b": 108.0}  # the third series ended two months before
+    behind = {(r["s"], r["last_month"], r["months_behind"]) for r in dicts(stale_series(monthly, ["s"]))}
+    assert behind == {(None, month(6), 2)}
+    assert stale_series(monthly, ["s"], as_of=month(7)).count() == 0
+    early = dicts(next_month_features(monthly, ["s"], as_of=month(7)))
+    assert {r["s"]: r["lag_1"] for r in early} == {"a": 7.0, None: 6.0} and {r["target_month"] for r in early} == {month(7)}
 
 
 def test_gaps_and_series_checks(spark):
@@ -118,3 +123,24 @@ def test_seasonal_naive_uses_calendar_months(spark):
     assert got[month(0)] is None  # nothing before it
     assert got[month(5)] == 5.0  # previous month
     assert got[month(13)] == 2.0  # twelve months ago, although one row is missing between
+
+
+def counted(spark, frame, counts):
+    """The frame, counting the rows that are computed."""
+    def pass_on(batches):
+        for batch in batches:
+            counts.add(batch.num_rows)
+            yield batch
+    return frame.mapInArrow(pass_on, frame.schema)
+
+
+def test_a_lazy_input_is_computed_once(spark, tmp_path):
+    from tillwright.plans import training
+
+    monthly = monthly_frame(spark, [(n, 100 + n * n % 13) for n in range(24)])
+    counts = spark.sparkContext.accumulator(0)
+    monthly_series(counted(spark, monthly, counts)).collect()
+    assert counts.value == 24
+    rows, lazy = forecast_training(monthly), spark.sparkContext.accumulator(0)
+    training.train("rf", counted(spark, rows, lazy), monthly, str(tmp_path), numTrees=2, maxDepth=2)
+    assert lazy.value == 18

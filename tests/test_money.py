@@ -1,11 +1,13 @@
 from decimal import Decimal
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tests.helpers import dicts
 from tillwright.functions.money import exact_sum, partial_sum, rounded
-from pyspark.sql import functions as F
 
 AMOUNTS = st.lists(st.one_of(st.none(), st.decimals(-(10**10), 10**10, places=4)), min_size=1, max_size=40)
 
@@ -29,3 +31,25 @@ def test_huge_totals_do_not_overflow(spark):
 def test_ties_round_half_up(spark):
     frame = spark.createDataFrame([(1.005,), (2.675,), (-1.005,), (0.05125,)], "x double")
     assert [r["r"] for r in dicts(frame.select(rounded(F.col("x"), 2).alias("r")))] == [1.01, 2.68, -1.01, 0.05]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.integers(2, 8), st.lists(st.integers(-(10**12), 10**12), min_size=1, max_size=20))
+def test_no_decimal_is_lost(spark, places, units):
+    amounts = [Decimal(u).scaleb(-places) for u in units]
+    frame = spark.createDataFrame([(float(a), a) for a in amounts], f"x double, d decimal(30,{places})")
+    kept = frame.groupBy((F.col("x") > 0).alias("k")).agg(partial_sum(frame, "d").alias("d"))
+    assert kept.agg(exact_sum(kept, "d").alias("s")).first()["s"] == sum(amounts)
+    summed = frame.agg(exact_sum(frame, "x").alias("s"))
+    if all(a == round(a, 6) for a in amounts):
+        assert summed.first()["s"] == sum(amounts)
+    else:
+        with pytest.raises(Exception, match="more than 6 decimals"):
+            summed.collect()
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), 1e300])
+def test_values_without_exact_parts_raise(spark, value):
+    frame = spark.createDataFrame([(1.0,), (value,)], "x double")
+    with pytest.raises(Exception, match="decimals|CAST_OVERFLOW"):
+        frame.agg(exact_sum(frame, "x").alias("s")).collect()

@@ -2,6 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.helpers import dicts, monthly_frame
@@ -12,7 +13,8 @@ from tillwright.operators.features import forecast_training, next_month_features
 from tillwright.plans import backtest, training as train_plan, warehouse
 from tillwright.plans.forecasting import forecast_and_log
 from tillwright.session import written
-from tillwright.sinks.forecast_log import LOG_COLUMNS, latest_forecasts, numbered
+from tillwright.sinks.forecast_log import LOG_SCHEMA, latest_forecasts, numbered
+from tillwright.sinks.tables import as_table, read_table
 from tillwright.sources import marts as mart_reads
 from tillwright.sources.star import order_lines, order_totals
 
@@ -40,14 +42,6 @@ def test_defaults_are_the_full_settings(spark):
         models.create_model("arima")
 
 
-def test_xgboost_is_optional(spark):
-    try:
-        import xgboost  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError, match="xgboost"):
-            models.create_model("xgb")
-
-
 @pytest.mark.parametrize("name, settings", [("rf", TREES), ("gbt", {"maxIter": 3, "maxDepth": 3})])
 def test_same_seed_same_model(panel, name, settings):
     first, second = (dicts(models.predict(models.fit(name, panel, **settings), panel).orderBy("s", "target_month")) for _ in "12")
@@ -77,7 +71,8 @@ def test_training_writes_its_reports(panel, monthly, tmp_path, spark):
     report = json.loads(part.read_text())
     assert report["training_rows_total"] == 72 and report["holdout_rows"] == 6 and report["horizon"] == 2
     assert report["holdout_start"] == "2016-05-01" and report["training_end"] == report["holdout_end"] == "2016-06-01"
-    assert report["feature_columns"] == list(FEATURES) and len(report["metrics"]) == 2
+    assert report["feature_columns"] == list(FEATURES) and set(report["metrics"]) == {"Baseline", "Model"}
+    assert set(report["metrics"]["Model"]) == {"MAPE", "sMAPE", "MAE", "RMSE"}
     assert models.load_model(str(tmp_path / "models/sales_forecast_rf"))
 
 
@@ -127,7 +122,11 @@ def test_forecasts_are_logged_with_growing_ids(panel, monthly, tmp_path, spark):
         assert all(r["forecast"] == round(r["prediction"], 2) and r["feature_source"] for r in rows)
     newest = dicts(latest_forecasts(spark, log, 4))
     assert [r["id"] for r in newest] == [6, 5, 4, 3]
-    assert set(newest[0]) == {*LOG_COLUMNS, "s"} and None not in newest[0].values()
+    assert ", ".join(f"{n} {t}" for n, t in latest_forecasts(spark, log).dtypes) == LOG_SCHEMA
+    assert None not in newest[0].values() and set(newest[0]["series"]) == {"s"}
+    single = next_month_features(monthly.filter("s = 'a'").drop("s"))
+    forecast_and_log(model, "rf", single, log)  # another kind of run in the same log
+    assert dicts(latest_forecasts(spark, log, 1))[0]["id"] == 7 and dicts(latest_forecasts(spark, log, 1))[0]["series"] == {}
     for limit in (0, 101):
         with pytest.raises(ValueError):
             latest_forecasts(spark, log, limit)
@@ -160,7 +159,12 @@ def test_warehouse_from_lines_and_from_orders(spark, tmp_path):
     assert len(first) == 9
     for name in first:
         assert sorted(map(repr, first[name].collect())) == sorted(map(repr, second[name].collect())), name
-    # A rebuild replaces the tables.
+    # A rebuild replaces the tables; a failing one leaves them, and a table can be rebuilt from itself.
+    with pytest.raises(PySparkException):
+        as_table(first["mart_monthly_sales"].withColumn("month", F.raise_error(F.lit("broken"))), str(tmp_path / "a"), "mart_monthly_sales")
+    assert read_table(spark, str(tmp_path / "a"), "mart_monthly_sales").count() == 80
+    as_table(read_table(spark, str(tmp_path / "a"), "mart_monthly_sales").limit(7), str(tmp_path / "a"), "mart_monthly_sales")
+    assert read_table(spark, str(tmp_path / "a"), "mart_monthly_sales").count() == 7
     first = warehouse.build(lines, str(tmp_path / "a"), publish=True)
     assert first["mart_monthly_sales"].count() == second["mart_monthly_sales"].count() == 80
     folder = str(tmp_path / "a")

@@ -105,6 +105,11 @@ def test_valid_training_is_typed_and_sorted(monthly):
         (lambda f: f.withColumn("lag_1", F.lit(None).cast("double")), r"missing feature values in \['lag_1'\]"),
         (lambda f: f.withColumn("lag_3", F.lit("n/a")), r"non-numeric feature values in \['lag_3'\]"),
         (lambda f: f.withColumn("month_of_year", F.lit(13)), "1 to 12"),
+        (lambda f: f.withColumn("month_of_year", F.lit(1.5)), "whole number"),
+        (lambda f: f.withColumn("target_month", F.col("target_month").cast("timestamp") + F.expr("interval 1 hour")), "invalid dates"),
+        (lambda f: f.withColumn("target_month", F.concat(F.col("target_month").cast("string"), F.lit(" 10:00"))), "invalid dates"),
+        (lambda f: f.withColumn("target_month", F.col("target_month").cast("string")).union(
+            f.withColumn("target_month", F.date_format("target_month", "yyyy-M-d"))), "repeats"),
     ],
 )
 def test_training_contract(monthly, spoil, message):

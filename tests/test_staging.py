@@ -22,6 +22,13 @@ def test_names_and_types(spark):
     assert types["order_date"] == "date"
 
 
+def test_all_columns_are_needed_unless_pruned(spark):
+    few = raw(spark, raw_line("1")).drop("City")
+    with pytest.raises(ValueError, match="City"):
+        stage(few)
+    assert "city" not in stage(few, pruned=True).columns
+
+
 def test_text_measures_are_cast(spark):
     text = raw(spark, raw_line("1")).withColumns({c: F.col(c).cast("string") for c in ("Sales", "Quantity")})
     assert dicts(stage(text).select("sales", "quantity")) == [{"sales": 10.0, "quantity": 2}]

@@ -89,3 +89,34 @@ def test_null_groups_are_groups(spark, folder):
     assert got[7]["pct_of_category_sales"] == 78.43 and got[7]["avg_discount"] is None
     categories = {r["category"]: r for r in dicts(marts.sales_by_category(lines))}
     assert categories[None]["order_count"] == 2 and categories[None]["avg_discount"] == 0.1
+
+
+def test_line_keys_differ_for_different_lines(spark):
+    from tillwright.sources.star import line_key
+
+    day = datetime(2014, 3, 9)
+    base = (1, 2, 3, 4, 1.0, 2.5, 0.05, 0.0, "A", None, day)
+    other = [
+        (1, 2, 3, 4, 1.0, 2.5, 0.05, 0.0, None, "A", day),
+        (1, 2, 3, 4, 1.0, 2.501, 0.05, 0.0, "A", None, day),
+        (1, 2, 3, 4, 1.0, 2.5, 0.05, 0.0, "A|", None, day),
+        (1, 2, 3, 4, 1.0, 2.5, 0.05, 0.0, "A", "", day),
+        (1, 2, 3, 4, 1.0, 2.5, 0.05, 0.0, "A", "\\N", day),
+        (1, 2, 3, 4, 1.0, 250.0, 0.05, 0.0, "A", None, day),
+        (1, 2, None, 4, 1.0, 2.5, 0.05, 0.0, "A", None, day),
+        (1, 2, 3, 4, 1.0, 2.5, 0.05, 0.0, "A", None, None),
+    ]
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    keys = [r[0] for r in spark.createDataFrame([base, base, *other], schema).select(line_key()).collect()]
+    assert keys[0] == keys[1] and len(set(keys)) == len(keys) - 1
+
+
+def test_profit_needs_whole_hundredths(spark):
+    from tillwright.sources.star import line_profit
+
+    frame = spark.createDataFrame([(10.255, 0.05)], "l_extendedprice double, l_discount double")
+    with pytest.raises(Exception, match="2 decimals"):
+        frame.select(line_profit().alias("p")).collect()

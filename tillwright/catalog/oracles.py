@@ -6,9 +6,6 @@ along a second route. Amounts are summed as decimals and rounded on the decimal
 
 from __future__ import annotations
 
-from tillwright.catalog.queries import ACCEPTED
-from tillwright.operators.quality import declared_checks
-
 
 def _round(value: str, places: int) -> str:
     return f"CAST(ROUND(CAST({value} AS DECIMAL(30,10)), {places}) AS DOUBLE)"
@@ -55,12 +52,10 @@ def _history(name: str, source: str, keys: tuple[str, ...]) -> str:
   FROM {name}_pairs GROUP BY {keyed}target_month, target_sales HAVING COUNT(v) = 6)"""
 
 
-def _next(name: str, source: str, keys: tuple[str, ...]) -> str:
-    """The month after the last one of each series of `source`, with its six months of history."""
+def _next(name: str, source: str, keys: tuple[str, ...], last: str = "") -> str:
+    """The month after the last one of all series of `source`, for those with all six months of history."""
     keyed = "".join(f"{k}, " for k in keys)
-    last = f"SELECT {keyed}MAX(month) AS last_month FROM {source}" + (f" GROUP BY {', '.join(keys)}" if keys else "")
-    same = " AND ".join([f"m.{k} = l.{k}" for k in keys] or ["TRUE"])
-    cols = "".join(f"m.{k}, " for k in keys)
+    last = last or f"(SELECT MAX(month) FROM {source})"
     lags = ", ".join(f"MAX(CASE WHEN d = {n} THEN total_sales END) AS lag_{n}" for n in (1, 2, 3))
     means = ", ".join(
         f"CAST(SUM(CASE WHEN d <= {n} THEN CAST(total_sales AS DECIMAL(28,4)) END) AS DOUBLE) / {n} AS rolling_mean_{n}"
@@ -69,19 +64,21 @@ def _next(name: str, source: str, keys: tuple[str, ...]) -> str:
     return f"""
 {name} AS (
   SELECT {keyed}target_month, {lags}, CAST(month(target_month) AS INTEGER) AS month_of_year, {means}
-  FROM (SELECT {cols}m.total_sales, CAST(l.last_month + INTERVAL 1 MONTH AS DATE) AS target_month,
-               {_number('l.last_month')} + 1 - {_number('m.month')} AS d
-        FROM {source} m JOIN ({last}) l ON {same})
-  WHERE d <= 6 GROUP BY {keyed}target_month HAVING COUNT(*) = 6)"""
-
-
-_HUNDREDTHS = ", ".join(
-    f"CAST(ROUND({c} * 100) AS BIGINT)" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-)
-_LINE_KEY = (
-    f"md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, {_HUNDREDTHS}, "
-    "l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d')))"
+  FROM (SELECT {keyed}total_sales, CAST({last} + INTERVAL 1 MONTH AS DATE) AS target_month,
+               {_number(last)} + 1 - {_number('month')} AS d
+        FROM {source})
+  WHERE d BETWEEN 1 AND 6 GROUP BY {keyed}target_month HAVING COUNT(*) = 6)"""
+
+
+_KEY_FIELDS = ", ".join(
+    f"coalesce({text}, '\\N')"
+    for text in (
+        *(f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")),
+        *(f"CAST(CAST(ROUND({c} * 100) AS BIGINT) AS VARCHAR)" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+        *("l_returnflag", "l_linestatus", "strftime(l_shipdate, '%Y-%m-%d')"),
+    )
 )
+_LINE_KEY = f"md5(concat_ws('|', {_KEY_FIELDS}))"
 
 _RELATIONS = f"""
 WITH lines AS (
@@ -142,6 +139,7 @@ by_sub AS (
 {_next('next_all', 'int_monthly', ())},
 {_next('next_segment', 'by_segment', ('segment',))},
 {_next('next_sub', 'by_sub', ('sub_category',))},
+{_next('next_complete', 'int_monthly', (), "DATE '2001-07-01'")},
 holdout AS (
   SELECT t.*, CASE WHEN (SELECT COUNT(*) FROM training n WHERE n.target_month > t.target_month) < 3
                    THEN 'test' ELSE 'train' END AS split
@@ -155,7 +153,7 @@ segment_eval AS (
   FROM segment_test t
   LEFT JOIN by_segment y ON y.segment = t.segment AND y.month = t.target_month - INTERVAL 12 MONTH
   LEFT JOIN by_segment p ON p.segment = t.segment AND p.month = t.target_month - INTERVAL 1 MONTH
-  WHERE COALESCE(y.total_sales, p.total_sales) IS NOT NULL),
+),
 segment_long AS (
   SELECT segment, 'Baseline' AS model, actual AS y, baseline AS p FROM segment_eval
   UNION ALL SELECT segment, 'rolling_mean_3', actual, rolling_mean_3 FROM segment_eval
@@ -274,28 +272,77 @@ _PANEL_CHECK = ("mart_forecast_training", _looked_up("training_sub", "by_sub", (
 _NEXT_CHECK = ("mart_next_month_features", _last_values("next_all", "int_monthly"), _NEXT_FAULTS)
 
 
+# The checks, written out apart from the code under test: relation, check, columns.
+_FEATURES = ("lag_1", "lag_2", "lag_3", "month_of_year", "rolling_mean_3", "rolling_mean_6")
+_CHECKS = (
+    ("stg_orders", "unique", ("row_id",)),
+    ("stg_orders", "not_null", ("row_id", "order_id", "order_date", "sales", "category", "region")),
+    ("stg_orders", "accepted_values", ("category", "region", "segment")),
+    ("int_monthly_sales", "unique", ("month",)),
+    ("int_monthly_sales", "not_null", ("month", "total_sales", "total_profit", "order_count", "unique_customers")),
+    ("mart_monthly_sales", "unique", ("month",)),
+    ("mart_monthly_sales", "not_null", ("month", "total_sales")),
+    ("mart_sales_by_category", "not_null", ("category", "profit_margin_pct")),
+    ("mart_sales_by_category", "accepted_values", ("category",)),
+    ("mart_sales_by_segment", "accepted_values", ("segment",)),
+    ("mart_sales_by_region", "accepted_values", ("region",)),
+    ("mart_product_performance", "not_null", ("product_id",)),
+    ("mart_forecast_training", "unique", ("target_month",)),
+    ("mart_forecast_training", "not_null", ("target_month", "target_sales", *_FEATURES)),
+    ("mart_forecast_training", "accepted_values", ("month_of_year",)),
+    ("mart_next_month_features", "unique", ("target_month",)),
+    ("mart_next_month_features", "not_null", ("target_month", *_FEATURES)),
+    ("mart_next_month_features", "accepted_values", ("month_of_year",)),
+)
+_ALLOWED = {
+    "category": "'ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'",
+    "region": "'AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'",
+    "segment": "'AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'",
+    "month_of_year": "1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12",
+}
+
+
+def _repeated(column: str, source: str) -> str:
+    return f"SELECT COUNT(*) FROM (SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
+
+
 def _dq_report() -> str:
     rows = []
-    for relation, checks in declared_checks(ACCEPTED).items():
+    for relation, kind, columns in _CHECKS:
         source = _checked(relation)
-        for check in checks:
-            if check.kind == "unique":
-                repeated = f"SELECT {check.column} FROM {source} WHERE {check.column} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1"
-                failures = f"SELECT COUNT(*) FROM ({repeated})"
-            elif check.kind == "not_null":
-                failures = _count(source, f"{check.column} IS NULL")
-            else:
-                allowed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in check.values)
-                failures = _count(source, f"{check.column} NOT IN ({allowed})")
-            rows.append(_check_row(relation, check.kind, check.column, source, failures))
+        for column in columns:
+            failures = {
+                "unique": _repeated(column, source),
+                "not_null": _count(source, f"{column} IS NULL"),
+                "accepted_values": _count(source, f"{column} NOT IN ({_ALLOWED.get(column)})"),
+            }[kind]
+            rows.append(_check_row(relation, kind, column, source, failures))
     for relation, source, faults in (_TRAINING_CHECK, _NEXT_CHECK):
         failures = " + ".join(f"({_count(source, fault)})" for fault in faults.values())
         rows.append(_check_row(relation, "recomputed", "*", source, f"SELECT {failures}"))
     one = "SELECT CASE WHEN COUNT(*) = 1 THEN 0 ELSE 1 END FROM next_all"
     rows.append(_check_row("mart_next_month_features", "one_row", "*", "next_all", one))
+    rows.append(_check_row("orders", "unique", "o_orderkey", "orders", _repeated("o_orderkey", "orders")))
     return _RELATIONS + "\n" + "\nUNION ALL\n".join(rows)
 
 
+def _training_report() -> str:
+    return f"""{_RELATIONS},{_folds('training', 1, 3, 'split')},
+naive AS (
+  SELECT t.target_sales AS y, COALESCE(a.total_sales, b.total_sales) AS p
+  FROM training t JOIN split ON t.target_month >= test_start
+  LEFT JOIN int_monthly a ON a.month = t.target_month - INTERVAL 12 MONTH
+  LEFT JOIN int_monthly b ON b.month = t.target_month - INTERVAL 1 MONTH)
+SELECT 'seasonal_naive' AS model, 'mart_forecast_training' AS source,
+       training_rows + test_rows AS training_rows_total, training_rows AS evaluation_training_rows,
+       test_rows AS holdout_rows, 3 AS horizon, train_start AS training_start, test_end AS training_end,
+       test_start AS holdout_start, test_end AS holdout_end, mape, smape, mae, rmse
+FROM split, (SELECT {_metrics()} FROM naive)"""
+
+
+_LAST_COMPLETE = "DATE '2001-07-01'"
+
+
 def statements() -> dict[str, str]:
     def plain(select: str) -> str:
         return f"{_RELATIONS}\n{select}"
@@ -315,10 +362,27 @@ def statements() -> dict[str, str]:
         "panel_training_by_subcategory": plain("SELECT * FROM training_sub"),
         "panel_next_month_by_segment": plain("SELECT * FROM next_segment"),
         "panel_next_month_by_subcategory": plain("SELECT * FROM next_sub"),
+        "next_month_features_as_of": plain("SELECT * FROM next_complete"),
+        "stale_series": plain(
+            "SELECT sub_category, MAX(month) AS last_month, "
+            f"CAST({_number(_LAST_COMPLETE)} - {_number('MAX(month)')} AS BIGINT) AS months_behind "
+            f"FROM by_sub WHERE month <= {_LAST_COMPLETE} GROUP BY sub_category HAVING MAX(month) < {_LAST_COMPLETE}"
+        ),
+        "holdout_split_by_subcategory": plain(
+            "SELECT t.*, CASE WHEN n <= 3 THEN 'short' WHEN age <= 3 THEN 'test' ELSE 'train' END AS split "
+            "FROM training_sub t JOIN (SELECT sub_category, target_month, COUNT(*) OVER (PARTITION BY sub_category) AS n, "
+            "row_number() OVER (PARTITION BY sub_category ORDER BY target_month DESC) AS age FROM training_sub) a "
+            "USING (sub_category, target_month)"
+        ),
         "top10_products_per_subcategory": plain(
             "SELECT category, sub_category, rank_in_subcategory, product_id, product_name, total_sales, total_profit, "
             "profit_margin_pct FROM product_rank WHERE rank_in_subcategory <= 10"
         ),
+        "product_totals": plain("SELECT * FROM product_base"),
+        "top10_products_of_category": plain(
+            "SELECT sub_category, rank_in_subcategory, product_id, total_sales FROM product_rank "
+            "WHERE category = 'PROMO' AND rank_in_subcategory <= 10"
+        ),
         "executive_kpis": plain(
             f"SELECT {_MONEY}, COUNT(DISTINCT order_id) AS total_orders, {_MARGIN} FROM lines"
         ),
@@ -348,22 +412,61 @@ def statements() -> dict[str, str]:
         "dq_training_values": _values_report(*_TRAINING_CHECK),
         "dq_panel_training_values": _values_report(*_PANEL_CHECK),
         "dq_next_month_values": _values_report(*_NEXT_CHECK),
+        **{
+            name: f"""{_RELATIONS}, tested AS (
+  SELECT t.target_month, t.target_sales AS "Actual", COALESCE(a.total_sales, b.total_sales) AS "Baseline"
+  FROM holdout t
+  LEFT JOIN int_monthly a ON a.month = t.target_month - INTERVAL 12 MONTH
+  LEFT JOIN int_monthly b ON b.month = t.target_month - INTERVAL 1 MONTH
+  WHERE split = 'test')
+SELECT *, TRUE AS {flag} FROM tested"""
+            for name, flag in (("rf_holdout_rows", "in_range"), ("gbt_holdout_rows", "forecast_present"))
+        },
+        "feature_set_folds": f"{_RELATIONS},{_folds('training', 5, 3, 'fold')}\n"
+        "SELECT 'rf' AS model, s.feature_set, s.feature_count, fold.*, TRUE AS metrics_present, TRUE AS wins_add_up "
+        "FROM fold, (VALUES ('five_features', 5), ('six_features', 6)) s(feature_set, feature_count)",
+        "next_month_forecast": plain(
+            "SELECT 'rf' AS model, *, 'mart_next_month_features' AS feature_source, TRUE AS logged, TRUE AS in_range FROM next_all"
+        ),
+        "latest_forecasts": plain("SELECT CAST(1 AS BIGINT) AS id, 'rf' AS model, 0 AS series_columns, * FROM next_all"),
+        "read_region_mart": plain("SELECT * FROM region_state ORDER BY region, state LIMIT 10"),
+        "read_training_mart": plain("SELECT * FROM training"),
+        "read_next_month_mart": plain("SELECT * FROM next_all"),
+        "read_monthly_mart": plain("SELECT month, total_sales FROM int_monthly"),
+        "adhoc_sql": plain(
+            "SELECT month, total_sales FROM by_segment WHERE segment = 'BUILDING' AND month >= DATE '2000-01-01'"
+        ),
+        "csv_order_lines": plain(
+            "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, "
+            "CAST(product_id AS VARCHAR) AS product_id) FROM lines"
+        ),
+        "csv_evaluation": plain(
+            'SELECT segment, target_month, actual AS "Actual", baseline AS "Baseline" FROM segment_eval'
+        ),
+        "json_training_report": _training_report(),
+        "contract_faults": plain(
+            "SELECT 'empty' AS copy, 'empty' AS fault, '*' AS \"column\", CAST(1 AS BIGINT) AS failures\n"
+            + "\n".join(
+                f"UNION ALL SELECT '{copy}', '{fault}', '{column}', COUNT(*) FROM training "
+                f"WHERE month_of_year = {month} HAVING COUNT(*) > 0"
+                for copy, fault, column, month in (
+                    ("same month as other text", "repeated month", "target_month", 1),
+                    ("no date", "target_month", "target_month", 2),
+                    ("time of day", "target_month", "target_month", 3),
+                    ("month 13", "month_of_year", "month_of_year", 5),
+                    ("month and a half", "month_of_year", "month_of_year", 6),
+                    ("lag missing", "missing feature", "lag_2", 7),
+                    ("lag as text", "text feature", "lag_3", 8),
+                    ("sales missing", "target_sales", "target_sales", 9),
+                )
+            )
+        ),
         "holdout_split": plain("SELECT * FROM holdout"),
         "seasonal_naive_by_segment": plain(
             'SELECT segment, target_month, actual AS "Actual", baseline AS "Baseline" FROM segment_eval'
         ),
         "forecast_metrics_naive": plain(f"SELECT segment, model, {_metrics()} FROM segment_long GROUP BY 1, 2"),
-        "training_report": f"""{_RELATIONS},{_folds('training', 1, 3, 'split')},
-naive AS (
-  SELECT t.target_sales AS y, COALESCE(a.total_sales, b.total_sales) AS p
-  FROM training t JOIN split ON t.target_month >= test_start
-  LEFT JOIN int_monthly a ON a.month = t.target_month - INTERVAL 12 MONTH
-  LEFT JOIN int_monthly b ON b.month = t.target_month - INTERVAL 1 MONTH)
-SELECT 'seasonal_naive' AS model, 'mart_forecast_training' AS source,
-       training_rows + test_rows AS training_rows_total, training_rows AS evaluation_training_rows,
-       test_rows AS holdout_rows, 3 AS horizon, train_start AS training_start, test_end AS training_end,
-       test_start AS holdout_start, test_end AS holdout_end, mape, smape, mae, rmse
-FROM split, (SELECT {_metrics()} FROM naive)""",
+        "training_report": _training_report(),
         "expanding_folds": f"{_RELATIONS},{_folds('training', 5, 3, 'fold')}\nSELECT * FROM fold",
         "backtest_folds": backtest
         + "SELECT 'rolling_mean' AS model, feature_set, 1 AS feature_count, r.fold, training_rows, test_rows, train_start, "

@@ -7,8 +7,10 @@ decides the joins; where lines are not needed it starts from sums per order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.contract import FEATURES
@@ -18,8 +20,19 @@ from tillwright.plans import backtest, training, warehouse
 from tillwright.plans.forecasting import forecast_and_log
 from tillwright.session import tune, work_path, written
 from tillwright.sinks.forecast_log import latest_forecasts as read_latest_forecasts
-from tillwright.sources.marts import latest_months as read_latest_months
-from tillwright.sources.star import GROWING, order_lines, order_totals, products, table_path
+from tillwright.sinks.tables import as_csv, as_json, as_table, as_view
+from tillwright.sources import marts as mart_reads
+from tillwright.sources.orders import read_raw_orders, stage
+from tillwright.sources.star import (
+    GROWING,
+    order_lines,
+    order_totals,
+    part_totals,
+    products,
+    raw_order_lines,
+    staged_checks,
+    table_path,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,11 +43,10 @@ ACCEPTED = {
     "segment": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
 }
 
-# Small models keep the queries short; the library's defaults are the full settings.
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 6}
-SMALL_BOOST = {"maxIter": 10, "maxDepth": 4}
-
 _LATEST = 12
+
+# The last month of the test tables, 2001-08, is partial.
+AS_OF = date(2001, 8, 15)
 _REGISTERED: dict[str, Query] = {}
 
 
@@ -73,7 +85,7 @@ def _by_segment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _by_sub_category(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.monthly_totals(order_lines(spark, folder, "order_date", "sales", "sub_category"), "sub_category")
+    return marts.monthly_totals(part_totals(spark, folder, "sub_category", monthly=True), "sub_category")
 
 
 def _product_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,7 +149,19 @@ def mart_forecast_training(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def mart_next_month_features(spark: SparkSession, folder: str) -> DataFrame:
-    return features.next_month_features(_total_by_month(spark, folder))
+    return features.next_month_features(written(_total_by_month(spark, folder), "monthly"))
+
+
+@_query
+def next_month_features_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The month of `AS_OF` is the first one that is not complete."""
+    return features.next_month_features(_total_by_month(spark, folder), as_of=AS_OF)
+
+
+@_query
+def stale_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Sub-categories without sales in the last complete month."""
+    return features.stale_series(_by_sub_category(spark, folder), ["sub_category"], as_of=AS_OF)
 
 
 @_query
@@ -152,12 +176,12 @@ def panel_training_by_subcategory(spark: SparkSession, folder: str) -> DataFrame
 
 @_query
 def panel_next_month_by_segment(spark: SparkSession, folder: str) -> DataFrame:
-    return features.next_month_features(_by_segment(spark, folder), ["segment"])
+    return features.next_month_features(written(_by_segment(spark, folder), "monthly"), ["segment"])
 
 
 @_query
 def panel_next_month_by_subcategory(spark: SparkSession, folder: str) -> DataFrame:
-    return features.next_month_features(_by_sub_category(spark, folder), ["sub_category"])
+    return features.next_month_features(written(_by_sub_category(spark, folder), "monthly"), ["sub_category"])
 
 
 # Reports.
@@ -177,6 +201,21 @@ def top10_products_per_subcategory(spark: SparkSession, folder: str) -> DataFram
     )
 
 
+_PRODUCT_LINES = (*marts.PRODUCT_KEYS, "order_id", "sales", "profit", "quantity", "discount")
+
+
+@_query
+def product_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Grouped by the four product columns themselves."""
+    return marts.product_totals(order_lines(spark, folder, *_PRODUCT_LINES))
+
+
+@_query
+def top10_products_of_category(spark: SparkSession, folder: str) -> DataFrame:
+    lines = marts.of_products(order_lines(spark, folder, *_PRODUCT_LINES), category="PROMO")
+    return marts.top_products(marts.product_totals(lines)).select("sub_category", "rank_in_subcategory", "product_id", "total_sales")
+
+
 @_query
 def executive_kpis(spark: SparkSession, folder: str) -> DataFrame:
     return dashboards.executive_kpis(order_totals(spark, folder, "order_id"), per_order=True)
@@ -189,7 +228,7 @@ def eda_kpis(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def category_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboards.revenue_by(order_lines(spark, folder, "category", "sales"), "category")
+    return dashboards.revenue_by(part_totals(spark, folder, "category"), "category")
 
 
 @_query
@@ -209,7 +248,9 @@ def price_by_quantity(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def latest_months(spark: SparkSession, folder: str) -> DataFrame:
-    return read_latest_months(marts.monthly_kpis(_monthly(spark, folder)), _LATEST)
+    marts_folder = work_path(spark, "marts")
+    as_table(marts.monthly_kpis(_monthly(spark, folder)), marts_folder, "mart_monthly_sales")
+    return mart_reads.latest_months(mart_reads.read_mart(spark, marts_folder, "mart_monthly_sales"), _LATEST)
 
 
 # Data checks.
@@ -227,7 +268,11 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     relations = warehouse.build(
         order_lines(spark, folder), work_path(spark, "warehouse"), orders, _product_totals(spark, folder)
     )
-    return quality.quality_report(relations, ACCEPTED)
+    staged = staged_checks(spark, folder, quality.declared_checks(ACCEPTED)["stg_orders"])
+    order_keys = spark.read.parquet(table_path(folder, "orders")).select("o_orderkey")
+    report = quality.quality_report(relations, ACCEPTED, {"stg_orders": staged})
+    # Sums per order count on unique order keys.
+    return report.unionByName(quality.unique_check(order_keys, "orders", "o_orderkey"))
 
 
 @_query
@@ -244,7 +289,7 @@ def dq_panel_training_values(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def dq_next_month_values(spark: SparkSession, folder: str) -> DataFrame:
-    monthly = _total_by_month(spark, folder)
+    monthly = written(_total_by_month(spark, folder), "monthly")
     return quality.next_month_value_check(features.next_month_features(monthly), monthly)
 
 
@@ -256,6 +301,12 @@ def holdout_split(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.holdout_split(features.forecast_training(_total_by_month(spark, folder)))
 
 
+@_query
+def holdout_split_by_subcategory(spark: SparkSession, folder: str) -> DataFrame:
+    keys = ["sub_category"]
+    return evaluation.holdout_split(features.forecast_training(_by_sub_category(spark, folder), keys), keys=keys)
+
+
 def _segment_holdout(spark: SparkSession, folder: str) -> DataFrame:
     monthly, keys = _by_segment(spark, folder), ["segment"]
     split = evaluation.holdout_split(features.forecast_training(monthly, keys), keys=keys)
@@ -263,9 +314,13 @@ def _segment_holdout(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.with_baseline(targets, monthly, keys, strict=False)
 
 
+def _naive_by_segment(spark: SparkSession, folder: str) -> DataFrame:
+    return _segment_holdout(spark, folder).select("segment", "target_month", "Actual", "Baseline")
+
+
 @_query
 def seasonal_naive_by_segment(spark: SparkSession, folder: str) -> DataFrame:
-    return _segment_holdout(spark, folder).select("segment", "target_month", "Actual", "Baseline")
+    return _naive_by_segment(spark, folder)
 
 
 @_query
@@ -275,16 +330,22 @@ def forecast_metrics_naive(spark: SparkSession, folder: str) -> DataFrame:
     return _measures(metrics, ("mae", "rmse"), ("mape", "smape"))
 
 
-@_query
-def training_report(spark: SparkSession, folder: str) -> DataFrame:
-    monthly = written(_total_by_month(spark, folder), "monthly")
-    rows = written(features.forecast_training(monthly), "training")
+def _naive_report(spark: SparkSession, folder: str) -> DataFrame:
+    rows, monthly = _training_rows(spark, folder)
     tests = evaluation.test_months(rows, evaluation.fold_calendar(rows, 1, evaluation.HOLDOUT_MONTHS))
     metrics = evaluation.forecast_metrics(evaluation.with_baseline(tests, monthly), ["Baseline"])
-    report = training.training_report(rows, _measures(metrics, ("mae", "rmse"), ("mape", "smape")), "seasonal_naive")
-    flat = report.withColumn("m", F.col("metrics")[0])
-    measures = [F.col(f"m.{c}").alias(c) for c in ("mape", "smape", "mae", "rmse")]
-    return flat.select(*(c for c in report.columns if c not in ("trained_at_utc", "feature_columns", "metrics")), *measures)
+    measured = _measures(metrics, ("mae", "rmse"), ("mape", "smape"))
+    return training.training_report(rows, measured, "seasonal_naive", model="Baseline")
+
+
+def _flat_report(report: DataFrame) -> DataFrame:
+    measures = [F.col(f"metrics.Model.{c}").alias(c.lower()) for c in ("MAPE", "sMAPE", "MAE", "RMSE")]
+    return report.select(*(c for c in report.columns if c not in ("trained_at_utc", "feature_columns", "metrics")), *measures)
+
+
+@_query
+def training_report(spark: SparkSession, folder: str) -> DataFrame:
+    return _flat_report(_naive_report(spark, folder))
 
 
 @_query
@@ -317,54 +378,160 @@ def backtest_fold_wins(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.fold_wins(_mean_backtest(spark, folder), five="rolling_mean_3", six="rolling_mean_6")
 
 
-# Models.
+# Models, on the monthly series at the full settings. A tree's value has no SQL; what surrounds it has.
 
 
-def _sub_category_panel(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Written training rows, sorted by month, and monthly sales of all sub-category series."""
-    monthly = written(_by_sub_category(spark, folder), "monthly")
-    rows = features.forecast_training(monthly, ["sub_category"]).orderBy("target_month", "sub_category")
-    return written(rows, "training"), monthly
+def _training_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Written training rows and monthly sales."""
+    monthly = written(_total_by_month(spark, folder), "monthly")
+    return written(features.forecast_training(monthly).coalesce(1), "training"), monthly
 
 
-def _holdout(spark: SparkSession, folder: str, name: str, settings: dict) -> DataFrame:
-    rows, monthly = _sub_category_panel(spark, folder)
-    return training.holdout_forecast(name, rows, monthly, ["sub_category"], strict=False, **settings)
+def _within_targets(prediction: str, rows: DataFrame) -> Column:
+    """A forest averages training targets, so it never leaves their range."""
+    low, high = rows.agg(F.min("target_sales")).scalar(), rows.agg(F.max("target_sales")).scalar()
+    return F.col(prediction).between(low, high)
 
 
 @_query
-def rf_holdout_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return _holdout(spark, folder, "rf", SMALL_FOREST)
+def rf_holdout_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows, monthly = _training_rows(spark, folder)
+    forecast = training.holdout_forecast("rf", rows, monthly)
+    return forecast.select("target_month", "Actual", "Baseline", _within_targets("Forecast", rows).alias("in_range"))
 
 
 @_query
-def gbt_holdout_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return _holdout(spark, folder, "gbt", SMALL_BOOST)
+def gbt_holdout_rows(spark: SparkSession, folder: str) -> DataFrame:
+    forecast = training.holdout_forecast("gbt", *_training_rows(spark, folder))
+    return forecast.select("target_month", "Actual", "Baseline", F.col("Forecast").isNotNull().alias("forecast_present"))
 
 
 @_query
-def feature_set_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    keys = ["sub_category"]
-    rows = written(features.forecast_training(_by_sub_category(spark, folder), keys), "training")
-    return backtest.compare_feature_sets(rows, {"rf": SMALL_FOREST, "gbt": SMALL_BOOST}, keys).results
+def feature_set_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """Fold results of the forest with either feature set, written as CSV and read back, and whether wins add up."""
+    rows, _ = _training_rows(spark, folder)
+    done = backtest.compare_feature_sets(rows, {"rf": {}})
+    out = work_path(spark, "comparison")
+    done.write(out)
+    folds = spark.read.schema(done.results.schema).option("header", True).csv(f"{out}/feature_set_comparison_results")
+    wins = spark.read.schema(done.wins.schema).option("header", True).csv(f"{out}/feature_set_comparison_wins")
+    added = F.col("six_feature_wins") + F.col("five_feature_wins") + F.col("ties") == F.col("folds")
+    present = F.col("rmse").isNotNull() & F.col("mae").isNotNull() & F.col("mape").isNotNull() & F.col("smape").isNotNull()
+    return folds.withColumns(
+        {"metrics_present": present, "wins_add_up": wins.agg(F.every(added)).scalar()}
+    ).drop("rmse", "mae", "mape", "smape")
 
 
 def _forecasts(spark: SparkSession, folder: str, log: str) -> DataFrame:
-    rows, monthly = _sub_category_panel(spark, folder)
-    model = models.fit("rf", rows, **SMALL_FOREST)
-    return forecast_and_log(
-        model, "rf", features.next_month_features(monthly, ["sub_category"]), log, ["sub_category"]
-    )
+    """The forecast of a forest that was saved and loaded again."""
+    rows, monthly = _training_rows(spark, folder)
+    path = work_path(spark, "model")
+    models.save_model(models.fit("rf", rows), path)
+    forecasts = forecast_and_log(models.load_model(path), "rf", features.next_month_features(monthly), log)
+    return forecasts.withColumn("in_range", _within_targets("prediction", rows))
 
 
 @_query
 def next_month_forecast(spark: SparkSession, folder: str) -> DataFrame:
     forecasts = _forecasts(spark, folder, work_path(spark, "forecast-log"))
-    return forecasts.select("sub_category", "model", "target_month", *FEATURES, "forecast", "feature_source", "logged")
+    return forecasts.select("model", "target_month", *FEATURES, "feature_source", "logged", "in_range")
 
 
 @_query
 def latest_forecasts(spark: SparkSession, folder: str) -> DataFrame:
     log = work_path(spark, "forecast-log")
     _forecasts(spark, folder, log)
-    return read_latest_forecasts(spark, log)
+    rows = read_latest_forecasts(spark, log)
+    return rows.select("id", "model", F.size("series").alias("series_columns"), "target_month", *FEATURES)
+
+
+# Reads of built marts, and files written and read back.
+
+
+@_query
+def read_region_mart(spark: SparkSession, folder: str) -> DataFrame:
+    marts_folder = work_path(spark, "marts")
+    orders = order_totals(spark, folder, "order_id", "customer_id", "region", "state")
+    as_table(marts.sales_by_region(orders, per_order=True), marts_folder, "mart_sales_by_region")
+    return mart_reads.read_mart(spark, marts_folder, "mart_sales_by_region", 10)
+
+
+@_query
+def read_training_mart(spark: SparkSession, folder: str) -> DataFrame:
+    marts_folder = work_path(spark, "marts")
+    as_table(features.forecast_training(_total_by_month(spark, folder)), marts_folder, "mart_forecast_training")
+    return mart_reads.read_training(spark, marts_folder)
+
+
+@_query
+def read_next_month_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart is rebuilt from itself before it is read."""
+    marts_folder, name = work_path(spark, "marts"), "mart_next_month_features"
+    monthly = written(_total_by_month(spark, folder), "monthly")
+    built = as_table(features.next_month_features(monthly), marts_folder, name)
+    as_table(built, marts_folder, name)
+    return mart_reads.read_next_month_features(spark, marts_folder)
+
+
+@_query
+def read_monthly_mart(spark: SparkSession, folder: str) -> DataFrame:
+    marts_folder = work_path(spark, "marts")
+    as_table(_monthly(spark, folder), marts_folder, "int_monthly_sales")
+    return mart_reads.read_monthly_sales(spark, marts_folder)
+
+
+@_query
+def adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
+    as_view(_by_segment(spark, folder), "sales_by_segment_month")
+    sql = "SELECT month, total_sales FROM sales_by_segment_month WHERE segment = :segment AND month >= :since"
+    return mart_reads.run_sql(spark, sql, segment="BUILDING", since=date(2000, 1, 1))
+
+
+@_query
+def csv_order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_path(spark, "raw")
+    as_csv(raw_order_lines(spark, folder).withColumn("Quantity", F.col("Quantity").cast("bigint")), path)
+    return stage(read_raw_orders(spark, path, "csv"))
+
+
+@_query
+def csv_evaluation(spark: SparkSession, folder: str) -> DataFrame:
+    path, rows = work_path(spark, "evaluation"), _naive_by_segment(spark, folder)
+    as_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+@_query
+def json_training_report(spark: SparkSession, folder: str) -> DataFrame:
+    path, report = work_path(spark, "report"), _naive_report(spark, folder)
+    as_json(report, path)
+    return _flat_report(spark.read.schema(report.schema).json(path))
+
+
+# Contract checks over broken copies of the training mart.
+
+
+@_query
+def contract_faults(spark: SparkSession, folder: str) -> DataFrame:
+    good = written(features.forecast_training(_total_by_month(spark, folder)), "training")
+    month, moy = F.col("target_month"), F.col("month_of_year")
+    unpadded = F.concat_ws("-", F.year(month), F.month(month), F.dayofmonth(month))
+
+    def broken(column: str, when: int, value: Column, kind: str) -> DataFrame:
+        return good.withColumn(column, F.when(moy == when, value).otherwise(F.col(column).cast(kind)))
+
+    january = good.filter(moy == 1).withColumn("target_month", unpadded)
+    copies = {
+        "good": good,
+        "empty": good.limit(0),
+        "same month as other text": good.withColumn("target_month", month.cast("string")).unionByName(january),
+        "no date": broken("target_month", 2, F.lit("soon"), "string"),
+        "time of day": broken("target_month", 3, month.cast("timestamp") + F.expr("interval 90 minutes"), "timestamp"),
+        "month 13": broken("month_of_year", 5, F.lit(13), "int"),
+        "month and a half": broken("month_of_year", 6, F.lit(6.5), "double"),
+        "lag missing": broken("lag_2", 7, F.lit(None), "double"),
+        "lag as text": broken("lag_3", 8, F.lit("n/a"), "string"),
+        "sales missing": broken("target_sales", 9, F.lit(float("nan")), "double"),
+    }
+    parts = [quality.contract_faults(copy).select(F.lit(name).alias("copy"), "*") for name, copy in copies.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -1,8 +1,9 @@
 """Exact amounts.
 
 Sums of doubles depend on the order in which tasks finish, so a retried task may change a result.
-Here the whole part and the ten-thousandths of an amount are summed apart as longs: as fast as a
-double sum, the same in any order, and far from overflow over 10^12 rows.
+Here the whole part and the decimals of an amount are summed apart as longs: as fast as a double sum,
+the same in any order, and far from overflow over 10^12 rows. A double with more decimals than
+`PLACES` fails the query in the same pass; a decimal column keeps all places of its own scale.
 """
 
 from __future__ import annotations
@@ -11,29 +12,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: source amounts carry at most four decimals.
-PLACES = 4
+# Decimals of a double amount.
+PLACES = 6
 
-TOTAL = f"decimal(28,{PLACES})"
+TOTAL = f"decimal(30,{PLACES})"
 
 
-def _parts(frame: DataFrame, name: str) -> tuple[Column, Column]:
-    if isinstance(frame.schema[name].dataType, T.StructType):
-        return F.col(f"{name}.whole"), F.col(f"{name}.rest")
-    whole = F.col(name).cast("bigint")
-    return whole, F.rint((F.col(name) - whole) * 10**PLACES).cast("bigint")
+def fits(value: Column, places: int) -> Column:
+    """Whether a double is the nearest one to a number of so many decimals, and its whole part a long."""
+    exact = (F.rint(value * 10**places) / 10**places == value) | (value == F.rint(value))
+    return exact & (F.abs(value) < 2.0**63)
+
+
+def _parts(frame: DataFrame, name: str) -> tuple[Column, Column, int]:
+    """Whole part, rest in units of the last place, and the number of places of a column or of its partial sums."""
+    kind, value = frame.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.StructType):
+        rest = kind.names[1]
+        return value["whole"], value[rest], int(rest.removeprefix("rest"))
+    whole = value.cast("bigint")
+    if isinstance(kind, T.DecimalType):
+        return whole, ((value - whole) * F.lit(10**kind.scale).cast("decimal(38,0)")).cast("bigint"), kind.scale
+    rest = F.rint((value - whole) * 10**PLACES).cast("bigint")
+    misfit = F.raise_error(F.concat(F.lit(f"{name} has more than {PLACES} decimals: "), value.cast("string")))
+    return whole, F.when(fits(value, PLACES) | value.isNull(), rest).otherwise(misfit), PLACES
 
 
 def partial_sum(frame: DataFrame, name: str) -> Column:
     """Sum that later sums can go on adding to: a struct of both parts."""
-    whole, rest = _parts(frame, name)
-    return F.struct(F.sum(whole).alias("whole"), F.sum(rest).alias("rest"))
+    whole, rest, places = _parts(frame, name)
+    return F.struct(F.sum(whole).alias("whole"), F.sum(rest).alias(f"rest{places}"))
 
 
 def exact_sum(frame: DataFrame, name: str) -> Column:
-    """Decimal sum of a double column or of partial sums."""
-    whole, rest = _parts(frame, name)
-    step = F.lit(f"1e-{PLACES}").cast(f"decimal({PLACES},{PLACES})")
+    """Decimal sum of a column or of partial sums."""
+    whole, rest, places = _parts(frame, name)
+    if not places:
+        return F.sum(whole).cast("decimal(20,0)")
+    step = F.lit(f"1e-{places}").cast(f"decimal({places},{places})")
     return F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * step
 
 

@@ -17,37 +17,43 @@ FOLD_MONTHS = 3
 HOLDOUT_MONTHS = 3
 
 
-def holdout_split(training: DataFrame, horizon: int = HOLDOUT_MONTHS, keys: Sequence[str] = ()) -> DataFrame:
-    """Adds `split`: the last `horizon` months of each series are `test`, earlier ones `train`.
-
-    A series with no training month left fails the query.
+def holdout_split(
+    training: DataFrame, horizon: int = HOLDOUT_MONTHS, keys: Sequence[str] = (), calendar: bool = False
+) -> DataFrame:
+    """Adds `split`: the last `horizon` months are `test`, earlier ones `train`.
+
+    The cut is made in each series' own months or, with `calendar`, in the months of the whole input, as a pooled
+    fit needs it. A single series with no training month left fails the query; in a panel the rows of such a
+    series are marked `short`.
     """
     if horizon < 1:
         raise ValueError("horizon must be at least 1")
     series = Window.partitionBy(*keys)
-    age = F.row_number().over(series.orderBy(F.desc("target_month")))
-    months = F.count("*").over(series)
-    split = (
-        F.when(months <= horizon, F.raise_error(F.lit(f"too few months for a hold-out of {horizon}")))
-        .when(age <= horizon, F.lit("test"))
-        .otherwise(F.lit("train"))
-    )
-    return training.withColumn("split", split)
+    if calendar:
+        # One row per calendar month.
+        ages = training.select("target_month").distinct()
+        ages = ages.withColumn("_age", F.row_number().over(Window.orderBy(F.desc("target_month"))))
+        training = training.join(ages, "target_month").select(*training.columns, "_age")
+    else:
+        training = training.withColumn("_age", F.row_number().over(series.orderBy(F.desc("target_month"))))
+    none_left = F.max("_age").over(series) <= horizon
+    short = F.lit("short") if keys else F.raise_error(F.lit(f"too few months for a hold-out of {horizon}"))
+    split = F.when(none_left, short).when(F.col("_age") <= horizon, F.lit("test")).otherwise(F.lit("train"))
+    return training.withColumn("split", split).drop("_age")
 
 
 def with_baseline(targets: DataFrame, monthly: DataFrame, keys: Sequence[str] = (), strict: bool = True) -> DataFrame:
     """Evaluation rows: adds `Actual` and `Baseline` to the target rows.
 
-    A target without a baseline fails the query, or is dropped if not `strict`.
+    A target without a baseline fails the query or, if not `strict`, keeps a NULL baseline, which every error
+    measure skips.
     """
     naive = seasonal_naive(monthly, keys).withColumnRenamed("month", "target_month")
-    rows = null_safe_join(targets, naive.drop("total_sales"), [*keys, "target_month"])
+    rows = null_safe_join(targets, naive.drop("total_sales"), [*keys, "target_month"], "left")
+    baseline = F.col("baseline")
     if strict:
         none = F.raise_error(F.lit("a hold-out month has neither last year's nor the previous month's sales"))
-        baseline = F.when(F.col("baseline").isNull(), none).otherwise(F.col("baseline"))
-    else:
-        rows = rows.filter(F.col("baseline").isNotNull())
-        baseline = F.col("baseline")
+        baseline = F.when(baseline.isNull(), none).otherwise(baseline)
     return rows.withColumns({"Actual": F.col("target_sales"), "Baseline": baseline})
 
 
@@ -113,6 +119,7 @@ def fold_results(test_rows: DataFrame, calendar: DataFrame, predictions: dict[st
     return (
         measured.withColumnRenamed("model", "feature_set")
         .join(calendar, "fold")
+        # The result columns.
         .select(
             F.lit(model).alias("model"),
             "feature_set",

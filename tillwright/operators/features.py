@@ -52,36 +52,51 @@ def forecast_training(monthly: DataFrame, keys: Sequence[str] = (), as_of: date
     return rows.filter(complete).select(*keys, *TRAINING_COLUMNS)
 
 
+def _last_month(monthly: DataFrame, as_of: date | None) -> Column:
+    """Last complete month of the whole input: the one before `as_of`, else the newest one in the data."""
+    if as_of is not None:
+        return F.add_months(month_start(F.lit(as_of)), -1)
+    return monthly.agg(F.max("month").alias("month")).scalar()
+
+
 def next_month_features(monthly: DataFrame, keys: Sequence[str] = (), as_of: date | None = None) -> DataFrame:
-    """The feature row of the month after the last one of each series.
+    """The feature row of the month after the last complete one, the same month for every series.
 
-    A series without six consecutive last months gives no row. The last month in the data counts
-    as complete unless `as_of` leaves it out.
+    A series whose history does not reach over the six months before gives no row; `stale_series` names
+    those that ended earlier. Without `as_of` the newest month of the whole input counts as complete, and
+    `monthly` is read twice: pass a written table.
     """
     monthly = months_before(monthly, as_of)
-    newest_first = Window.partitionBy(*keys).orderBy(F.desc("month"))
     age = F.col("_age")
 
     def mean_of_last(n: int) -> Column:
         return ratio(F.sum(F.when(age <= n, _exact_total())), F.count(F.when(age <= n, F.col("total_sales"))))
 
     last = (
-        monthly.select(*keys, "month", "total_sales")
-        .withColumn("_age", F.row_number().over(newest_first))
+        monthly.select(*keys, "month", "total_sales", _last_month(monthly, as_of).alias("_last"))
+        .withColumn("_age", months_apart("_last", "month") + 1)
         .filter(age <= HISTORY)
         .groupBy(*keys)
         .agg(
             F.count("*").alias("_months"),
-            F.min("month").alias("_start"),
-            F.max("month").alias("_end"),
+            F.max("_last").alias("_end"),
             *(F.max(F.when(age == n, F.col("total_sales"))).alias(f"lag_{n}") for n in (1, 2, 3)),
             mean_of_last(3).alias("rolling_mean_3"),
             mean_of_last(HISTORY).alias("rolling_mean_6"),
         )
     )
     return (
-        last.filter((F.col("_months") == HISTORY) & (months_apart("_end", "_start") == HISTORY - 1))
+        last.filter(F.col("_months") == HISTORY)
         .withColumn("target_month", F.add_months("_end", 1))
         .withColumn("month_of_year", F.month("target_month"))
         .select(*keys, *PREDICTION_COLUMNS)
     )
+
+
+def stale_series(monthly: DataFrame, keys: Sequence[str], as_of: date | None = None) -> DataFrame:
+    """Series that end before the last complete month of the whole input, with their own last month and the
+    number of months they lack."""
+    monthly = months_before(monthly, as_of)
+    ends = monthly.groupBy(*keys).agg(F.max("month").alias("last_month"))
+    ends = ends.withColumn("months_behind", months_apart(_last_month(monthly, as_of), "last_month"))
+    return ends.filter(F.col("months_behind") > 0).withColumn("months_behind", F.col("months_behind").cast("bigint"))

@@ -119,6 +119,13 @@ def sales_by_region(lines: DataFrame, per_order: bool = False) -> DataFrame:
     ).orderBy(F.desc("total_sales"))
 
 
+def of_products(lines: DataFrame, category: str | None = None, sub_category: str | None = None) -> DataFrame:
+    """Lines of one category or sub-category: the filter of the product report, below its aggregate."""
+    if category is not None:
+        lines = lines.filter(F.col("category") == category)
+    return lines if sub_category is None else lines.filter(F.col("sub_category") == sub_category)
+
+
 def product_totals(lines: DataFrame, *keys: str) -> DataFrame:
     """Rounded product measures by the four product columns.
 

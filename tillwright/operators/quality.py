@@ -116,6 +116,22 @@ def column_checks(frame: DataFrame, relation: str, checks: Sequence[Check]) -> D
     return _report(totals, relation, [("unique", key, "_unique"), *named])
 
 
+def unique_check(keys: DataFrame, relation: str, column: str) -> DataFrame:
+    """Repeated keys of a one-column frame. Nothing but the key is shuffled."""
+    key = keys.columns[0]
+    per_key = keys.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_copies"))
+    repeated = F.count_if((F.col("_copies") > 1) & F.col("_key").isNotNull()).alias("_unique")
+    return _report(per_key.agg(F.sum("_copies").alias("_rows"), repeated), relation, [("unique", column, "_unique")])
+
+
+def weighted_checks(frame: DataFrame, weight: str, relation: str, checks: Sequence[Check]) -> DataFrame:
+    """Row checks over a frame in which a row stands for `weight` rows of the relation."""
+    counts = {f"_{i}": c for i, c in enumerate(checks)}
+    sums = [F.sum(F.when(_fails(c), F.col(weight)).otherwise(0)).alias(name) for name, c in counts.items()]
+    totals = frame.agg(F.sum(weight).alias("_rows"), *sums)
+    return _report(totals, relation, [(c.kind, c.column, name) for name, c in counts.items()])
+
+
 def one_row_check(frame: DataFrame, relation: str) -> DataFrame:
     """Fails unless the relation has exactly one row."""
     counts = frame.agg(F.count("*").alias("_rows"), (F.count("*") != 1).cast("bigint").alias("_bad"))
@@ -167,8 +183,8 @@ def training_value_check(
 def next_month_value_check(
     features: DataFrame, monthly: DataFrame, keys: Sequence[str] = (), relation: str = "mart_next_month_features"
 ) -> DataFrame:
-    """Recompute the next-month features from the calendar distance to the last month."""
-    last = F.max("month").over(Window.partitionBy(*keys))
+    """Recompute the next-month features from the calendar distance to the last month of all series."""
+    last = monthly.agg(F.max("month")).scalar()
     months = monthly.select(*keys, "month", "total_sales", months_apart(last, "month").alias("_back")).filter(
         F.col("_back") < 6
     )
@@ -179,7 +195,7 @@ def next_month_value_check(
 
     expected = months.groupBy(*keys).agg(
         F.count("*").alias("_months"),
-        F.add_months(F.max("month"), 1).alias("_target"),
+        F.add_months(F.max(last), 1).alias("_target"),
         *(F.max(F.when(F.col("_back") == k - 1, F.col("total_sales"))).alias(f"_lag{k}") for k in (1, 2, 3)),
         mean(3).alias("_mean3"),
         mean(6).alias("_mean6"),
@@ -201,9 +217,18 @@ def next_month_value_check(
     return _count_failures(rows, relation, failing)
 
 
-def quality_report(tables: Mapping[str, DataFrame], accepted: Mapping[str, Sequence[str]] = ACCEPTED) -> DataFrame:
-    """Every declared check and the three feature checks over the given relations."""
-    parts = [column_checks(tables[name], name, checks) for name, checks in declared_checks(accepted).items()]
+def quality_report(
+    tables: Mapping[str, DataFrame],
+    accepted: Mapping[str, Sequence[str]] = ACCEPTED,
+    checked: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Every declared check and the three feature checks over the given relations.
+
+    `checked` holds reports, with all declared checks, of relations that were looked at in another way.
+    """
+    checked = checked or {}
+    declared = declared_checks(accepted).items()
+    parts = [checked[name] if name in checked else column_checks(tables[name], name, checks) for name, checks in declared]
     features, monthly = tables["mart_next_month_features"], tables["int_monthly_sales"]
     values = [
         training_value_check(tables["mart_forecast_training"], monthly),
@@ -251,49 +276,88 @@ def _number(frame: DataFrame, name: str) -> Column:
     return F.col(name) if _is_number(frame, name) else F.col(name).try_cast("double")
 
 
-def _validated(frame: DataFrame, columns: Sequence[str], keys: Sequence[str], one_per_series: bool) -> DataFrame:
+def _plain_date(frame: DataFrame, name: str) -> Column:
+    """The date of a date column, of a text of just a date, or of a timestamp at midnight; else NULL."""
+    kind, value = frame.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.DateType):
+        return value
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.when(F.date_trunc("day", value) == value, value.cast("date"))
+    text = F.trim(value.cast("string"))
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), text.try_cast("date"))
+
+
+# What a broken contract says, in this order.
+MESSAGES = {
+    "empty": "no training rows",
+    "not one row": "expected one prediction row per series",
+    "target_month": "target_month holds invalid dates",
+    "repeated month": "target_month repeats",
+    "target_sales": "target_sales holds missing or non-numeric values",
+    "missing feature": "missing feature values",
+    "text feature": "non-numeric feature values",
+    "month_of_year": "month_of_year is not a whole number from 1 to 12",
+}
+
+
+def contract_faults(
+    frame: DataFrame, columns: Sequence[str] = TRAINING_COLUMNS, keys: Sequence[str] = (), one_per_series: bool = False
+) -> DataFrame:
+    """One row per fault of a feature table: `fault`, the `column` it is in, and the `failures`.
+
+    Row faults count rows, a repeated month counts months (of a series), and `not one row` series. A month is a
+    plain date, whatever its text looks like, and is parsed before months are compared.
+    """
     require_columns(frame, [*keys, *columns])
-    month = F.col("target_month").try_cast("date")
-    moy = _number(frame, "month_of_year")
-    counts = [F.count_if(month.isNull()).alias("dates")]
+    month, moy = _plain_date(frame, "target_month"), _number(frame, "month_of_year")
+    counts = {("target_month", "target_month"): month.isNull()}
     if "target_sales" in columns:
         sales = _number(frame, "target_sales")
-        counts.append(F.count_if(_absent_value(frame, "target_sales") | sales.isNull()).alias("target"))
+        counts["target_sales", "target_sales"] = _absent_value(frame, "target_sales") | sales.isNull() | F.isnan(sales.cast("double"))
     for name in FEATURES:
-        counts.append(F.count_if(_absent_value(frame, name)).alias(f"null_{name}"))
-        counts.append(F.count_if(F.col(name).isNotNull() & _number(frame, name).isNull()).alias(f"text_{name}"))
-    counts.append(F.count_if(~moy.between(1, 12)).alias("months"))
+        counts["missing feature", name] = _absent_value(frame, name)
+    for name in FEATURES:
+        counts["text feature", name] = F.col(name).isNotNull() & _number(frame, name).isNull()
+    counts["month_of_year", "month_of_year"] = ~(moy.between(1, 12) & (moy == F.rint(moy.cast("double"))))
     # One pass: faults are added up per series (and month), then over all of them.
-    by = list(keys) if one_per_series else [*keys, "target_month"]
-    grouped = frame.groupBy(*by).agg(F.count("*").alias("_copies"), *counts)
-    names = [c for c in grouped.columns if c not in by and c != "_copies"]
+    by = list(keys) if one_per_series else [*keys, "_month"]
+    named = {f"_{n}": condition for n, condition in enumerate(counts.values())}
+    grouped = (
+        frame.withColumn("_month", month)
+        .groupBy(*by)
+        .agg(F.count("*").alias("_copies"), *(F.count_if(c).alias(n) for n, c in named.items()))
+    )
+    repeated = F.col("_copies") > 1
+    if not one_per_series:
+        repeated &= F.col("_month").isNotNull()  # an invalid date is a fault of its own
     found = grouped.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("_copies") > 1).alias("repeated"),
-        *(F.sum(n).alias(n) for n in names),
-    ).first()
-    faults: list[tuple[bool, str]] = []
+        F.count_if(repeated).alias("repeated"),
+        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in named),
+    )
+    none = (F.col("rows") == 0).cast("bigint")
     if one_per_series:
-        wrong = found["rows"] != 1 if not keys else found["repeated"] > 0 or found["rows"] == 0
-        faults.append((wrong, f"expected one prediction row per series, found {found['rows']} rows"))
+        wrong = (F.col("rows") != 1).cast("bigint") if not keys else F.col("repeated") + none
+        faults = [("not one row", "*", wrong)]
     else:
-        faults.append((found["rows"] == 0, "no training rows"))
-    faults.append(((found["dates"] or 0) > 0, "target_month holds invalid dates"))
-    if not one_per_series:
-        faults.append((found["repeated"] > 0, "target_month repeats"))
-        faults.append(((found["target"] or 0) > 0, "target_sales holds missing or non-numeric values"))
-    nulls = [n for n in FEATURES if found[f"null_{n}"]]
-    texts = [n for n in FEATURES if found[f"text_{n}"]]
-    faults += [
-        (bool(nulls), f"missing feature values in {nulls}"),
-        (bool(texts), f"non-numeric feature values in {texts}"),
-        ((found["months"] or 0) > 0, "month_of_year lies outside 1 to 12"),
-    ]
-    for broken, message in faults:
-        if broken:
-            raise FeatureContractError(message)
-    typed = {"target_month": "date", "month_of_year": "int"}
-    return frame.select(*keys, *(F.col(c).cast(typed.get(c, "double")).alias(c) for c in columns))
+        faults = [("empty", "*", none), ("repeated month", "target_month", F.col("repeated"))]
+    faults += [(fault, column, F.col(n)) for (fault, column), n in zip(counts, named)]
+    rows = F.array(
+        *(F.struct(F.lit(f).alias("fault"), F.lit(c).alias("column"), n.cast("bigint").alias("failures")) for f, c, n in faults)
+    )
+    return found.select(F.inline(rows)).filter("failures > 0")
+
+
+def _validated(frame: DataFrame, columns: Sequence[str], keys: Sequence[str], one_per_series: bool) -> DataFrame:
+    found = contract_faults(frame, columns, keys, one_per_series).collect()  # a few rows per column
+    for fault, message in MESSAGES.items():
+        if where := [r["column"] for r in found if r["fault"] == fault]:
+            raise FeatureContractError(f"{message} in {where}" if "feature" in fault else message)
+    typed = {"month_of_year": "int"}
+    month = _plain_date(frame, "target_month").alias("target_month")
+    return frame.select(
+        *keys, *(month if c == "target_month" else F.col(c).cast(typed.get(c, "double")).alias(c) for c in columns)
+    )
 
 
 def validate_training(frame: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwright.functions.dates import month_number
+from tillwright.functions.dates import month_number, months_apart
+from tillwright.session import written
 
 
 def missing_months(monthly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -37,17 +38,33 @@ def monthly_series(monthly: DataFrame, keys: Sequence[str] = (), gaps: bool = Fa
     absent = {"month", "total_sales", *keys} - set(monthly.columns)
     if absent:
         raise ValueError(f"monthly sales lacks columns: {sorted(absent)}")
-    series = monthly.select(
-        *keys,
-        F.col("month").try_cast("date").alias("month"),
-        F.col("total_sales").try_cast("double").alias("total_sales"),
+    # Written first: the checks and the caller then read a small table, whatever `monthly` is computed from.
+    series = written(
+        monthly.select(
+            *keys,
+            F.col("month").try_cast("date").alias("month"),
+            F.col("total_sales").try_cast("double").alias("total_sales"),
+        ),
+        "series",
     )
     invalid = F.col("month").isNull() | F.col("total_sales").isNull() | F.isnan("total_sales")
-    if not series.filter(invalid).isEmpty():
+    following = F.lead("month").over(Window.partitionBy(*keys).orderBy("month"))
+    found = (
+        series.groupBy(*keys, "month")
+        .agg(F.count("*").alias("_copies"), F.count_if(invalid).alias("_invalid"))
+        .withColumn("_gap", months_apart(following, "month") > 1)
+        .agg(
+            F.coalesce(F.sum("_invalid"), F.lit(0)).alias("invalid"),
+            F.count_if(F.col("_copies") > 1).alias("repeated"),
+            F.count_if(F.col("_gap")).alias("gaps"),
+        )
+        .first()
+    )
+    if found["invalid"]:
         raise ValueError("monthly sales holds invalid months or amounts")
-    if not duplicate_keys(series, [*keys, "month"]).isEmpty():
+    if found["repeated"]:
         raise ValueError("monthly sales repeats a month")
-    if not gaps and not missing_months(series, keys).isEmpty():
+    if found["gaps"] and not gaps:
         raise ValueError("monthly sales skips a month")
     return series.orderBy(*keys, "month")
 

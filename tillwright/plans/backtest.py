@@ -53,7 +53,7 @@ def compare_feature_sets(
     and written once, sorted by month, so that a fold skips the row groups of other months. Several
     fits are in flight at once, as in Spark's own cross-validation.
     """
-    training = written(validate_training(training, keys), "training")
+    training = written(validate_training(written(training, "training"), keys), "sorted-training")
     settings = {name: {} for name in models.MODELS} if settings is None else settings
     calendar = written(fold_calendar(training, folds, months), "folds")
     starts = {row["fold"]: row["test_start"] for row in calendar.select("fold", "test_start").collect()}

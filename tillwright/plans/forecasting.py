@@ -29,7 +29,8 @@ def forecast_and_log(
 
     Features that break the contract raise. A failing log does not fail the forecast.
     """
-    forecasts = written(next_month_forecast(model, name, validate_prediction(features, keys), source), "forecasts")
+    features = validate_prediction(written(features, "features"), keys)
+    forecasts = written(next_month_forecast(model, name, features, source), "forecasts")
     try:
         append_forecasts(forecasts, log_path, keys)
         logged = True

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.contract import FEATURES
@@ -58,14 +58,27 @@ def holdout_forecast(
     return models.predict(model, rows, "Forecast").select(*keys, "target_month", "Actual", "Forecast", "Baseline")
 
 
-def training_report(training: DataFrame, metrics: DataFrame, name: str, horizon: int = HOLDOUT_MONTHS) -> DataFrame:
-    """One row of run metadata with the metrics per model as a nested list."""
+# The names of the metrics in a report.
+_MEASURES = {"MAPE": "mape", "sMAPE": "smape", "MAE": "mae", "RMSE": "rmse"}
+
+
+def training_report(
+    training: DataFrame, metrics: DataFrame, name: str, horizon: int = HOLDOUT_MONTHS, model: str = "Forecast"
+) -> DataFrame:
+    """One row of run metadata with the metrics of `Baseline` and `Model` side by side.
+
+    `metrics` has one row per prediction column; `model` names the one that is the model's.
+    """
     holdout = fold_calendar(training, folds=1, months=horizon)
-    nested = metrics.agg(
-        F.sort_array(F.collect_list(F.struct("model", "mape", "smape", "mae", "rmse"))).alias("metrics")
-    )
+
+    def measured(of: str) -> Column:
+        values = F.struct(*(F.col(c).alias(to) for to, c in _MEASURES.items()))
+        return F.max(F.when(F.col("model") == of, values))
+
+    both = metrics.agg(measured("Baseline").alias("Baseline"), measured(model).alias("Model"))
+    # The fields of a report.
     return holdout.select(
-        F.current_timestamp().alias("trained_at_utc"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("trained_at_utc"),
         F.lit(name).alias("model"),
         F.lit("mart_forecast_training").alias("source"),
         F.array(*(F.lit(f) for f in FEATURES)).alias("feature_columns"),
@@ -77,7 +90,7 @@ def training_report(training: DataFrame, metrics: DataFrame, name: str, horizon:
         F.col("test_end").alias("training_end"),
         F.col("test_start").alias("holdout_start"),
         F.col("test_end").alias("holdout_end"),
-        one_row(nested)["metrics"].alias("metrics"),
+        one_row(both).alias("metrics"),
     )
 
 
@@ -94,10 +107,11 @@ def train(
     """Validate, evaluate, refit on all rows, and write model, evaluation and report below `out`.
 
     Strict runs refuse gaps in a series and hold-out months without a baseline. A panel of series
-    that come and go is run with `strict=False`: such hold-out rows are then left out.
+    that come and go is run with `strict=False`: such hold-out rows then have a NULL baseline.
     """
-    training = written(validate_training(training, keys), "training")
-    monthly = written(monthly_series(monthly, keys, gaps=not strict), "monthly")
+    # Written before they are checked, so that a lazy input is computed once.
+    training = validate_training(written(training, "training"), keys)
+    monthly = monthly_series(monthly, keys, gaps=not strict)
     evaluation = written(holdout_forecast(name, training, monthly, keys, horizon, strict, **settings), "evaluation")
     metrics = forecast_metrics(evaluation, ["Forecast", "Baseline"])
     final = models.fit(name, training, **settings)

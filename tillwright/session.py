@@ -50,32 +50,26 @@ def tune(spark: SparkSession, *inputs: str) -> SparkSession:
     return spark
 
 
-_SIZES: dict[tuple[str, str], int] = {}
-
-
-def _located(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
     """The Hadoop file system and path of a location."""
     context = spark.sparkContext
-    located = context._jvm.org.apache.hadoop.fs.Path(path)
-    return located.getFileSystem(context._jsc.hadoopConfiguration()), located
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    system, located = _located(spark, path)
-    return system.exists(located)
+    system, place = located(spark, path)
+    return system.exists(place)
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a stored table, from the file system's own summary; listed once per application."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SIZES:
-        system, located = _located(spark, path)
-        _SIZES[key] = system.getContentSummary(located).getLength()
-    return _SIZES[key]
+    """Size of a stored table, from the file system's own summary."""
+    system, place = located(spark, path)
+    return system.getContentSummary(place).getLength()
 
 
-def work_path(spark: SparkSession, label: str) -> str:
-    """New folder below the cluster's `spark.checkpoint.dir`.
+def _work_folder(spark: SparkSession) -> str:
+    """This application's folder below the cluster's `spark.checkpoint.dir`.
 
     A machine-local folder is used only in local mode, where one machine holds all executors.
     """
@@ -86,7 +80,18 @@ def work_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tillwright-"))
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tillwright-{context.applicationId}"
+
+
+def work_path(spark: SparkSession, label: str) -> str:
+    """New folder for a written table of this application."""
+    return f"{_work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def close(spark: SparkSession) -> None:
+    """Remove all tables that this application wrote for its own use. Call it when no result is read any more."""
+    system, folder = located(spark, _work_folder(spark))
+    system.delete(folder, True)
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Append-only log of forecasts."""
+"""Append-only log of forecasts.
+
+One schema for every run: the series a forecast belongs to is a map of its columns, empty for a single
+series. Rows are partitioned by the day they were logged.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwright.contract import FEATURES
-from tillwright.session import path_exists
+from tillwright.session import located, path_exists
 
 # Columns of a log row, and the bounds and default of a log read.
-LOG_COLUMNS = ("id", "model", "target_month", *FEATURES, "prediction", "created_at")
+LOG_SCHEMA = (
+    "id bigint, model string, series map<string,string>, target_month date, lag_1 double, lag_2 double, lag_3 double, "
+    "month_of_year int, rolling_mean_3 double, rolling_mean_6 double, prediction double, created_at timestamp"
+)
 MAX_READ = 100
 DEFAULT_READ = 10
+DAY = "created_on"
 
 _ROW_BITS = 33  # monotonically_increasing_id() holds the partition above 33 bits of row number
 
@@ -39,9 +47,15 @@ def numbered(frame: DataFrame, first: int) -> DataFrame:
 
 
 def _last_id(spark: SparkSession, path: str) -> int:
+    """Highest id of the newest day: ids only grow."""
     if not path_exists(spark, path):
         return 0
-    return spark.read.schema("id bigint").parquet(path).agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first()["id"]
+    system, top = located(spark, path)
+    days = sorted(s.getPath().getName() for s in system.listStatus(top) if s.getPath().getName().startswith(f"{DAY}="))
+    if not days:
+        return 0
+    newest = spark.read.schema("id bigint").parquet(f"{path.rstrip('/')}/{days[-1]}")
+    return newest.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first()["id"]
 
 
 def append_forecasts(forecasts: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
@@ -50,14 +64,17 @@ def append_forecasts(forecasts: DataFrame, path: str, keys: Sequence[str] = ())
     `forecasts` is a written table of (keys, model, target_month, features, prediction).
     """
     spark = forecasts.sparkSession
+    pairs = [x for key in keys for x in (F.lit(key), F.col(key).cast("string"))]
+    series = F.create_map(*pairs).cast("map<string,string>")
     rows = forecasts.select(
-        "model", *keys, "target_month", *FEATURES, "prediction", F.current_timestamp().alias("created_at")
+        "model", series.alias("series"), "target_month", *FEATURES, "prediction", F.current_timestamp().alias("created_at")
     )
-    numbered(rows, _last_id(spark, path) + 1).write.mode("append").parquet(path)
+    logged = numbered(rows, _last_id(spark, path) + 1).to(spark.createDataFrame([], LOG_SCHEMA).schema)
+    logged.withColumn(DAY, F.to_date("created_at")).write.mode("append").partitionBy(DAY).parquet(path)
 
 
 def latest_forecasts(spark: SparkSession, path: str, limit: int = DEFAULT_READ) -> DataFrame:
     """The newest log rows, latest first."""
     if not 1 <= limit <= MAX_READ:
         raise ValueError(f"limit must lie between 1 and {MAX_READ}")
-    return spark.read.parquet(path).orderBy(F.desc("id")).limit(limit)
+    return spark.read.schema(LOG_SCHEMA).parquet(path).orderBy(F.desc("id")).limit(limit)

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tillwright.session import located, path_exists
+
+POINTER = "CURRENT"
 
 
 def as_view(frame: DataFrame, name: str) -> DataFrame:
@@ -11,11 +17,52 @@ def as_view(frame: DataFrame, name: str) -> DataFrame:
     return frame
 
 
+def _version(spark: SparkSession, path: str) -> str | None:
+    """Folder name of the version that readers see."""
+    if not path_exists(spark, f"{path}/{POINTER}"):
+        return None
+    return spark.read.text(f"{path}/{POINTER}").first()["value"]
+
+
+def _point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Switch readers to a version: a small file is written aside and renamed over the old one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    system, pointer = located(spark, f"{path}/{POINTER}")
+    _, aside = located(spark, f"{path}/{POINTER}-{version}")
+    out = system.create(aside, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), conf)
+    files.rename(system.makeQualified(aside), system.makeQualified(pointer), overwrite)
+
+
 def as_table(frame: DataFrame, folder: str, name: str) -> DataFrame:
-    """Rebuild a mart below `folder` and read it back."""
+    """Rebuild a mart below `folder` and read it back.
+
+    The new version is written beside the old one, which readers see until the pointer is switched: a failed
+    job leaves the old mart, and a mart may be rebuilt from itself. The version before the last is removed.
+    """
+    spark, path = frame.sparkSession, f"{folder.rstrip('/')}/{name}"
+    old, version = _version(spark, path), f"version-{uuid.uuid4().hex}"
+    frame.write.parquet(f"{path}/{version}")
+    _point_to(spark, path, version)
+    system, top = located(spark, path)
+    for status in system.listStatus(top):
+        found = status.getPath().getName()
+        if found.startswith("version-") and found not in (old, version):
+            system.delete(status.getPath(), True)
+    return spark.read.schema(frame.schema).parquet(f"{path}/{version}")
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The current version of a mart."""
     path = f"{folder.rstrip('/')}/{name}"
-    frame.write.mode("overwrite").parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    version = _version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no mart at {path}")
+    return spark.read.parquet(f"{path}/{version}")
 
 
 def as_csv(frame: DataFrame, path: str) -> None:

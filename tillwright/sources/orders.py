@@ -24,11 +24,14 @@ def read_raw_orders(
     return spark.read.format(fmt).load(path)
 
 
-def stage(raw: DataFrame) -> DataFrame:
+def stage(raw: DataFrame, pruned: bool = False) -> DataFrame:
     """Snake-case names, cast measures, and only lines with an order date and sales.
 
-    Columns absent from a pruned raw frame are left out.
+    All raw columns must be there, unless the frame was `pruned` on purpose.
     """
+    absent = [name for name in STAGED_NAMES if name not in raw.columns]
+    if absent and not pruned:
+        raise ValueError(f"raw order lines lack columns: {absent}")
     kept = raw.filter(F.col("`Order Date`").isNotNull() & F.col("Sales").isNotNull())
     return kept.select(
         *(

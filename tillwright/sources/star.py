@@ -8,13 +8,17 @@ otherwise sorts and merges, where adaptive execution splits a hot customer or pa
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.contract import STAGED_NAMES
-from tillwright.functions.money import partial_sum
+from tillwright.functions.dates import month_start
+from tillwright.functions.money import fits, partial_sum
+from tillwright.operators.quality import Check, unique_check, weighted_checks
+from tillwright.session import written
 from tillwright.sources.orders import stage
 
 # Fixed value: margin before discount of the stand-in profit.
@@ -40,25 +44,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def line_key() -> Column:
-    """Digest of a whole line: order key and line number repeat, whole lines do not."""
+    """Digest of a whole line: order key and line number repeat, whole lines do not.
+
+    Different lines have different texts: NULL is a mark that no value can have, separators inside a text
+    are escaped, and amounts are whole hundredths or else the double's own text, which has a point.
+    """
     keys = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    hundredths = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    return F.md5(
-        F.concat_ws(
-            "|",
-            *(F.col(name).cast("string") for name in keys),
-            *(F.rint(F.col(name) * 100).cast("bigint").cast("string") for name in hundredths),
-            "l_returnflag",
-            "l_linestatus",
-            F.col("l_shipdate").cast("date").cast("string"),
-        )
-    )
+    amounts = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+    def amount(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return F.when(fits(value, 2), F.rint(value * 100).cast("decimal(38,0)").cast("string")).otherwise(value.cast("string"))
+
+    def escaped(name: str) -> Column:
+        return F.replace(F.replace(F.col(name), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\p"))
+
+    fields = [
+        *(F.col(name).cast("string") for name in keys),
+        *(amount(name) for name in amounts),
+        *(escaped(name) for name in ("l_returnflag", "l_linestatus")),
+        F.col("l_shipdate").cast("date").cast("string"),
+    ]
+    return F.md5(F.concat_ws("|", *(F.coalesce(field, F.lit("\\N")) for field in fields)))
 
 
 def line_profit() -> Column:
-    """Price times margin less discount, counted in ten-thousandths to be exact."""
-    cents = F.rint(F.col("l_extendedprice") * 100)
-    return cents * (MARGIN_PERCENT - F.rint(F.col("l_discount") * 100)) / 10_000
+    """Price times margin less discount, counted in ten-thousandths to be exact.
+
+    Defined for prices and discounts of whole hundredths; others fail the query instead of being rounded.
+    """
+    price, discount = F.col("l_extendedprice"), F.col("l_discount")
+    profit = F.rint(price * 100) * (MARGIN_PERCENT - F.rint(discount * 100)) / 10_000
+    misfit = F.raise_error(F.lit("a price or discount has more than 2 decimals"))
+    return F.when(price.isNull() | discount.isNull(), None).when(fits(price, 2) & fits(discount, 2), profit).otherwise(misfit)
 
 
 def customers(spark: SparkSession, folder: str, wanted: set[str]) -> DataFrame:
@@ -134,7 +152,7 @@ def raw_order_lines(spark: SparkSession, folder: str, columns: Iterable[str] = t
 def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Staged order lines with the given staged columns, all by default."""
     raw = raw_order_lines(spark, folder, [_RAW_NAMES[c] for c in columns] or STAGED_NAMES)
-    return stage(raw).select(*(columns or STAGED_NAMES.values()))
+    return stage(raw, pruned=True).select(*(columns or STAGED_NAMES.values()))
 
 
 def order_totals(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -155,3 +173,59 @@ def order_totals(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     )
     frame = _with_dimensions(spark, folder, sums, wanted)
     return frame.select(*(F.col(f"`{_RAW_NAMES[c]}`").alias(c) for c in columns), "sales", "profit")
+
+
+def part_totals(spark: SparkSession, folder: str, *columns: str, monthly: bool = False) -> DataFrame:
+    """Sales per part, and per order month with `monthly`, with the given staged product columns.
+
+    Lines meet their dated order and are then summed per part, so the map side folds a hot part and the join
+    with `part` handles one row per part and month. `sales` is a partial sum, `order_date` the first of the month.
+    """
+    lines = (
+        table(spark, folder, "lineitem")
+        .filter(F.col("l_extendedprice").isNotNull())
+        .select(F.col("l_orderkey").alias("Order ID"), F.col("l_partkey").alias("Product ID"), F.col("l_extendedprice").alias("sales"))
+    )
+    dated = (
+        table(spark, folder, "orders")
+        .filter(F.col("o_orderdate").isNotNull())
+        .select(F.col("o_orderkey").alias("Order ID"), month_start("o_orderdate").alias("order_date"))
+    )
+    frame = lines.join(dated if monthly else dated.select("Order ID"), "Order ID")
+    by = ["Product ID", *(["order_date"] if monthly else [])]
+    sums = frame.groupBy(*by).agg(partial_sum(frame, "sales").alias("sales"))
+    named = sums.join(products(spark, folder), "Product ID", "left")
+    return named.select(*(F.col(f"`{_RAW_NAMES[c]}`").alias(c) for c in columns), *by[1:], "sales")
+
+
+def staged_checks(spark: SparkSession, folder: str, checks: Sequence[Check], relation: str = "stg_orders") -> DataFrame:
+    """The report of the staged lines without joining the lines to any dimension but their order.
+
+    Dated lines are written with a 16-byte key. The key alone is shuffled to find repeats; NULL and accepted-value
+    checks are made on counts per customer and per part, which fold before they meet the dimensions.
+    """
+    lines = table(spark, folder, "lineitem").filter(F.col("l_extendedprice").isNotNull())
+    lines = lines.select(F.unhex(line_key()).alias("row_id"), "l_orderkey", F.col("l_partkey").alias("Product ID"))
+    dated = table(spark, folder, "orders").filter(F.col("o_orderdate").isNotNull())
+    dated = dated.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("Customer ID"))
+    lines = written(lines.join(dated, "l_orderkey").drop("l_orderkey"), "dated-lines")
+
+    def counted(key: str, dimension: DataFrame, columns: dict[str, str]) -> DataFrame:
+        counts = lines.groupBy(key).agg(F.count("*").alias("_n")).join(dimension, key, "left")
+        return counts.select("_n", *(F.col(f"`{_RAW_NAMES[c]}`").alias(c) for c in columns))
+
+    known = {"customer": {"segment", "region"}, "part": {"category"}}
+    sure = ("row_id", "order_id", "order_date", "sales")  # the join and the filters leave no NULL
+    by = {name: [c for c in checks if c.kind != "unique" and c.column in columns] for name, columns in known.items()}
+    rest = [c for c in checks if c.kind != "unique" and c.column in sure]
+    unique = [c for c in checks if c.kind == "unique"]
+    if len(unique) != 1 or unique[0].column != "row_id" or len(rest) + sum(map(len, by.values())) + 1 != len(checks):
+        raise ValueError("a staged check is not known here")
+    nowhere = lines.agg(F.count("*").alias("_n")).select("_n", *(F.lit("").alias(c) for c in sure))
+    parts = [
+        unique_check(lines.select("row_id"), relation, "row_id"),
+        weighted_checks(nowhere, "_n", relation, rest),
+        weighted_checks(counted("Customer ID", customers(spark, folder, {"Segment", "Region"}), known["customer"]), "_n", relation, by["customer"]),
+        weighted_checks(counted("Product ID", products(spark, folder), known["part"]), "_n", relation, by["part"]),
+    ]
+    return reduce(DataFrame.unionByName, parts)
