@@ -326,6 +326,9 @@ def _dq_report() -> str:
     return _RELATIONS + "\n" + "\nUNION ALL\n".join(rows)
 
 
+_INSIDE = " AND month > (SELECT MIN(month) FROM int_monthly) AND month < (SELECT MAX(month) FROM int_monthly)"
+
+
 def _training_report() -> str:
     return f"""{_RELATIONS},{_folds('training', 1, 3, 'split')},
 naive AS (
@@ -461,6 +464,22 @@ SELECT *, TRUE AS {flag} FROM tested"""
                 )
             )
         ),
+        # A month that is no date, or absent, also leaves a gap where it lies inside the series.
+        "series_faults": plain(
+            "SELECT * FROM ("
+            + "\nUNION ALL\n".join(
+                f"SELECT '{copy}' AS copy, '{fault}' AS fault, (SELECT COUNT(*) FROM int_monthly "
+                f"WHERE month(month) = {month}{inside}) AS failures"
+                for copy, fault, month, inside in (
+                    ("month as text", "invalid", 2, ""),
+                    ("month as text", "gap", 2, _INSIDE),
+                    ("no amount", "invalid", 3, ""),
+                    ("repeated", "repeated", 1, ""),
+                    ("gap", "gap", 6, _INSIDE),
+                )
+            )
+            + ") WHERE failures > 0"
+        ),
         "holdout_split": plain("SELECT * FROM holdout"),
         "seasonal_naive_by_segment": plain(
             'SELECT segment, target_month, actual AS "Actual", baseline AS "Baseline" FROM segment_eval'

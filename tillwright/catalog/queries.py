@@ -535,3 +535,19 @@ def contract_faults(spark: SparkSession, folder: str) -> DataFrame:
     }
     parts = [quality.contract_faults(copy).select(F.lit(name).alias("copy"), "*") for name, copy in copies.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+@_query
+def series_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of broken copies of the monthly sales."""
+    good = written(_total_by_month(spark, folder), "monthly")
+    which = F.month("month")
+    copies = {
+        "good": good,
+        "month as text": good.withColumn("month", F.when(which == 2, F.lit("soon")).otherwise(F.col("month").cast("string"))),
+        "no amount": good.withColumn("total_sales", F.when(which == 3, F.lit(float("nan"))).otherwise(F.col("total_sales"))),
+        "repeated": good.unionByName(good.filter(which == 1)),
+        "gap": good.filter(which != 6),
+    }
+    parts = [series.series_faults(copy).select(F.lit(name).alias("copy"), "*") for name, copy in copies.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -29,24 +29,23 @@ def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     return frame.groupBy(*keys).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
 
 
-def monthly_series(monthly: DataFrame, keys: Sequence[str] = (), gaps: bool = False) -> DataFrame:
-    """Typed (keys, month, total_sales) rows of complete series.
-
-    Raises ValueError on missing columns, invalid dates or amounts, repeated months and, unless
-    `gaps` are allowed, missing months.
-    """
+def _typed(monthly: DataFrame, keys: Sequence[str]) -> DataFrame:
     absent = {"month", "total_sales", *keys} - set(monthly.columns)
     if absent:
         raise ValueError(f"monthly sales lacks columns: {sorted(absent)}")
-    # Written first: the checks and the caller then read a small table, whatever `monthly` is computed from.
-    series = written(
-        monthly.select(
-            *keys,
-            F.col("month").try_cast("date").alias("month"),
-            F.col("total_sales").try_cast("double").alias("total_sales"),
-        ),
-        "series",
+    return monthly.select(
+        *keys, F.col("month").try_cast("date").alias("month"), F.col("total_sales").try_cast("double").alias("total_sales")
     )
+
+
+# What broken monthly sales say, in this order.
+_SERIES_FAULTS = {"invalid": "holds invalid months or amounts", "repeated": "repeats a month", "gap": "skips a month"}
+
+
+def series_faults(monthly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per fault of monthly sales, in one pass: `invalid` rows, `repeated` months, and the places where a
+    `gap` interrupts a series."""
+    series = _typed(monthly, keys)
     invalid = F.col("month").isNull() | F.col("total_sales").isNull() | F.isnan("total_sales")
     following = F.lead("month").over(Window.partitionBy(*keys).orderBy("month"))
     found = (
@@ -55,17 +54,26 @@ def monthly_series(monthly: DataFrame, keys: Sequence[str] = (), gaps: bool = Fa
         .withColumn("_gap", months_apart(following, "month") > 1)
         .agg(
             F.coalesce(F.sum("_invalid"), F.lit(0)).alias("invalid"),
-            F.count_if(F.col("_copies") > 1).alias("repeated"),
-            F.count_if(F.col("_gap")).alias("gaps"),
+            F.count_if((F.col("_copies") > 1) & F.col("month").isNotNull()).alias("repeated"),
+            F.count_if("_gap").alias("gap"),
         )
-        .first()
     )
-    if found["invalid"]:
-        raise ValueError("monthly sales holds invalid months or amounts")
-    if found["repeated"]:
-        raise ValueError("monthly sales repeats a month")
-    if found["gaps"] and not gaps:
-        raise ValueError("monthly sales skips a month")
+    rows = F.array(*(F.struct(F.lit(f).alias("fault"), F.col(f).cast("bigint").alias("failures")) for f in _SERIES_FAULTS))
+    return found.select(F.inline(rows)).filter("failures > 0")
+
+
+def monthly_series(monthly: DataFrame, keys: Sequence[str] = (), gaps: bool = False) -> DataFrame:
+    """Typed (keys, month, total_sales) rows of complete series.
+
+    Raises ValueError on missing columns, invalid dates or amounts, repeated months and, unless
+    `gaps` are allowed, missing months.
+    """
+    # Written first: the checks and the caller then read a small table, whatever `monthly` is computed from.
+    series = written(_typed(monthly, keys), "series")
+    found = {r["fault"] for r in series_faults(series, keys).collect()} - ({"gap"} if gaps else set())
+    for fault, message in _SERIES_FAULTS.items():
+        if fault in found:
+            raise ValueError(f"monthly sales {message}")
     return series.orderBy(*keys, "month")
 
 
