@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm import words as W
-from tillwright.llm.components import components
+from tillwright.llm.components import components, packed
 from tillwright.session import written
 
 SHINGLE, SKETCHES, PICKS, THRESHOLD, PAIRED = 5, 24, 3, 0.8, 8
@@ -188,7 +188,7 @@ def _sharing(texts: DataFrame) -> DataFrame:
 def _central_pairs(members: DataFrame, threshold: float) -> DataFrame:
     """Each member with the most central one of its bucket."""
     centres = members.groupBy("bucket").agg(F.max(F.struct("score", "row", "size")).alias("centre"))
-    joined = members.join(written(centres, "centres"), "bucket").withColumn("other", F.col("centre.row"))
+    joined = members.join(packed(centres, "centres"), "bucket").withColumn("other", F.col("centre.row"))
     return _pairs(joined.where("row != other").where(_similar_sizes("size", "centre.size", threshold)), "row", "other")
 
 
@@ -204,7 +204,7 @@ def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
         F.max(F.struct("score", "row", "top")).alias("best"),
     )
     stats = stats.where("low != high").select("bucket", "members", F.col("best.top").alias("main"))
-    return written(labelled.join(written(stats, "mixed-buckets"), "bucket"), "mixed")
+    return packed(labelled.join(packed(stats, "mixed-buckets"), "bucket"), "mixed")
 
 
 def _cross_pairs(small: DataFrame, threshold: float) -> DataFrame:
@@ -221,7 +221,7 @@ def _outside_pairs(large: DataFrame, threshold: float, depth: int) -> DataFrame:
     ranks = [F.col("score"), F.xxhash64("row", F.lit(depth)), F.xxhash64("row", F.lit(-depth))]
     centres = F.array(*[F.max(F.struct(rank.alias("rank"), "row", "size", "top")) for rank in ranks])
     outside = large.where("top != main").groupBy("bucket").agg(centres.alias("centres"))
-    joined = large.join(written(outside, "outside-centres"), "bucket").withColumn("centre", F.explode("centres"))
+    joined = large.join(packed(outside, "outside-centres"), "bucket").withColumn("centre", F.explode("centres"))
     joined = joined.where("top != centre.top").where(_similar_sizes("size", "centre.size", threshold))
     return _pairs(joined.withColumn("other", F.col("centre.row")), "row", "other")
 
@@ -235,7 +235,7 @@ def _finer(large: DataFrame, sketches: DataFrame, depth: int, further: int) -> D
 
 def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs that pass the comparison."""
-    return written(_compare(pairs, texts, threshold).where("linked").select("u", "v"), "links")
+    return packed(_compare(pairs, texts, threshold).where("linked").select("u", "v"), "links")
 
 
 def near_duplicates(
@@ -255,20 +255,20 @@ def near_duplicates(
     sharing = _sharing(texts)  # most documents share no bucket
     texts = written(scanned.select("row", "sketches", "words").join(sharing.select("row"), "row"), "shared-texts")
     members = sharing.select("row", "size", "score", F.inline("buckets"))
-    links = [components(_linked(_central_pairs(members, threshold), texts, threshold))]
+    links = components(_linked(_central_pairs(members, threshold), texts, threshold))
     sketches = texts.select("row", "sketches")
-    depth = 1
+    pairs, depth = [], 1
     while True:
-        mixed = _mixed(members, links[0])
+        mixed = _mixed(members, links)
         large = mixed.where(F.col("members") > PAIRED)
-        pairs = _cross_pairs(mixed.where(F.col("members") <= PAIRED), threshold)
-        links.append(_linked(pairs.unionByName(_outside_pairs(large, threshold, depth)).distinct(), texts, threshold))
+        pairs += [_cross_pairs(mixed.where(F.col("members") <= PAIRED), threshold), _outside_pairs(large, threshold, depth)]
         if depth == SKETCHES or large.isEmpty():
             break
         further = min(depth + max(1, depth // 2), SKETCHES)
         members, depth = _finer(large, sketches, depth, further), further
-    # The central links decide nearly all components; the few others join them at the end.
-    links = components(reduce(DataFrame.unionByName, links))
+    # The central links decide nearly all components; the others are compared and joined to them in one go.
+    others = _linked(reduce(DataFrame.unionByName, pairs).distinct(), texts, threshold)
+    links = components(links.unionByName(others))
     tops = wordings.join(links.select(F.col("u").alias("first"), F.col("v").alias("top")), "first", "left")
     tops = written(tops.select("key1", "key2", F.coalesce("top", "first").alias("class_row")), "classes")
     return scanned.select("id", "row", "key1", "key2").join(tops, ["key1", "key2"]).select("id", "row", "class_row")
