@@ -11,11 +11,11 @@ more are linked; classes are the connected components of the links.
 Documents with the same words form one class beforehand and enter with one representative. A bucket is not
 paired out. Its members are first compared with its most central one, the document whose buckets are the
 fullest: of a text and its edited copies, that is the text. After that, only members of different components are
-compared: all of them in buckets of at most `PAIRED` members; in larger ones, three members outside the central
-one's component with all others, before the bucket is cut by the next sketches, and so on until all buckets
-are small or hold one component; each cut doubles the number of sketches that members agree in. No step handles more than `SKETCHES` rows per document. What can be missed
-is a link between two documents that is not needed to reach a centre of any bucket they share, and that
-shares no small bucket; the README gives the recall measured against all pairs.
+compared: all of them in buckets of at most `PAIRED` members; in larger ones, a member outside the central
+one's component with all others, before the bucket is cut by the next sketches (`CUTS`), and so on until all
+buckets are small or hold one component. No step handles more than `SKETCHES` rows per document. What can be
+missed is a link between two documents that share no small bucket, and of which none is a centre of a bucket
+they share; the README gives the recall measured against all pairs.
 
 Defined results: every row is a document, also where ids are null or rows repeat. Words are as in
 decontamination (letters and digits, A-Z lower-cased). Texts without words, null and empty ones too, form one
@@ -30,14 +30,20 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.llm import bits
 from tillwright.llm import words as W
 from tillwright.llm.components import components, packed
 from tillwright.session import written
 
 SHINGLE, SKETCHES, PICKS, THRESHOLD, PAIRED = 5, 24, 3, 0.8, 8
+# Size of the bit table (4 MB) that keeps texts which share no bucket out of a shuffle.
+FILTER_BITS = 25
+# In how many consecutive sketches the members of a bucket agree, at first and after each cut.
+CUTS = (1, 2, 3, 5, 8, 13, SKETCHES)
 
 _ORDERS = (W.mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))[:, None]
 
@@ -216,14 +222,12 @@ def _cross_pairs(small: DataFrame, threshold: float) -> DataFrame:
 
 
 def _outside_pairs(large: DataFrame, threshold: float, depth: int) -> DataFrame:
-    """Three members outside the main component, the most central one and two that differ by depth, each with all
-    members of other components than its own."""
-    ranks = [F.col("score"), F.xxhash64("row", F.lit(depth)), F.xxhash64("row", F.lit(-depth))]
-    centres = F.array(*[F.max(F.struct(rank.alias("rank"), "row", "size", "top")) for rank in ranks])
-    outside = large.where("top != main").groupBy("bucket").agg(centres.alias("centres"))
-    joined = large.join(packed(outside, "outside-centres"), "bucket").withColumn("centre", F.explode("centres"))
-    joined = joined.where("top != centre.top").where(_similar_sizes("size", "centre.size", threshold))
-    return _pairs(joined.withColumn("other", F.col("centre.row")), "row", "other")
+    """A member outside the main component with all members of other components than its own: the most central
+    one at first, another one at each further depth."""
+    rank = F.col("score") if depth == 1 else F.xxhash64("row", F.lit(depth))
+    outside = large.where("top != main").groupBy("bucket").agg(F.max(F.struct(rank.alias("rank"), "row", "size", "top")).alias("centre"))
+    joined = large.join(packed(outside, "outside-centres"), "bucket").withColumn("other", F.col("centre.row"))
+    return _pairs(joined.where("top != centre.top").where(_similar_sizes("size", "centre.size", threshold)), "row", "other")
 
 
 def _finer(large: DataFrame, sketches: DataFrame, depth: int, further: int) -> DataFrame:
@@ -238,8 +242,18 @@ def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return packed(_compare(pairs, texts, threshold).where("linked").select("u", "v"), "links")
 
 
+def _likely(batches: Iterator[pa.RecordBatch], filled: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Rows that may be in the bit table, before they are shuffled."""
+    for batch in batches:
+        yield batch.filter(pa.array(bits.inside(filled.value, batch.column("hash").to_numpy().view(np.uint64))))
+
+
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    threshold: float = THRESHOLD,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Per row of `docs`: `id`, `row` (number of the row) and `class_row` (smallest row of its class)."""
     id_type = docs.schema[doc_id].dataType.simpleString()
@@ -253,19 +267,21 @@ def near_duplicates(
     firsts = wordings.select(F.col("first").alias("row"))
     texts = written(scanned.where("size > 0").select("row", "size", "sketches").join(firsts, "row"), "wordings-sketches")
     sharing = _sharing(texts)  # most documents share no bucket
-    texts = written(scanned.select("row", "sketches", "words").join(sharing.select("row"), "row"), "shared-texts")
+    rows = scanned.select("row", F.xxhash64("row").alias("hash"), "sketches", "words")
+    filled = docs.sparkSession.sparkContext.broadcast(bits.table(sharing.select(F.xxhash64("row").alias("hash")), "hash", filter_bits))
+    likely = rows.mapInArrow(partial(_likely, filled=filled), rows.schema)
+    texts = written(likely.join(sharing.select("row"), "row").drop("hash"), "shared-texts")
     members = sharing.select("row", "size", "score", F.inline("buckets"))
     links = components(_linked(_central_pairs(members, threshold), texts, threshold))
     sketches = texts.select("row", "sketches")
-    pairs, depth = [], 1
-    while True:
+    pairs = []
+    for depth, further in zip(CUTS, [*CUTS[1:], None]):
         mixed = _mixed(members, links)
         large = mixed.where(F.col("members") > PAIRED)
         pairs += [_cross_pairs(mixed.where(F.col("members") <= PAIRED), threshold), _outside_pairs(large, threshold, depth)]
-        if depth == SKETCHES or large.isEmpty():
+        if further is None or large.isEmpty():
             break
-        further = min(depth + max(1, depth // 2), SKETCHES)
-        members, depth = _finer(large, sketches, depth, further), further
+        members = packed(_finer(large, sketches, depth, further), "finer")
     # The central links decide nearly all components; the others are compared and joined to them in one go.
     others = _linked(reduce(DataFrame.unionByName, pairs).distinct(), texts, threshold)
     links = components(links.unionByName(others))
