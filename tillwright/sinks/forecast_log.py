@@ -77,4 +77,4 @@ def latest_forecasts(spark: SparkSession, path: str, limit: int = DEFAULT_READ)
     """The newest log rows, latest first."""
     if not 1 <= limit <= MAX_READ:
         raise ValueError(f"limit must lie between 1 and {MAX_READ}")
-    return spark.read.schema(LOG_SCHEMA).parquet(path).orderBy(F.desc("id")).limit(limit)
+    return spark.read.schema(LOG_SCHEMA).parquet(path).drop(DAY).orderBy(F.desc("id")).limit(limit)
