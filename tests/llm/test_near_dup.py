@@ -85,6 +85,40 @@ def test_finer_buckets_keep_links(docs, monkeypatch):
     assert classes(near(docs, rows)) == brute(rows)
 
 
+def filled_templates(seed, count, slots=16):
+    """Texts of `slots` passages, each one of two, and a copy of each text with another passage in one slot. All
+    passages are in many texts, and the two texts are at 0.82."""
+    rng = random.Random(seed)
+    pool = [[prose(seed * 1000 + slot * 2 + n, 8, 10**6) for n in range(2)] for slot in range(slots)]
+    rows = []
+    for _ in range(count):
+        picks = [rng.randrange(2) for _ in range(slots)]
+        at = rng.randrange(1, slots - 1)
+        for chosen in (picks, [p ^ (slot == at) for slot, p in enumerate(picks)]):
+            rows.append((len(rows), " ".join(pool[slot][p] for slot, p in enumerate(chosen))))
+    return rows
+
+
+def test_links_inside_large_buckets_only_are_found(docs, monkeypatch):
+    monkeypatch.setattr(near_dup, "PAIRED", 1)
+    rows = filled_templates(1, 100)
+    assert classes(near(docs, rows)) == brute(rows)
+
+
+def test_prefixes_of_similar_texts_meet():
+    rng = random.Random(4)
+    for _ in range(3000):
+        threshold, size, other = rng.choice([0.5, 0.8, 0.9, 1.0]), rng.randrange(1, 60), rng.randrange(1, 60)
+        size, other = sorted((size, other))
+        shared = rng.randrange(size + 1)
+        one = set(rng.sample(range(200), size))
+        two = set(rng.sample(sorted(one), shared)) | set(rng.sample(range(200, 400), other - shared))
+        two = {x if x in one else (x if rng.random() < 0.5 else x - 400) for x in two}
+        if len(one & two) >= threshold * len(one | two) - 1e-12:
+            few, more = near_dup.prefix_sizes(size, threshold)[0], near_dup.prefix_sizes(other, threshold)[1]
+            assert set(sorted(one)[:few]) & set(sorted(two)[:more])
+
+
 def test_similarity_respects_order_and_band():
     def labelled(text):
         return near_dup.labelled(W.mixed(W.hashes(W.split(pa.array([text]), W.LOWERED))))

@@ -11,11 +11,13 @@ more are linked; classes are the connected components of the links.
 Documents with the same words form one class beforehand and enter with one representative. A bucket is not
 paired out. Its members are first compared with its most central one, the document whose buckets are the
 fullest: of a text and its edited copies, that is the text. After that, only members of different components are
-compared: all of them in buckets of at most `PAIRED` members; in larger ones, a member outside the central
-one's component with all others, before the bucket is cut by the next sketches (`CUTS`), and so on until all
-buckets are small or hold one component. No step handles more than `SKETCHES` rows per document. What can be
-missed is a link between two documents that share no small bucket, and of which none is a centre of a bucket
-they share; the README gives the recall measured against all pairs.
+compared: all of them in buckets of at most `PAIRED` members; in larger ones, at first a member outside the central
+one's component with all others. What then still lies in different components of a larger bucket is paired by an
+exact prefix filter: with shingles in one common order, the rarest first, two texts at the threshold share a
+shingle among the first `size - overlap + 1` of each. So every pair that shares a bucket is compared, lies in one
+component already, or is known to be below the threshold; a link is missed only where two documents share no
+bucket and no chain of links joins them. Prefixes are some fifth of the shingles of the documents left; all other
+steps handle at most `SKETCHES` rows per document.
 
 Defined results: every row is a document, also where ids are null or rows repeat. Words are as in
 decontamination (letters and digits, A-Z lower-cased). Texts without words, null and empty ones too, form one
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,8 @@ from tillwright.session import written
 SHINGLE, SKETCHES, PICKS, THRESHOLD, PAIRED = 5, 24, 3, 0.8, 8
 # Size of the bit table (4 MB) that keeps texts which share no bucket out of a shuffle.
 FILTER_BITS = 25
-# In how many consecutive sketches the members of a bucket agree, at first and after each cut.
-CUTS = (1, 2, 3, 5, 8, 13, SKETCHES)
+# Texts in which common shingles are counted, and how many of those are kept. Only the number of pairs depends on it.
+SAMPLE, COMMON = 20_000, 1 << 20
 
 _ORDERS = (W.mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))[:, None]
 
@@ -146,16 +148,18 @@ def similarity(left: np.ndarray, right: np.ndarray, threshold: float = THRESHOLD
     return shared / (total - shared)
 
 
-def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    def shingles(packed: bytes) -> np.ndarray:
-        return labelled(W.mixed(np.frombuffer(packed, np.uint32).astype(np.uint64) + np.uint64(1)))
+def _unpacked(packed: bytes) -> np.ndarray:
+    """Labelled shingles of a text from its packed words."""
+    return labelled(W.mixed(np.frombuffer(packed, np.uint32).astype(np.uint64) + np.uint64(1)))
+
 
+def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found, seen, known = [], None, None
         for left, right in zip(batch.column("words_v").to_pylist(), batch.column("words_u").to_pylist()):
             if left != seen:
-                seen, known = left, shingles(left)
-            found.append(similarity(known, shingles(right), threshold) >= threshold)
+                seen, known = left, _unpacked(left)
+            found.append(similarity(known, _unpacked(right), threshold) >= threshold)
         yield pa.record_batch([batch.column("u"), batch.column("v"), pa.array(found, pa.bool_())], names=["u", "v", "linked"])
 
 
@@ -221,20 +225,83 @@ def _cross_pairs(small: DataFrame, threshold: float) -> DataFrame:
     return _pairs(joined.where(_similar_sizes("size", "other_size", threshold)), "row", "other")
 
 
-def _outside_pairs(large: DataFrame, threshold: float, depth: int) -> DataFrame:
-    """A member outside the main component with all members of other components than its own: the most central
-    one at first, another one at each further depth."""
-    rank = F.col("score") if depth == 1 else F.xxhash64("row", F.lit(depth))
-    outside = large.where("top != main").groupBy("bucket").agg(F.max(F.struct(rank.alias("rank"), "row", "size", "top")).alias("centre"))
+def _outside_pairs(large: DataFrame, threshold: float) -> DataFrame:
+    """The most central member outside the main component with all members of other components than its own."""
+    outside = large.where("top != main").groupBy("bucket").agg(F.max(F.struct("score", "row", "size", "top")).alias("centre"))
     joined = large.join(packed(outside, "outside-centres"), "bucket").withColumn("other", F.col("centre.row"))
     return _pairs(joined.where("top != centre.top").where(_similar_sizes("size", "centre.size", threshold)), "row", "other")
 
 
-def _finer(large: DataFrame, sketches: DataFrame, depth: int, further: int) -> DataFrame:
-    """The buckets cut by the sketches that follow those that their members agree in, up to `further` in all."""
-    more = [F.get("sketches", (F.col("at") + n) % SKETCHES) for n in range(depth, further)]
-    joined = large.select("bucket", "at", "row", "size", "score").join(sketches, "row")
-    return joined.select(F.xxhash64("bucket", *more).alias("bucket"), "at", "row", "size", "score")
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for packed_words in batch.column("words").to_pylist():
+            yield pa.record_batch([pa.array(W.signed(_unpacked(packed_words)))], names=["shingle"])
+
+
+def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles found in several texts of a bounded sample, sorted, and in how many."""
+    part = min(1.0, SAMPLE / max(1, texts.count()))
+    drawn = texts.where(F.pmod(F.xxhash64("row", F.lit(5)), F.lit(1 << 20)) < int(part * (1 << 20))).select("words")
+    counts = drawn.mapInArrow(_shingled, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    found = counts.orderBy(F.desc("n"), "shingle").limit(COMMON).toArrow()
+    shingles = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], found.column("n").to_numpy()[order]
+
+
+def prefix_sizes(size: int, threshold: float) -> tuple[int, int]:
+    """How many of the first shingles of a text hold one that is shared with any text of no less shingles at the
+    threshold, and with any text of no more."""
+    least_shared = [int(np.ceil(part * size - 1e-9)) for part in (2 * threshold / (1 + threshold), threshold)]
+    return size - least_shared[0] + 1, size - least_shared[1] + 1
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], common: Broadcast, threshold: float) -> Iterator[pa.RecordBatch]:
+    """The first shingles of each text, the rarest first, with their `place` and whether they are `first` enough to
+    meet a larger text."""
+    known, counts = common.value
+    for batch in batches:
+        for at, packed_words in enumerate(batch.column("words").to_pylist()):
+            shingles = _unpacked(packed_words)
+            number = np.zeros(len(shingles), np.int64)
+            if len(known):
+                found = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+                number = np.where(known[found] == shingles, counts[found], 0)
+            few, more = prefix_sizes(len(shingles), threshold)
+            places = np.arange(more)
+            columns = [pa.array(W.signed(shingles[np.lexsort((shingles, number))[:more]]))]
+            own = [pa.repeat(batch.column(name)[at], more) for name in ("row", "size", "score", "top")]
+            yield pa.record_batch(
+                [*columns, *own, pa.array(places.astype(np.int32)), pa.array(places < few)],
+                names=["shingle", "row", "size", "score", "top", "place", "first"],
+            )
+
+
+def _prefix_pairs(large: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different components that can reach the threshold, among all members of large buckets."""
+    left = written(large.select("row", "size", "score", "top").distinct(), "left-over")
+    with_words = written(texts.select("row", "words").join(left, "row"), "left-texts")
+    common = texts.sparkSession.sparkContext.broadcast(_common(with_words))
+    found = with_words.mapInArrow(
+        partial(_prefixes, common=common, threshold=threshold),
+        "shingle bigint, row bigint, size int, score bigint, top bigint, place int, first boolean",
+    )
+    found = written(found, "prefixes")
+    stats = found.groupBy("shingle").agg(
+        F.min("top").alias("low"), F.max("top").alias("high"), F.max("first").alias("any"), F.max(F.struct("score", "top")).alias("best")
+    )
+    stats = stats.where("low != high AND any").select("shingle", F.col("best.top").alias("main"))
+    found = packed(found.drop("score").join(packed(stats, "mixed-prefixes"), "shingle"), "mixed-prefix-members")
+    larger = found.drop("first").withColumnsRenamed(
+        {"row": "other", "size": "other_size", "top": "other_top", "place": "other_place", "main": "other_main"}
+    )
+    outside = found.where("first AND top != main").join(larger, "shingle")
+    inside = found.where("first AND top = main").join(larger.where("other_top != other_main"), "shingle")
+    joined = outside.unionByName(inside).where("top != other_top AND (size < other_size OR size = other_size AND row < other)")
+    # No more can be shared than what follows the first shared shingle.
+    reach = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    needed = (F.col("size") + F.col("other_size")) * (threshold / (1 + threshold)) - 1e-9
+    return _pairs(joined.where(_similar_sizes("size", "other_size", threshold)).where(reach >= needed), "row", "other")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -273,18 +340,13 @@ def near_duplicates(
     texts = written(likely.join(sharing.select("row"), "row").drop("hash"), "shared-texts")
     members = sharing.select("row", "size", "score", F.inline("buckets"))
     links = components(_linked(_central_pairs(members, threshold), texts, threshold))
-    sketches = texts.select("row", "sketches")
-    pairs = []
-    for depth, further in zip(CUTS, [*CUTS[1:], None]):
-        mixed = _mixed(members, links)
-        large = mixed.where(F.col("members") > PAIRED)
-        pairs += [_cross_pairs(mixed.where(F.col("members") <= PAIRED), threshold), _outside_pairs(large, threshold, depth)]
-        if further is None or large.isEmpty():
-            break
-        members = packed(_finer(large, sketches, depth, further), "finer")
-    # The central links decide nearly all components; the others are compared and joined to them in one go.
-    others = _linked(reduce(DataFrame.unionByName, pairs).distinct(), texts, threshold)
-    links = components(links.unionByName(others))
+    mixed = _mixed(members, links)
+    large = mixed.where(F.col("members") > PAIRED)
+    pairs = _cross_pairs(mixed.where(F.col("members") <= PAIRED), threshold).unionByName(_outside_pairs(large, threshold))
+    links = components(links.unionByName(_linked(pairs.distinct(), texts, threshold)))
+    large = _mixed(large.select("bucket", "row", "size", "score"), links)
+    if not large.isEmpty():
+        links = components(links.unionByName(_linked(_prefix_pairs(large, texts, threshold), texts, threshold)))
     tops = wordings.join(links.select(F.col("u").alias("first"), F.col("v").alias("top")), "first", "left")
     tops = written(tops.select("key1", "key2", F.coalesce("top", "first").alias("class_row")), "classes")
     return scanned.select("id", "row", "key1", "key2").join(tops, ["key1", "key2"]).select("id", "row", "class_row")
