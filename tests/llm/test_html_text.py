@@ -38,6 +38,21 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<div class='site has-sidebar'><article><p>{LONG}</p></article></div>",
+        f"<div id='page' class='with-sidebar no-footer'><div><p>{LONG}</p></div></div>",
+        f"<div class='search page'><article><p>{LONG}</p></article><div class='related'><article><p>Short.</p></article></div></div>",
+        f"<div class='widget'><p>{LONG}</p></div>",
+        f"<article><svg viewBox='0 0 1 1'/><iframe src='x' /><p>{LONG}</p></article>",
+        f"<div class='sidebar'><article><p>An aside, of one line.</p></article></div><article><p>{LONG}</p><p>{LONG}</p></article>",
+    ],
+)
+def test_class_words_and_closed_elements_keep_the_article(html):
+    assert html_text.main_text(html).replace(f"{LONG} {LONG}", LONG) == LONG
+
+
 def test_deep_and_long_pages_are_whole():
     deep = "<div>" * 3000 + f"<p>{LONG}</p>" + "</div>" * 3000
     assert html_text.main_text(deep) == LONG

@@ -4,7 +4,8 @@ Each paragraph gives points for its length and its commas to its ancestors, less
 points of an element are discounted by its link density, the share of its text inside links. The best container
 is kept, widened to the article that it lies in, with those of its siblings that score or read alike. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out wherever
-they stand, by their element or by the words of their class, id or role.
+they stand, by their element or by the words of their class, id or role. Class and id words do not drop an element
+that holds nearly all paragraph points of the page's articles (of the page, where it has none), such as a wrapper.
 
 Defined results: a null or empty page, and one without text, have the empty text. Markup may be broken:
 unclosed elements end where their parent ends or where a block follows a paragraph, stray end tags and
@@ -45,14 +46,19 @@ _NOISE_WORD = re.compile(
     r"toolbar|skip|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# Words that name what an element has around it or lacks, as in has-sidebar.
+_MODIFIED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|have|with|without|no|not|non)[_-]\S*", re.IGNORECASE)
+# Share of the paragraph points from which on class words do not drop an element.
+_MAJOR = 0.8
 _NOISE_ROLE = frozenset("navigation banner complementary contentinfo search alert alertdialog dialog menu menubar form".split())
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "children", "noise", "chars", "linked", "commas", "points")
+    __slots__ = ("tag", "parent", "children", "noise", "worded", "chars", "linked", "commas", "points")
 
     def __init__(self, tag: str, parent: _Element | None, noise: bool):
         self.tag, self.parent, self.noise = tag, parent, noise
+        self.worded = False  # its class or id names a part that is not the main text
         self.children: list = []  # elements and texts in page order
         self.chars = self.linked = self.commas = 0
         self.points = 0.0
@@ -68,9 +74,14 @@ def _is_noise(tag: str, attributes: str, parent: _Element) -> bool:
     named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     if "hidden" in named or named.get("aria-hidden") == "true" or named.get("role", "").lower() in _NOISE_ROLE:
         return True
-    if re.search(r"display\s*:\s*none", named.get("style", "")):
-        return True
-    return bool(_NOISE_WORD.search(named.get("class", "")) or _NOISE_WORD.search(named.get("id", "")))
+    return bool(re.search(r"display\s*:\s*none", named.get("style", "")))
+
+
+def _is_worded(tag: str, attributes: str) -> bool:
+    if not attributes.strip() or tag == "main":
+        return False
+    named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
+    return any(_NOISE_WORD.search(_MODIFIED.sub("", named.get(name, ""))) for name in ("class", "id"))
 
 
 def _inside(element: _Element | None, tags: tuple[str, ...]) -> _Element | None:
@@ -116,12 +127,14 @@ def _tree(html: str) -> _Element:
                 continue  # one level less for all pages
             elif tag in _RAW:  # no markup inside: skip to the end tag
                 close = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(html, at)
-                at = close.end() if close else size
+                if tag not in ("svg", "iframe") or not token["attributes"].rstrip().endswith("/"):
+                    at = close.end() if close else size
             elif tag in _VOID:
                 here.children.append("\n" if tag != "hr" else _Element("hr", here, False)) if tag in ("br", "hr") else None
             else:
                 here = _open(here, tag)
                 child = _Element(tag, here, _is_noise(tag, token["attributes"], here))
+                child.worded = not child.noise and _is_worded(tag, token["attributes"])
                 here.children.append(child)
                 here = child
     return root
@@ -135,6 +148,7 @@ def _measure(root: _Element) -> list[_Element]:
         order.append(element)
         todo += [c for c in reversed(element.children) if isinstance(c, _Element) and not c.noise]
     for element in reversed(order):
+        element.chars = element.linked = element.commas = 0
         for child in element.children:
             if isinstance(child, str):
                 element.chars += len(" ".join(child.split()))
@@ -161,11 +175,35 @@ def _is_paragraph(element: _Element) -> bool:
     )
 
 
+def _paragraph_points(element: _Element) -> float:
+    if element.chars < 20 or not _is_paragraph(element):
+        return 0.0
+    return (1 + element.commas + min(element.chars / 100, 3)) * (1 - _density(element))
+
+
+def _drop_worded(root: _Element, order: list[_Element]) -> None:
+    """Elements whose class or id names a part that is not the main text become noise, unless they hold it."""
+    if not any(element.worded for element in order):
+        return
+    in_article: set[int] = set()
+    for element in order:  # parents come first
+        if element.tag in ("article", "main") or id(element.parent) in in_article:
+            in_article.add(id(element))
+    own = {id(e): _paragraph_points(e) for e in order}
+    counted = in_article if any(own[i] for i in in_article) else own.keys()
+    points = {i: own[i] if i in counted else 0.0 for i in own}
+    for element in reversed(order):
+        if element.parent is not None:
+            points[id(element.parent)] += points[id(element)]
+    for element in order:
+        if element.worded and not points[id(element)] > _MAJOR * points[id(root)]:
+            element.noise = True
+
+
 def _score(order: list[_Element]) -> _Element | None:
     best = None
     for element in order:
-        if element.chars >= 20 and _is_paragraph(element):
-            points = (1 + element.commas + min(element.chars / 100, 3)) * (1 - _density(element))
+        if points := _paragraph_points(element):
             above, level = element.parent, 1
             while above is not None and level <= 5:
                 above.points += points / level
@@ -178,6 +216,7 @@ def _score(order: list[_Element]) -> _Element | None:
 
 
 def _kept(root: _Element) -> list[_Element]:
+    _drop_worded(root, _measure(root))
     order = _measure(root)
     best = _score(order)
     if best is None:
