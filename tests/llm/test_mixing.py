@@ -1,5 +1,7 @@
+import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -26,6 +28,28 @@ def test_period_stays_within_a_block_of_the_weights(weights, resolution):
             assert j * resolution // quotas[s] <= slot < -(-(j + 1) * resolution // quotas[s])
 
 
+def test_schedule_stays_within_a_block_of_the_weights_given():
+    weights = {"hot": 0.9, **{n: 0.1 / 99 for n in range(98)}, "rare": 1e-6}
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    total = sum(exact.values())
+    names, slots = mixing.schedule(weights, {s: max(1, int(w * 20_000)) for s, w in weights.items()})
+    assert len({tuple(r) for r in slots[:, :2].tolist()}) == len(slots) == len(set(slots[:, 2].tolist()))
+    for n, j, slot, release, deadline in slots.tolist():
+        w = exact[names[n]] / total
+        assert release == math.floor(j / w) <= slot < math.ceil((j + 1) / w) == deadline
+    assert len(mixing.schedule(dict.fromkeys(range(12_000), 1), dict.fromkeys(range(12_000), 1))[1]) == 12_000
+
+
+def test_rows_follow_the_weights_given(docs):
+    out = mixing.mix(table(docs, {"a": 600, "b": 60, None: 7}), weights={"a": 1, "b": 1e-3, None: 1e-3}, block_rows=1).collect()
+    assert len({r["slot"] for r in out}) == len(out) == 667
+    for source, w in (("a", Fraction(1)), ("b", Fraction(1e-3)), (None, Fraction(1e-3))):
+        w /= 1 + 2 * Fraction(1e-3)
+        mine = [r for r in out if r["source"] == source]
+        assert sorted(r["block"] for r in mine) == list(range(len(mine)))
+        assert all(r["release"] == math.floor(r["block"] / w) <= r["slot"] < math.ceil((r["block"] + 1) / w) for r in mine)
+
+
 def table(docs, sizes):
     rows, n = [], 0
     for source, size in sizes.items():

@@ -6,10 +6,12 @@ slot goes to the released block with the earliest deadline. As the weights sum t
 inside its window, so after any number of slots a source that still has blocks is less than one block away from
 its target share.
 
-Weights are whole shares of `resolution` slots. The schedule therefore repeats every `resolution` slots, and only
-that one period is worked out on the driver, whatever the size of the data: block j of a source with q shares
-takes its slot from block j mod q, j div q periods later. A source that runs out leaves its later slots unused,
-which keeps the order of all others; no row is dropped or repeated.
+The weights are taken as they are given, as exact fractions. The driver sees the number of blocks of each source
+and deals out the slots, some five numbers per block of `block_rows` rows; rows are placed by a join with that
+table. A source that runs out is not waited for: slots that no block is released for stay unused. With a
+`resolution`, weights are rounded to whole shares of as many slots, and only one period of that length is worked
+out: block j of a source with q shares takes its slot from block j mod q, j div q periods later. No row is dropped
+or repeated.
 
 Defined results: a null source is a source of its own; rows without an id, with the same id or equal rows all
 keep their places (the order among equal sort keys is fixed when the numbered table is written). The number of
@@ -21,6 +23,10 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Mapping
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,6 +74,36 @@ def period(quotas: Mapping) -> dict[object, list[int]]:
     return slots
 
 
+def schedule(weights: Mapping, blocks: Mapping) -> tuple[list, np.ndarray]:
+    """The sources, and per block a row of the source's place among them, block, slot, release and deadline,
+    for the weights as they are given; earliest deadline first."""
+    if any(not w > 0 for w in weights.values()):
+        raise ValueError("target weights must be positive")
+    names = [s for s in weights if blocks.get(s)]
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    total = sum(exact.values())
+    rates = [((exact[s] / total).numerator, (exact[s] / total).denominator) for s in names]
+    sizes = [blocks[s] for s in names]
+    waiting = [(0, n, 0) for n in range(len(names))]  # release, source, block; sorted
+    ready: list[tuple[int, int, int, int]] = []
+    out = np.empty((sum(sizes), 5), np.int64)
+    now = 0
+    for row in range(len(out)):
+        if not ready:
+            now = max(now, waiting[0][0])
+        while waiting and waiting[0][0] <= now:
+            release, n, j = heapq.heappop(waiting)
+            up, down = rates[n]
+            heapq.heappush(ready, (-(-(j + 1) * down // up), n, j, release))
+        deadline, n, j, release = heapq.heappop(ready)
+        out[row] = n, j, now, release, deadline
+        now += 1
+        if j + 1 < sizes[n]:
+            up, down = rates[n]
+            heapq.heappush(waiting, ((j + 1) * down // up, n, j + 1))
+    return names, out
+
+
 def numbered(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """`rows` with `_rank`, the number from 0 of each row among the rows of its key, in the given order.
 
@@ -95,13 +131,14 @@ def mix(
     weights: Mapping | None = None,
     temperature: float = 0.5,
     block_rows: int = BLOCK_ROWS,
-    resolution: int = RESOLUTION,
+    resolution: int | None = None,
 ) -> DataFrame:
     """`rows` with `slot` (when its block is due to be read), `place` in the block, `block` (number within its
     source), `release` and `deadline`. Reading by `slot`, then `place`, gives the mixture.
 
     Without `weights` (one for each source), a source weighs its number of rows to the power `temperature`. Within
-    a source, rows are read in the order of a hash of the `order` columns (all columns by default).
+    a source, rows are read in the order of a hash of the `order` columns (all columns by default). With a
+    `resolution`, weights are rounded to shares of as many slots.
     """
     spark = rows.sparkSession
     names = [c for c in rows.columns if c not in ADDED]
@@ -115,6 +152,8 @@ def mix(
         ~F.coalesce(F.col(source).isin([s for s in weights if s is not None]), F.lit(None in weights))
     ).take(1):
         raise ValueError(f"no target weight for source {missing[0][0]!r}")
+    if resolution is None:
+        return _placed_exactly(ranked, weights, names, block_rows)
     quotas = shares(weights, resolution) if weights else {}
     schema = StructType([
         StructField("_source", rows.schema[source].dataType),
@@ -137,3 +176,22 @@ def mix(
         F.expr(f"block * {resolution}L div _quota").alias("release"),
         F.expr(f"((block + 1) * {resolution}L + _quota - 1) div _quota").alias("deadline"),
     )
+
+
+def _placed_exactly(ranked: DataFrame, weights: Mapping, names: list[str], block_rows: int) -> DataFrame:
+    """The numbered rows with their places by the weights as they are."""
+    spark = ranked.sparkSession
+    last = ranked.groupBy("_source").agg(F.max("_rank").alias("last")).collect()
+    sources, slots = schedule(weights, {r["_source"]: r["last"] // block_rows + 1 for r in last})
+    schema = StructType([StructField("_source", ranked.schema["_source"].dataType), StructField("_n", LongType())])
+    known = spark.createDataFrame([(s, n) for n, s in enumerate(sources)], schema)
+    columns = ["_n", "block", "slot", "release", "deadline"]
+    if len(slots):
+        table = spark.createDataFrame(pa.table({c: slots[:, i].copy() for i, c in enumerate(columns)}))
+    else:
+        table = spark.createDataFrame([], StructType([StructField(c, LongType()) for c in columns]))
+    placed = null_safe_join(ranked, F.broadcast(known), ["_source"]).withColumns(
+        {"block": F.expr(f"_rank div {block_rows}L"), "place": F.col("_rank") % block_rows}
+    )
+    placed = placed.join(written(table, "schedule"), ["_n", "block"])
+    return placed.select(*[F.col("_data")[c].alias(c) for c in names], "slot", "place", "block", "release", "deadline")
