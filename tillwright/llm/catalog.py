@@ -12,6 +12,7 @@ from tillwright.llm import (
     html_text,
     language,
     line_dedup,
+    merkle,
     mixing,
     near_dup,
     neighbours,
@@ -158,6 +159,26 @@ def page_languages(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "page_id", "language": "lang"})
 
 
+@_query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves and proofs of all documents. Of every third one, a text with A-Z lower-cased is presented."""
+    docs = _table(spark, folder, "documents")
+    altered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    presented = {"text": F.translate("text", line_dedup.UPPER, line_dedup.LOWER)}
+    found = merkle.manifest(docs, presented=presented, altered=altered)
+    found = found.withColumn("folded_root", merkle.folded(F.col("presented"), F.col("proof")))
+    digest = lambda name: F.lower(F.hex(name)).alias(name)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        digest("leaf"),
+        digest("subroot"),
+        digest("root"),
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.lower(F.hex("root"))).alias("verified"),
+    )
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_line_dedup"] = r"""
@@ -231,3 +252,56 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) A
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
+
+# CRC-32 of the decimal id, bit by bit; a leaf's proof is the other members of the run on each level.
+ORACLES["op12_merkle_manifest"] = r"""
+WITH RECURSIVE d AS (
+  SELECT *, xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce([CAST(0 AS BIGINT) FOR x IN range(8)], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)), xor(crc, byte)),
+    CAST(4294967295 AS BIGINT))) % 3 = 0 AS altered
+  FROM documents),
+coded AS (
+  SELECT doc_id, lang, altered, text,
+    concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head
+  FROM d),
+leaf AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN altered THEN sha256(head || coalesce(strlen(text) || ':' ||
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS given
+  FROM coded),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaf),
+low AS (
+  SELECT tree, 0 AS level, place, leaf AS digest, n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+  FROM low WHERE n > 1 GROUP BY tree, level + 1, place // 8, (n + 7) // 8),
+subroot AS (SELECT tree, digest FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, tree AS place, digest, count(*) OVER () AS n FROM subroot
+  UNION ALL
+  SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+  FROM high WHERE n > 1 GROUP BY level + 1, place // 8, (n + 7) // 8),
+run AS (
+  SELECT 0 AS part, tree, level, place // 8 AS run, list(digest ORDER BY place) AS members FROM low WHERE n > 1 GROUP BY tree, level, place // 8
+  UNION ALL
+  SELECT 1, 0, level, place // 8, list(digest ORDER BY place) FROM high WHERE n > 1 GROUP BY level, place // 8),
+way AS (
+  SELECT p.doc_id, p.leaf, p.given, p.tree, r.part, r.level, members,
+    ((CASE WHEN r.part = 0 THEN p.place ELSE p.tree END) >> (3 * r.level)) % 8 AS nth
+  FROM placed p JOIN run r ON (r.part = 0 AND r.tree = p.tree AND p.place >> (3 * r.level + 3) = r.run)
+    OR (r.part = 1 AND p.tree >> (3 * r.level + 3) = r.run)),
+step AS (
+  SELECT doc_id, leaf, part, level, array_to_string(list_slice(members, 1, nth), '') AS before, array_to_string(list_slice(members, nth + 2, 8), '') AS after FROM way),
+proof AS (
+  SELECT doc_id, leaf, string_agg(before || after, '' ORDER BY part, level) AS siblings,
+    list({'before': before, 'after': after} ORDER BY part, level) AS steps FROM step GROUP BY doc_id, leaf),
+folded AS (
+  SELECT p.doc_id, p.leaf, s.digest AS subroot, (SELECT digest FROM high WHERE n = 1) AS root, coalesce(siblings, '') AS siblings,
+    list_reduce(coalesce(steps, []), lambda h, step: sha256(step.before || h || step.after), coalesce(given, p.leaf)) AS folded_root
+  FROM placed p JOIN subroot s ON s.tree = p.tree LEFT JOIN proof ON proof.doc_id = p.doc_id AND proof.leaf = p.leaf)
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
