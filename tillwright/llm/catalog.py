@@ -17,6 +17,7 @@ from tillwright.llm import (
     near_dup,
     neighbours,
     pii,
+    runs,
     substrings,
     tokens,
 )
@@ -179,6 +180,37 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of all documents. In every tenth one, the words from some place on repeat with some period; both follow
+    from the document's id."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    docs = _table(spark, folder, "documents").select("doc_id", "text", (h % 10 == 0).alias("_chosen"), F.expr("crc32(string(doc_id)) div 10").alias("_g"))
+    docs = docs.withColumn("_words", F.when(F.col("_chosen"), words))  # null: left as it is
+    docs = docs.withColumn("_n", F.size("_words")).withColumn("_at", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    docs = docs.withColumn("_period", F.expr("cast(1 + (_n - _at) div (3 + _g % 8) as int)"))
+    unit = F.slice("_words", F.col("_at") + 1, F.col("_period"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.expr("cast((_n - _at) div _period + 1 as int)"))), F.lit(1), F.col("_n") - F.col("_at"))
+    repeated = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_at")), tail), " ")
+    docs = docs.select("doc_id", F.when(F.col("_n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+    found = runs.find_runs(docs)
+    ranked = F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    found = found.withColumn("best", F.array_max(ranked))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_line_dedup"] = r"""
