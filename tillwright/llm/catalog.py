@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
+    chunked_bpe,
     decontaminate,
     html_text,
     language,
@@ -160,6 +161,18 @@ def page_languages(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "page_id", "language": "lang"})
 
 
+@_query
+def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of all documents, and the texts they decode to."""
+    encoded = chunked_bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"))
+    return chunked_bpe.decode(encoded).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @_query
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Leaves and proofs of all documents. Of every third one, a text with A-Z lower-cased is presented."""
