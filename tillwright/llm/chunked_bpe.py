@@ -35,6 +35,7 @@ from functools import cache, partial
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,45 +183,74 @@ def _hashes(batches: Iterator[pa.RecordBatch], chunk_bits: int) -> Iterator[pa.R
             yield pa.record_batch([pa.array(np.frombuffer(keys, np.int64)[::2].copy(), pa.int64())], names=["hash"])
 
 
-_PIECES = pa.list_(pa.struct([("key1", pa.int64()), ("key2", pa.int64()), ("text", pa.binary()), ("ids", pa.binary())]))
-
-
-def _pieces(
-    batches: Iterator[pa.RecordBatch], names: list[str], shared: Broadcast, chunk_bits: int, path: str
-) -> Iterator[pa.RecordBatch]:
-    """Per document its pieces: keys of shared chunks, with the text where the task meets one first, and tokens of the rest."""
-    known = vocabulary(path)
-    sent: set[bytes] = set()
+def _segments(chunks: list[bytes], likely: list[bool]) -> list[tuple[bool, bytes]]:
+    """Pieces of a text: single likely shared chunks, and what stands between them."""
+    pieces: list[tuple[bool, bytes]] = []
+    own: list[bytes] = []
+    for chunk, share in zip(chunks, likely):
+        if share:
+            if own:
+                pieces.append((False, b"".join(own)))
+                own = []
+            pieces.append((True, chunk))
+        else:
+            own.append(chunk)
+    return [*pieces, (False, b"".join(own))] if own else pieces
+
+
+def _segmented(part: pa.RecordBatch, shared: np.ndarray, chunk_bits: int) -> Iterator[tuple[bytes, list[tuple[bool, bytes]]]]:
+    """Key and pieces of each text."""
+    texts = list(chunked(part, chunk_bits))
+    keys = b"".join([_key(chunk) for chunks in texts for chunk in chunks])
+    likely = bits.inside(shared, np.frombuffer(keys, np.int64)[::2].copy().view(np.uint64)).tolist()
+    at = 0
+    for chunks in texts:
+        yield _key(b"".join(chunks)), _segments(chunks, likely[at : at + len(chunks)])
+        at += len(chunks)
+
+
+def _numbers(keys: list[bytes]) -> list[pa.Array]:
+    """128-bit keys as two columns of bigint."""
+    halves = np.frombuffer(b"".join(keys), np.int64)
+    return [pa.array(halves[0::2].copy(), pa.int64()), pa.array(halves[1::2].copy(), pa.int64())]
+
+
+def _references(batches: Iterator[pa.RecordBatch], shared: Broadcast, chunk_bits: int) -> Iterator[pa.RecordBatch]:
+    """Likely shared chunks of each different text, with their bytes where the task meets them first."""
+    seen: set[bytes] = set()
     for batch in batches:
         for part in W.chunks(batch, "_text"):
-            texts = list(chunked(part, chunk_bits))
-            keys = [_key(chunk) for chunks in texts for chunk in chunks]
-            numbers = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-            likely = bits.inside(shared.value, numbers[:, 0].astype(np.int64).view(np.uint64)).tolist()
-            numbers, at, rows = numbers.tolist(), 0, []
-            for chunks in texts:
-                pieces: list[dict] = []
-                own: list[bytes] = []
-                for chunk in chunks:
-                    if likely[at]:
-                        if own:
-                            pieces.append({"ids": known.encode(b"".join(own)).tobytes()})
-                            own = []
-                        piece = {"key1": numbers[at][0], "key2": numbers[at][1]}
-                        if keys[at] not in sent:
-                            sent.add(keys[at])
-                            piece["text"] = chunk
-                        pieces.append(piece)
-                    else:
-                        own.append(chunk)
-                    at += 1
-                if own:
-                    pieces.append({"ids": known.encode(b"".join(own)).tobytes()})
-                rows.append(pieces)
-            joins = pa.array([any("key1" in p for p in pieces) for pieces in rows], pa.bool_())
-            yield pa.record_batch(
-                [*[part.column(n) for n in names], pa.array(rows, _PIECES), joins], names=[*names, "_pieces", "_shares"]
-            )
+            docs, places, keys, texts = [], [], [], []
+            for doc, pieces in _segmented(part, shared.value, chunk_bits):
+                if doc in seen:
+                    continue
+                seen.add(doc)
+                for at, (share, chunk) in enumerate(pieces):
+                    if share:
+                        key = _key(chunk)
+                        docs.append(doc)
+                        places.append(at)
+                        keys.append(key)
+                        texts.append(None if b"c" + key in seen else chunk)
+                        seen.add(b"c" + key)
+            columns = [*_numbers(docs), pa.array(places, pa.int32()), *_numbers(keys), pa.array(texts, pa.binary())]
+            yield pa.record_batch(columns, names=["doc1", "doc2", "at", "key1", "key2", "text"])
+
+
+def _own(batches: Iterator[pa.RecordBatch], names: list[str], shared: Broadcast, chunk_bits: int, path: str) -> Iterator[pa.RecordBatch]:
+    """Per document the key of its text, the tokens of the pieces that are not shared, packed, and their numbers
+    (-1 for a shared piece)."""
+    known, pack = vocabulary(path), zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        for part in W.chunks(batch, "_text"):
+            docs, sizes, blobs = [], [], []
+            for doc, pieces in _segmented(part, shared.value, chunk_bits):
+                tokens = [None if share else known.encode(text) for share, text in pieces]
+                docs.append(doc)
+                sizes.append([-1 if ids is None else len(ids) for ids in tokens])
+                blobs.append(pack(b"".join([ids.tobytes() for ids in tokens if ids is not None])))
+            added = [*_numbers(docs), pa.array(sizes, pa.list_(pa.int32())), pa.array(blobs, pa.binary())]
+            yield pa.record_batch([*[part.column(n) for n in names], *added], names=[*names, "_doc1", "_doc2", "_sizes", "_own"])
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -233,19 +263,22 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
 
 
 def _assembled(batches: Iterator[pa.RecordBatch], names: list[str], path: str) -> Iterator[pa.RecordBatch]:
-    known = vocabulary(path)
+    known, unpack = vocabulary(path), zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            counts, rows = [], []
-            for pieces, found in zip(part.column("_pieces").to_pylist(), part.column("_found").to_pylist()):
-                tokens = [p["ids"] for p in pieces]
-                for one in found or []:
-                    tokens[one["at"]] = one["ids"]
-                ids = joined([np.frombuffer(t, known.kind) for t in tokens], known)
-                counts.append(len(ids))
-                rows.append(ids)
-            ids = W.listed(np.array(counts, np.int64), np.concatenate(rows).astype(np.int32), pa.int32())
+            rows = []
+            for sizes, own, found in zip(*[part.column(n).to_pylist() for n in ("_sizes", "_own", "_found")]):
+                shared = {one["at"]: np.frombuffer(one["ids"], known.kind) for one in found or []}
+                tokens, begin, pieces = np.frombuffer(unpack(own), known.kind), 0, []
+                for place, size in enumerate(sizes):
+                    if size < 0:
+                        pieces.append(shared[place])
+                    else:
+                        pieces.append(tokens[begin : begin + size])
+                        begin += size
+                rows.append(joined(pieces, known))
+            ids = W.listed(np.array([len(ids) for ids in rows], np.int64), np.concatenate(rows).astype(np.int32), pa.int32())
             yield pa.record_batch([*[part.column(n) for n in names], ids], names=[*names, "ids"])
 
 
@@ -265,23 +298,25 @@ def encode(docs: DataFrame, text: str = "text", path: str = VOCABULARY, chunk_bi
     texts = docs.select(*[F.col(n).alias(c) for n, c in own.items()], F.col(text).alias("_text"))
     kinds = "".join(f"{c} {docs.schema[n].dataType.simpleString()}, " for n, c in own.items())
     shared = spark.sparkContext.broadcast(_shared(texts, chunk_bits))
-    cut = texts.mapInArrow(
-        partial(_pieces, names=list(own.values()), shared=shared, chunk_bits=chunk_bits, path=path),
-        kinds + "_pieces array<struct<key1:bigint,key2:bigint,text:binary,ids:binary>>, _shares boolean",
+    references = written(
+        texts.select("_text").mapInArrow(
+            partial(_references, shared=shared, chunk_bits=chunk_bits),
+            "doc1 bigint, doc2 bigint, at int, key1 bigint, key2 bigint, text binary",
+        ),
+        "references",
     )
-    # Row numbers are fixed by writing them.
-    cut = written(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
-    each = cut.where("_shares").select("_row", F.posexplode("_pieces").alias("at", "piece")).where("piece.ids IS NULL")
-    each = each.select("_row", "at", "piece.key1", "piece.key2", "piece.text")
-    chunks = each.where("text IS NOT NULL").groupBy("key1", "key2").agg(F.first("text").alias("text"))
+    chunks = references.where("text IS NOT NULL").groupBy("key1", "key2").agg(F.first("text").alias("text"))
     chunks = written(chunks.mapInArrow(partial(_encoded, path=path), "key1 bigint, key2 bigint, ids binary"), "chunks")
-    found = each.drop("text").join(chunks, ["key1", "key2"]).groupBy("_row")
-    found = found.agg(F.collect_list(F.struct("at", "ids")).alias("_found"))
-    pieces = F.transform("_pieces", lambda p: F.struct(p["ids"].alias("ids")))
-    cut = cut.withColumn("_pieces", pieces)
-    alone = cut.where("NOT _shares").select(*own.values(), "_pieces", F.lit(None).cast("array<struct<at:int,ids:binary>>").alias("_found"))
-    sharing = cut.where("_shares").join(found, "_row").select(*own.values(), "_pieces", "_found")
-    out = alone.unionByName(sharing).mapInArrow(
+    # Texts that agree share their references, however many tasks met them.
+    found = references.drop("text").distinct().join(chunks, ["key1", "key2"])
+    found = found.groupBy(F.col("doc1").alias("_doc1"), F.col("doc2").alias("_doc2")).agg(
+        F.collect_list(F.struct("at", "ids")).alias("_found")
+    )
+    out = texts.mapInArrow(
+        partial(_own, names=list(own.values()), shared=shared, chunk_bits=chunk_bits, path=path),
+        kinds + "_doc1 bigint, _doc2 bigint, _sizes array<int>, _own binary",
+    )
+    out = out.join(found, ["_doc1", "_doc2"], "left").select(*own.values(), "_sizes", "_own", "_found").mapInArrow(
         partial(_assembled, names=list(own.values()), path=path), kinds + "ids array<int>"
     )
     return out.withColumnsRenamed({c: n for n, c in own.items()})
