@@ -152,3 +152,34 @@ def test_components_of_chains_and_stars(spark):
     assert all(found[i] == 0 for i in range(1, 41)) and all(found[i] == 99 for i in range(100, 160) if i > 100)
     assert found[300] == found[250] == 200 and 200 not in found
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def templated(count, slots, fixed):
+    """Texts of one template: `fixed` words, then one of two wordings for each slot."""
+    rng = random.Random(count + slots)
+    wordings = [[prose(1000 * slot + side, 12, 5000) for side in range(2)] for slot in range(slots)]
+    opening = prose(7, fixed, 5000) if fixed else ""
+    return [(n, " ".join([opening, *[rng.choice(w) for w in wordings]])) for n in range(count)]
+
+
+def test_compared_pairs_of_a_template_stay_few(docs, monkeypatch):
+    compare, counts = near_dup._compare, []
+
+    def counted(pairs, texts, threshold):
+        counts.append(pairs.count())
+        return compare(pairs, texts, threshold)
+
+    monkeypatch.setattr(near_dup, "_compare", counted)
+    for count in (300, 1200):  # all pairs: 45 thousand, 720 thousand
+        counts.clear()
+        near(docs, templated(count, 20, 90))
+        assert sum(counts) < 4 * count
+
+
+def test_parity_bounds_the_difference():
+    rng = np.random.default_rng(8)
+    for size, shared in ((10, 3), (300, 250), (900, 880), (5000, 100)):
+        texts = W.mixed(rng.integers(0, 1 << 62, 2 * size - shared).astype(np.uint64))
+        one, two = texts[:size], texts[size - shared :]
+        bits = np.bitwise_count((near_dup.parity(one) ^ near_dup.parity(two)).view(np.uint64)).sum()
+        assert bits <= 2 * (size - shared)

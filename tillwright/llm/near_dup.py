@@ -16,7 +16,9 @@ one's component with all others. What then still lies in different components of
 exact prefix filter: with shingles in one common order, the rarest first, two texts at the threshold share a
 shingle among the first `size - overlap + 1` of each. So every pair that shares a bucket is compared, lies in one
 component already, or is known to be below the threshold; a link is missed only where two documents share no
-bucket and no chain of links joins them. Prefixes are some fifth of the shingles of the documents left; all other
+bucket and no chain of links joins them. Before a pair leaves the join that finds it, the sizes and the parity bits
+of both texts, which bound the shingles outside their overlap from below, must allow the threshold: of texts from
+one template that are no near-duplicates, next to none is compared. Prefixes are some fifth of the shingles of the documents left; all other
 steps handle at most `SKETCHES` rows per document.
 
 Defined results: every row is a document, also where ids are null or rows repeat. Words are as in
@@ -28,12 +30,12 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm import bits
@@ -42,6 +44,8 @@ from tillwright.llm.components import components, packed
 from tillwright.session import written
 
 SHINGLE, SKETCHES, PICKS, THRESHOLD, PAIRED = 5, 24, 3, 0.8, 8
+# Words of 64 bits that say for each of their bits whether the text has an odd number of shingles there.
+PARITY = 8
 # Size of the bit table (4 MB) that keeps texts which share no bucket out of a shuffle.
 FILTER_BITS = 25
 # Texts in which common shingles are counted, and how many of those are kept. Only the number of pairs depends on it.
@@ -91,13 +95,21 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return total
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Per bit, whether an odd number of shingles falls on it. Where two texts differ in a bit, at least one shingle
+    belongs to one of them only."""
+    odd = np.bincount((shingles >> np.uint64(32)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document: id, two hashes of its words in order, shingle count, sketches, and 32 bits of each word's hash."""
+    """Per document: id, two hashes of its words in order, shingle count, sketches, parity bits, and 32 bits of each
+    word's hash."""
     for batch in batches:
         for part in W.chunks(batch, "text"):
             words = W.split(part.column("text"), W.LOWERED)
             values = W.hashes(words)
-            keys, sketches, packed, sizes = [], [], [], []
+            keys, sketches, odd, packed, sizes = [], [], [], [], []
             for begin, end in zip(words.first[:-1], words.first[1:]):
                 short = (values[begin:end] >> np.uint64(32)).astype(np.uint32)
                 own = short.astype(np.uint64) + np.uint64(1)
@@ -105,6 +117,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys.append([W.grams(x, len(x))[0] if len(x) else np.uint64(0) for x in (whole, W.mixed(whole + np.uint64(1)))])
                 shingles = labelled(W.mixed(own))
                 sketches.append(sketch(shingles))
+                odd.append(parity(shingles))
                 sizes.append(len(shingles))
                 packed.append(short.tobytes())
             keys = np.array(keys, dtype=np.uint64).reshape(-1, 2)
@@ -115,9 +128,10 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(W.signed(np.ascontiguousarray(keys[:, 1]))),
                     pa.array(np.array(sizes, np.int32)),
                     W.listed(np.full(len(sizes), SKETCHES), W.signed(np.concatenate(sketches)), pa.int64()),
+                    W.listed(np.full(len(sizes), PARITY), np.concatenate(odd), pa.int64()),
                     pa.array(packed, pa.binary()),
                 ],
-                names=["id", "key1", "key2", "size", "sketches", "words"],
+                names=["id", "key1", "key2", "size", "sketches", "parity", "words"],
             )
 
 
@@ -173,9 +187,14 @@ def _compare(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _similar_sizes(one, other, threshold: float):
-    """Sizes that allow the threshold: the smaller set can at most be inside the larger."""
-    return F.least(one, other) >= threshold * F.greatest(one, other)
+def _may_link(one: str, other: str, threshold: float, joint: str = ".") -> Column:
+    """Sizes that allow the threshold, as the smaller set can at most be inside the larger, and no more differing
+    parity bits than shingles outside the overlap. Pairs that can't pass so never leave the join that finds them."""
+    size, more = F.col(f"{one}size"), F.col(f"{other}{joint}size")
+    own, others = F.col(f"{one}parity"), F.col(f"{other}{joint}parity")
+    differing = reduce(Column.__add__, [F.bit_count(own[n].bitwiseXOR(others[n])) for n in range(PARITY)])
+    outside = (size + more) * ((1 - threshold) / (1 + threshold)) + 1e-9
+    return (F.least(size, more) >= threshold * F.greatest(size, more)) & (differing <= outside)
 
 
 def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
@@ -184,22 +203,21 @@ def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
 
 
 def _sharing(texts: DataFrame) -> DataFrame:
-    """Documents that share a bucket with others: `row`, `size`, their `buckets` (hash, and number of the sketch it
+    """Documents that share a bucket with others: `row`, `size`, `parity`, their `buckets` (hash, and number of the sketch it
     stands for), and `score`, the number of members of all of them."""
-    each = texts.select("row", "size", F.posexplode("sketches").alias("at", "sketch"))
-    each = each.select(F.xxhash64("at", "sketch").alias("bucket"), "at", "row", "size")
+    each = texts.select("row", F.posexplode("sketches").alias("at", "sketch"))
+    each = each.select(F.xxhash64("at", "sketch").alias("bucket"), "at", "row")
     shared = written(each.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "shared")
-    own = each.join(shared, "bucket").groupBy("row", "size")
-    return written(
-        own.agg(F.collect_list(F.struct("bucket", "at")).alias("buckets"), F.sum("members").alias("score")), "sharing"
-    )
+    own = each.join(shared, "bucket").groupBy("row")
+    own = own.agg(F.collect_list(F.struct("bucket", "at")).alias("buckets"), F.sum("members").alias("score"))
+    return written(texts.select("row", "size", "parity").join(written(own, "own-buckets"), "row"), "sharing")
 
 
 def _central_pairs(members: DataFrame, threshold: float) -> DataFrame:
     """Each member with the most central one of its bucket."""
-    centres = members.groupBy("bucket").agg(F.max(F.struct("score", "row", "size")).alias("centre"))
+    centres = members.groupBy("bucket").agg(F.max(F.struct("score", "row", "size", "parity")).alias("centre"))
     joined = members.join(packed(centres, "centres"), "bucket").withColumn("other", F.col("centre.row"))
-    return _pairs(joined.where("row != other").where(_similar_sizes("size", "centre.size", threshold)), "row", "other")
+    return _pairs(joined.where("row != other").where(_may_link("", "centre", threshold)), "row", "other")
 
 
 def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -219,17 +237,17 @@ def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
 
 def _cross_pairs(small: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different components inside small buckets."""
-    left = small.select("bucket", "row", "size", "top")
-    right = left.withColumnsRenamed({"row": "other", "size": "other_size", "top": "other_top"})
+    left = small.select("bucket", "row", "size", "parity", "top")
+    right = left.withColumnsRenamed({"row": "other", "size": "other_size", "parity": "other_parity", "top": "other_top"})
     joined = left.join(right, "bucket").where("row > other AND top != other_top")
-    return _pairs(joined.where(_similar_sizes("size", "other_size", threshold)), "row", "other")
+    return _pairs(joined.where(_may_link("", "other", threshold, "_")), "row", "other")
 
 
 def _outside_pairs(large: DataFrame, threshold: float) -> DataFrame:
     """The most central member outside the main component with all members of other components than its own."""
-    outside = large.where("top != main").groupBy("bucket").agg(F.max(F.struct("score", "row", "size", "top")).alias("centre"))
+    outside = large.where("top != main").groupBy("bucket").agg(F.max(F.struct("score", "row", "size", "parity", "top")).alias("centre"))
     joined = large.join(packed(outside, "outside-centres"), "bucket").withColumn("other", F.col("centre.row"))
-    return _pairs(joined.where("top != centre.top").where(_similar_sizes("size", "centre.size", threshold)), "row", "other")
+    return _pairs(joined.where("top != centre.top").where(_may_link("", "centre", threshold)), "row", "other")
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,21 +288,21 @@ def _prefixes(batches: Iterator[pa.RecordBatch], common: Broadcast, threshold: f
             few, more = prefix_sizes(len(shingles), threshold)
             places = np.arange(more)
             columns = [pa.array(W.signed(shingles[np.lexsort((shingles, number))[:more]]))]
-            own = [pa.repeat(batch.column(name)[at], more) for name in ("row", "size", "score", "top")]
+            own = [pa.repeat(batch.column(name)[at], more) for name in ("row", "size", "score", "top", "parity")]
             yield pa.record_batch(
                 [*columns, *own, pa.array(places.astype(np.int32)), pa.array(places < few)],
-                names=["shingle", "row", "size", "score", "top", "place", "first"],
+                names=["shingle", "row", "size", "score", "top", "parity", "place", "first"],
             )
 
 
 def _prefix_pairs(large: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different components that can reach the threshold, among all members of large buckets."""
-    left = written(large.select("row", "size", "score", "top").distinct(), "left-over")
+    left = written(large.select("row", "size", "score", "top", "parity").distinct(), "left-over")
     with_words = written(texts.select("row", "words").join(left, "row"), "left-texts")
     common = texts.sparkSession.sparkContext.broadcast(_common(with_words))
     found = with_words.mapInArrow(
         partial(_prefixes, common=common, threshold=threshold),
-        "shingle bigint, row bigint, size int, score bigint, top bigint, place int, first boolean",
+        "shingle bigint, row bigint, size int, score bigint, top bigint, parity array<bigint>, place int, first boolean",
     )
     found = written(found, "prefixes")
     stats = found.groupBy("shingle").agg(
@@ -293,7 +311,7 @@ def _prefix_pairs(large: DataFrame, texts: DataFrame, threshold: float) -> DataF
     stats = stats.where("low != high AND any").select("shingle", F.col("best.top").alias("main"))
     found = packed(found.drop("score").join(packed(stats, "mixed-prefixes"), "shingle"), "mixed-prefix-members")
     larger = found.drop("first").withColumnsRenamed(
-        {"row": "other", "size": "other_size", "top": "other_top", "place": "other_place", "main": "other_main"}
+        {"row": "other", "size": "other_size", "parity": "other_parity", "top": "other_top", "place": "other_place", "main": "other_main"}
     )
     outside = found.where("first AND top != main").join(larger, "shingle")
     inside = found.where("first AND top = main").join(larger.where("other_top != other_main"), "shingle")
@@ -301,7 +319,7 @@ def _prefix_pairs(large: DataFrame, texts: DataFrame, threshold: float) -> DataF
     # No more can be shared than what follows the first shared shingle.
     reach = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
     needed = (F.col("size") + F.col("other_size")) * (threshold / (1 + threshold)) - 1e-9
-    return _pairs(joined.where(_similar_sizes("size", "other_size", threshold)).where(reach >= needed), "row", "other")
+    return _pairs(joined.where(reach >= needed).where(_may_link("", "other", threshold, "_")), "row", "other")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -326,25 +344,25 @@ def near_duplicates(
     id_type = docs.schema[doc_id].dataType.simpleString()
     scanned = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(
         _sketched,
-        f"id {id_type}, key1 bigint, key2 bigint, size int, sketches array<bigint>, words binary",
+        f"id {id_type}, key1 bigint, key2 bigint, size int, sketches array<bigint>, parity array<bigint>, words binary",
     )
     # The row number is fixed by writing it: a retried task can't change what was committed.
     scanned = written(scanned.withColumn("row", F.monotonically_increasing_id()), "sketches")
     wordings = written(scanned.groupBy("key1", "key2").agg(F.min("row").alias("first")), "wordings")
     firsts = wordings.select(F.col("first").alias("row"))
-    texts = written(scanned.where("size > 0").select("row", "size", "sketches").join(firsts, "row"), "wordings-sketches")
+    texts = written(scanned.where("size > 0").select("row", "size", "sketches", "parity").join(firsts, "row"), "wordings-sketches")
     sharing = _sharing(texts)  # most documents share no bucket
     rows = scanned.select("row", F.xxhash64("row").alias("hash"), "sketches", "words")
     filled = docs.sparkSession.sparkContext.broadcast(bits.table(sharing.select(F.xxhash64("row").alias("hash")), "hash", filter_bits))
     likely = rows.mapInArrow(partial(_likely, filled=filled), rows.schema)
     texts = written(likely.join(sharing.select("row"), "row").drop("hash"), "shared-texts")
-    members = sharing.select("row", "size", "score", F.inline("buckets"))
+    members = sharing.select("row", "size", "score", "parity", F.inline("buckets"))
     links = components(_linked(_central_pairs(members, threshold), texts, threshold))
     mixed = _mixed(members, links)
     large = mixed.where(F.col("members") > PAIRED)
     pairs = _cross_pairs(mixed.where(F.col("members") <= PAIRED), threshold).unionByName(_outside_pairs(large, threshold))
     links = components(links.unionByName(_linked(pairs.distinct(), texts, threshold)))
-    large = _mixed(large.select("bucket", "row", "size", "score"), links)
+    large = _mixed(large.select("bucket", "row", "size", "score", "parity"), links)
     if not large.isEmpty():
         links = components(links.unionByName(_linked(_prefix_pairs(large, texts, threshold), texts, threshold)))
     tops = wordings.join(links.select(F.col("u").alias("first"), F.col("v").alias("top")), "first", "left")
