@@ -1,6 +1,5 @@
 import pytest
 
-from tests.llm.helpers import sample_table
 from tillwright.llm import html_text
 
 LONG = "This sentence is long enough to be a paragraph, with commas, and so it gets points."
@@ -53,6 +52,32 @@ def test_class_words_and_closed_elements_keep_the_article(html):
     assert html_text.main_text(html).replace(f"{LONG} {LONG}", LONG) == LONG
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        # A form around the page, and forms in it.
+        (f"<body><form id='aspnetForm'><div><p>{LONG}</p><form><p>Your name, please, and your mail.</p><input></form></div></form>", LONG),
+        (f"<form><article><h1>Head</h1><p>{LONG}</p></article></form>", f"Head {LONG}"),
+        # Noise that is never closed ends where the article begins; closed noise holds its own articles.
+        (f"<nav><ul><li><a href='/'>Home</a><article><p>{LONG}</p></article><footer><nav>foot</nav></footer>", LONG),
+        (f"<aside><article><p>{LONG} Aside.</p></article></aside><main><p>{LONG}</p></main>", LONG),
+        # Adverts and notices beside a short article.
+        (page("<h1>Head.</h1><p><b>Short.<br>", '<div class="ad">Buy, now, this, thing, and, more, of, it!</div>'), "Head. Short."),
+        (page("<h1>Head.</h1>", f'<div id="cookie-notice"><p>{LONG}</p></div>'), "Head."),
+        # Comments that are longer than the text.
+        (page(f"<p>{LONG}</p><section class='comments'>" + f"<p>{LONG}</p>" * 30 + "</section>"), LONG),
+        (page("<p>Short.</p>", "<div id='comments'>" + f"<article><p>{LONG}</p></article>" * 9 + "</div>"), "Short."),
+        (f"<div><p>{LONG}</p></div><div class='comments'>" + f"<p>{LONG}</p>" * 30 + "</div>", LONG),
+        (f"<main><p>{LONG}</p><div class='replies'>" + f"<p>{LONG}</p>" * 30 + "</div></main>", LONG),
+        # Words of layout around everything there is.
+        (f"<article><div class='widget'><p>{LONG}</p></div></article>", LONG),
+        (f"<div class='comments'><p>{LONG}</p></div>", LONG),
+    ],
+)
+def test_wrappers_and_parts(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_deep_and_long_pages_are_whole():
     deep = "<div>" * 3000 + f"<p>{LONG}</p>" + "</div>" * 3000
     assert html_text.main_text(deep) == LONG
@@ -61,12 +86,14 @@ def test_deep_and_long_pages_are_whole():
     assert html_text.main_text("<p>" + "<" * 20_000) is not None
 
 
-def test_pages_give_their_articles(spark):
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_pages_give_their_articles(spark, scale):
     import re
     from html import unescape
 
-    rows = html_text.extract(sample_table(spark, "pages")).collect()
-    pages = {r["page_id"]: r["html"] for r in sample_table(spark, "pages").collect()}
+    table = spark.read.parquet(f"/root/testdata/{scale}/pages.parquet")
+    rows = html_text.extract(table).collect()
+    pages = {r["page_id"]: r["html"] for r in table.collect()}
     for r in rows:
         article = re.search(r"<article>(.*)</article>", pages[r["page_id"]], re.DOTALL)[1]
         blocks = re.split(r"</?(?:p|h1)>", article)

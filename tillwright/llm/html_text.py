@@ -4,12 +4,15 @@ Each paragraph gives points for its length and its commas to its ancestors, less
 points of an element are discounted by its link density, the share of its text inside links. The best container
 is kept, widened to the article that it lies in, with those of its siblings that score or read alike. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out wherever
-they stand, by their element or by the words of their class, id or role. Class and id words do not drop an element
-that holds nearly all paragraph points of the page's articles (of the page, where it has none), such as a wrapper.
+they stand, by their element or by the words of their class, id or role. Class and id words, and forms, do not drop
+a wrapper: an element around an article (`article`, or `main` where there is none) that holds nearly all paragraph points of
+the page's articles. What stands beside or inside the article is dropped, however long it is. On a page without
+article, words of layout do not drop an element that holds nearly all points; words of adverts, notices, menus and
+comments do. Where nothing would be left, the element with nearly all points stays.
 
 Defined results: a null or empty page, and one without text, have the empty text. Markup may be broken:
-unclosed elements end where their parent ends or where a block follows a paragraph, stray end tags and
-lone `<` are ignored or text. Columns other than the html pass through; `text` replaces a column of this name.
+unclosed elements end where their parent ends or where a block follows a paragraph, unclosed menus and the like
+where an article begins, stray end tags and lone `<` are ignored or text. Columns other than the html pass through; `text` replaces a column of this name.
 """
 
 from __future__ import annotations
@@ -36,14 +39,20 @@ _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-_NOISE = frozenset("head nav footer aside form button select dialog menu fieldset object canvas".split()) | _RAW
+_NOISE = frozenset("head nav footer aside button select dialog menu object canvas".split()) | _RAW
+_FORM = frozenset(("form", "fieldset"))
+_ARTICLE = frozenset(("article", "main"))
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _PARAGRAPH = frozenset("p pre td blockquote li dd".split())
-_NOISE_WORD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
-    r"overlay|side-?bar|nav\w*|menus?|breadcrumbs?|footer|masthead|site-?header|page-?header|comments?|disqus|repl(?:y|ies)|"
-    r"responses?|related|recommend\w*|shar(?:e|ing)|social|subscribe|newsletter|sign-?up|log-?in|search|widget|pag(?:er|ination)|"
-    r"toolbar|skip|hidden)(?:$|[\s_-])",
+# Words of parts that are never the main text, and words that layouts also use for what holds it.
+_PART_WORD = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|popup|nav\w*|menus?|breadcrumbs?|"
+    r"footer|comments?|disqus|repl(?:y|ies)|responses?|related|recommend\w*|subscribe|newsletter)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
+_LAYOUT_WORD = re.compile(
+    r"(?:^|[\s_-])(?:banner|alerts?|modal|overlay|side-?bar|masthead|site-?header|page-?header|shar(?:e|ing)|social|sign-?up|log-?in|"
+    r"search|widget|pag(?:er|ination)|toolbar|skip|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
 # Words that name what an element has around it or lacks, as in has-sidebar.
@@ -58,7 +67,7 @@ class _Element:
 
     def __init__(self, tag: str, parent: _Element | None, noise: bool):
         self.tag, self.parent, self.noise = tag, parent, noise
-        self.worded = False  # its class or id names a part that is not the main text
+        self.worded = 0  # its class or id names a part that is not the main text: 1 by a word of layout, 2 for sure
         self.children: list = []  # elements and texts in page order
         self.chars = self.linked = self.commas = 0
         self.points = 0.0
@@ -77,11 +86,27 @@ def _is_noise(tag: str, attributes: str, parent: _Element) -> bool:
     return bool(re.search(r"display\s*:\s*none", named.get("style", "")))
 
 
-def _is_worded(tag: str, attributes: str) -> bool:
-    if not attributes.strip() or tag == "main":
-        return False
-    named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    return any(_NOISE_WORD.search(_MODIFIED.sub("", named.get(name, ""))) for name in ("class", "id"))
+def _worded(tag: str, attributes: str) -> int:
+    if tag == "main":
+        return 0
+    named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
+    texts = [_MODIFIED.sub("", named.get(name, "")) for name in ("class", "id")]
+    if any(_PART_WORD.search(text) for text in texts):
+        return 2
+    return int(tag in _FORM or any(_LAYOUT_WORD.search(text) for text in texts))
+
+
+def _past_unclosed(element: _Element, html: str, at: int) -> _Element:
+    """Where an article begins: an open menu, footer or the like that has no end tag of its own left ends before it."""
+    here, noise = element, element if element.noise else None
+    while noise is not None and noise.noise:
+        if noise.tag in _NOISE or noise.tag == "header":
+            found = re.compile(rf"<(/?){noise.tag}\b", re.IGNORECASE).search(html, at)
+            if found is not None and found[1]:
+                break
+            here = noise.parent
+        noise = noise.parent
+    return here
 
 
 def _inside(element: _Element | None, tags: tuple[str, ...]) -> _Element | None:
@@ -133,8 +158,10 @@ def _tree(html: str) -> _Element:
                 here.children.append("\n" if tag != "hr" else _Element("hr", here, False)) if tag in ("br", "hr") else None
             else:
                 here = _open(here, tag)
+                if tag in _ARTICLE and here.noise:
+                    here = _past_unclosed(here, html, at)
                 child = _Element(tag, here, _is_noise(tag, token["attributes"], here))
-                child.worded = not child.noise and _is_worded(tag, token["attributes"])
+                child.worded = 0 if child.noise else _worded(tag, token["attributes"])
                 here.children.append(child)
                 here = child
     return root
@@ -181,23 +208,54 @@ def _paragraph_points(element: _Element) -> float:
     return (1 + element.commas + min(element.chars / 100, 3)) * (1 - _density(element))
 
 
+def _summed(order: list[_Element], own: dict[int, float]) -> dict[int, float]:
+    """The sum of own values over each element and what it holds."""
+    total = dict(own)
+    for element in reversed(order):  # children come last
+        if element.parent is not None:
+            total[id(element.parent)] += total[id(element)]
+    return total
+
+
 def _drop_worded(root: _Element, order: list[_Element]) -> None:
     """Elements whose class or id names a part that is not the main text become noise, unless they hold it."""
     if not any(element.worded for element in order):
         return
-    in_article: set[int] = set()
+    part, article, worded = set(), set(), set()  # inside a part, an article, any worded element
+    tags = {e.tag for e in order}
+    core = "article" if "article" in tags else "main" if "main" in tags else None
     for element in order:  # parents come first
-        if element.tag in ("article", "main") or id(element.parent) in in_article:
-            in_article.add(id(element))
-    own = {id(e): _paragraph_points(e) for e in order}
-    counted = in_article if any(own[i] for i in in_article) else own.keys()
-    points = {i: own[i] if i in counted else 0.0 for i in own}
-    for element in reversed(order):
-        if element.parent is not None:
-            points[id(element.parent)] += points[id(element)]
+        above = id(element.parent)
+        if element.worded == 2 or above in part:
+            part.add(id(element))
+        if element.worded or above in worded:
+            worded.add(id(element))
+        if core and (element.tag == core or above in article):
+            article.add(id(element))
+    if article - part:
+        article -= part
+    points = {id(e): _paragraph_points(e) for e in order}
+    texts = {id(e): sum(len(c.strip()) for c in e.children if isinstance(c, str)) for e in order}
+    inside = article or set(points)
+    if not any(points[i] for i in inside):
+        points = texts  # only short paragraphs
+    held = _summed(order, {i: float(points[i]) if i in inside else 0.0 for i in points})
+    around = _summed(order, {id(e): float(e.tag == core and id(e) in article) for e in order})
+    major = [e for e in order if e.worded and held[id(e)] > _MAJOR * held[id(root)]]
+    if core:
+        # An article is around itself; what lies inside it is not.
+        kept = {id(e) for e in major if around[id(e)] and not _inside(e.parent, (core,))}
+    else:
+        kept = {id(e) for e in major if e.worded == 1}
+    # Without the others: whether any text is left.
+    gone: set[int] = set()
+    for element in order:
+        if id(element.parent) in gone or (element.worded and id(element) not in kept):
+            gone.add(id(element))
+    if not any(texts[i] for i in inside - gone):
+        kept |= {id(e) for e in major}
     for element in order:
-        if element.worded and not points[id(element)] > _MAJOR * points[id(root)]:
-            element.noise = True
+        element.noise = element.noise or (element.worded > 0 and id(element) not in kept)
 
 
 def _score(order: list[_Element]) -> _Element | None:
