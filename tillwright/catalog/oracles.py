@@ -352,6 +352,11 @@ def statements() -> dict[str, str]:
 
     backtest = f"{_RELATIONS},{_BACKTEST}\n"
     return {
+        "sums_of_large_amounts": """
+            SELECT l_partkey % 10 AS digit,
+              CAST(SUM(CAST(CAST(l_extendedprice * CAST(1000003.0 AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR) AS large,
+              CAST(SUM(CAST(CAST(l_extendedprice / CAST(7 AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR) AS long
+            FROM lineitem GROUP BY 1""",
         "stg_orders": plain("SELECT * FROM lines"),
         "int_monthly_sales": plain("SELECT * FROM int_monthly"),
         "mart_monthly_sales": plain("SELECT * FROM monthly"),

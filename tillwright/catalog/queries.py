@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.contract import FEATURES
-from tillwright.functions.money import rounded
+from tillwright.functions.money import exact_sum, partial_sum, rounded
 from tillwright.operators import dashboards, evaluation, features, marts, models, quality, series
 from tillwright.plans import backtest, training, warehouse
 from tillwright.plans.forecasting import forecast_and_log
@@ -378,6 +378,20 @@ def backtest_fold_wins(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.fold_wins(_mean_backtest(spark, folder), five="rolling_mean_3", six="rolling_mean_6")
 
 
+@_query
+def sums_of_large_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact sums of prices scaled up to 10^12 and of sevenths of prices, in two steps, by part number's last digit."""
+    price = F.col("l_extendedprice")
+    scaled = spark.read.parquet(table_path(folder, "lineitem")).select(
+        (F.col("l_partkey") % 10).alias("digit"), "l_linenumber", (price * 1000003.0).alias("large"), (price / 7).alias("long")
+    )
+    parts = scaled.groupBy("digit", "l_linenumber").agg(
+        partial_sum(scaled, "large").alias("large"), partial_sum(scaled, "long").alias("long")
+    )
+    text = [exact_sum(parts, name).cast("string").alias(name) for name in ("large", "long")]
+    return parts.groupBy("digit").agg(*text)
+
+
 # Models, on the monthly series at the full settings. A tree's value has no SQL; what surrounds it has.
 
 

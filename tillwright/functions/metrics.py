@@ -1,4 +1,4 @@
-"""Forecast error measures as aggregate expressions."""
+"""Forecast error measures, the same to the last bit for any order of the rows."""
 
 from __future__ import annotations
 
@@ -9,29 +9,22 @@ from pyspark.sql import functions as F
 SMAPE_FLOOR = 1e-8
 
 
-def mape(actual: Column, predicted: Column) -> Column:
-    """Mean absolute error in percent of nonzero actuals; NULL if every actual is zero."""
-    return F.avg(F.when(actual != 0, F.abs((actual - predicted) / F.nullif(actual, F.lit(0.0))))) * 100
+def relative_error(actual: Column, predicted: Column) -> Column:
+    """Absolute error in percent of a nonzero actual; NULL for a zero one."""
+    return F.when(actual != 0, F.abs((actual - predicted) / F.nullif(actual, F.lit(0.0)))) * 100
 
 
-def smape(actual: Column, predicted: Column) -> Column:
+def symmetric_error(actual: Column, predicted: Column) -> Column:
     size = F.abs(actual) + F.abs(predicted)
-    return F.avg(2 * F.abs(predicted - actual) / F.when(size == 0, F.lit(SMAPE_FLOOR)).otherwise(size)) * 100
-
-
-def mae(actual: Column, predicted: Column) -> Column:
-    return F.avg(F.abs(actual - predicted))
-
-
-def rmse(actual: Column, predicted: Column) -> Column:
-    return F.sqrt(F.avg((actual - predicted) * (actual - predicted)))
-
-
-def error_measures(actual: Column, predicted: Column) -> list[Column]:
-    """All four measures, named, for one `agg` call."""
-    return [
-        mape(actual, predicted).alias("mape"),
-        smape(actual, predicted).alias("smape"),
-        mae(actual, predicted).alias("mae"),
-        rmse(actual, predicted).alias("rmse"),
-    ]
+    return 2 * F.abs(predicted - actual) / F.when(size == 0, F.lit(SMAPE_FLOOR)).otherwise(size) * 100
+
+
+def error_measures(actual: Column, predicted: Column) -> dict[str, tuple[str, Column]]:
+    """All four measures by name, as kinds of a row's error; MAPE is NULL if every actual is zero."""
+    error = actual - predicted
+    return {
+        "mape": ("mean", relative_error(actual, predicted)),
+        "smape": ("mean", symmetric_error(actual, predicted)),
+        "mae": ("mean", F.abs(error)),
+        "rmse": ("root_mean_square", error),
+    }

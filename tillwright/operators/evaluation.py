@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.joins import null_safe_join
 from tillwright.functions.metrics import error_measures
+from tillwright.functions.moments import exact_measures
 from tillwright.operators.series import seasonal_naive
 
 # The backtest's shape.
@@ -60,11 +61,12 @@ def with_baseline(targets: DataFrame, monthly: DataFrame, keys: Sequence[str] =
 def forecast_metrics(evaluation: DataFrame, predictions: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """MAPE, sMAPE, MAE and RMSE of each prediction column against `Actual`."""
     actual = F.col("Actual")
-    measured = evaluation.groupBy(*by).agg(
-        *(F.struct(*error_measures(actual, F.col(name))).alias(f"_{name}") for name in predictions)
-    )
+    wanted = {name: error_measures(actual, F.col(name)) for name in predictions}
+    measured = exact_measures(evaluation, by, {f"{name} {m}": given for name, own in wanted.items() for m, given in own.items()})
     # One pass over the rows: the models become rows only after the aggregate.
-    models = F.array(*(F.struct(F.lit(name).alias("model"), f"_{name}.*") for name in predictions))
+    models = F.array(
+        *(F.struct(F.lit(name).alias("model"), *(F.col(f"`{name} {m}`").alias(m) for m in own)) for name, own in wanted.items())
+    )
     return measured.select(*by, F.inline(models))
 
 
@@ -149,18 +151,10 @@ def test_months(training: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def fold_summary(results: DataFrame) -> DataFrame:
     """Mean and spread of the fold metrics per model and feature set."""
-    return (
-        results.groupBy("model", "feature_set", "feature_count")
-        .agg(
-            F.avg("rmse").alias("rmse_mean"),
-            F.stddev_samp("rmse").alias("rmse_std"),
-            F.avg("mae").alias("mae_mean"),
-            F.avg("mape").alias("mape_mean"),
-            F.avg("smape").alias("smape_mean"),
-            F.stddev_samp("smape").alias("smape_std"),
-        )
-        .orderBy("model", "smape_mean")
-    )
+    kinds = {"rmse": ("mean", "stddev"), "mae": ("mean",), "mape": ("mean",), "smape": ("mean", "stddev")}
+    names = {"mean": "mean", "stddev": "std"}
+    wanted = {f"{error}_{names[kind]}": (kind, F.col(error)) for error, own in kinds.items() for kind in own}
+    return exact_measures(results, ["model", "feature_set", "feature_count"], wanted).orderBy("model", "smape_mean")
 
 
 def fold_wins(results: DataFrame, five: str = "five_features", six: str = "six_features") -> DataFrame:
