@@ -113,3 +113,10 @@ def test_empty_table_clashes_and_bad_weights(docs):
         mixing.mix(docs([(1, "x", "en", "a"), (2, "x", "en", "b")]), weights={"a": 1})
     with pytest.raises(ValueError):
         mixing.shares({"a": 0})
+
+
+def test_weights_too_small_for_any_slot():
+    with pytest.raises(ValueError, match="too small"):
+        mixing.schedule({"a": 1.0, "b": 1e-25}, {"a": 3, "b": 2})
+    names, slots = mixing.schedule({"a": 1.0, "b": 1e-15}, {"a": 3, "b": 2})
+    assert sorted(slots[:, 1][slots[:, 0] == names.index("b")].tolist()) == [0, 1]

@@ -15,8 +15,8 @@ or repeated.
 
 Defined results: a null source is a source of its own; rows without an id, with the same id or equal rows all
 keep their places (the order among equal sort keys is fixed when the numbered table is written). The number of
-sources is taken as small (the driver sees one row per source). An empty table gives an empty table. Columns
-pass through; the added ones, `slot`, `place`, `block`, `release` and `deadline`, replace columns of these names.
+sources is taken as small (the driver sees one row per source). An empty table gives an empty table. A weight so
+small that a block of its source would only be due beyond slot 2^63 is an error. Columns pass through; the added ones, `slot`, `place`, `block`, `release` and `deadline`, replace columns of these names.
 """
 
 from __future__ import annotations
@@ -84,6 +84,8 @@ def schedule(weights: Mapping, blocks: Mapping) -> tuple[list, np.ndarray]:
     total = sum(exact.values())
     rates = [((exact[s] / total).numerator, (exact[s] / total).denominator) for s in names]
     sizes = [blocks[s] for s in names]
+    if late := [names[n] for n, (up, down) in enumerate(rates) if -(-sizes[n] * down // up) >= 1 << 63]:
+        raise ValueError(f"the weight of source {late[0]!r} is too small: its last slot is beyond 2^63")
     waiting = [(0, n, 0) for n in range(len(names))]  # release, source, block; sorted
     ready: list[tuple[int, int, int, int]] = []
     out = np.empty((sum(sizes), 5), np.int64)
