@@ -46,15 +46,21 @@ def numbered(frame: DataFrame, first: int) -> DataFrame:
     return placed.join(offsets, "_part").select((first + F.col("_offset") + row).alias("id"), *frame.columns)
 
 
-def _last_id(spark: SparkSession, path: str) -> int:
-    """Highest id of the newest day: ids only grow."""
+def _days(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the logged days, the newest first."""
     if not path_exists(spark, path):
-        return 0
+        return []
     system, top = located(spark, path)
-    days = sorted(s.getPath().getName() for s in system.listStatus(top) if s.getPath().getName().startswith(f"{DAY}="))
+    names = [s.getPath().getName() for s in system.listStatus(top)]
+    return [f"{path.rstrip('/')}/{name}" for name in sorted(names, reverse=True) if name.startswith(f"{DAY}=")]
+
+
+def _last_id(spark: SparkSession, path: str) -> int:
+    """Highest id of the newest day: ids only grow."""
+    days = _days(spark, path)
     if not days:
         return 0
-    newest = spark.read.schema("id bigint").parquet(f"{path.rstrip('/')}/{days[-1]}")
+    newest = spark.read.schema("id bigint").parquet(days[0])
     return newest.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first()["id"]
 
 
@@ -74,7 +80,16 @@ def append_forecasts(forecasts: DataFrame, path: str, keys: Sequence[str] = ())
 
 
 def latest_forecasts(spark: SparkSession, path: str, limit: int = DEFAULT_READ) -> DataFrame:
-    """The newest log rows, latest first."""
+    """The newest log rows, latest first. Ids grow with the days, so days are opened from the newest on, until they
+    hold enough rows; older ones are not read."""
     if not 1 <= limit <= MAX_READ:
         raise ValueError(f"limit must lie between 1 and {MAX_READ}")
-    return spark.read.schema(LOG_SCHEMA).parquet(path).drop(DAY).orderBy(F.desc("id")).limit(limit)
+    found, opened = 0, []
+    for day in _days(spark, path):
+        opened.append(day)
+        found += spark.read.schema(LOG_SCHEMA).parquet(day).count()  # from the files' footers
+        if found >= limit:
+            break
+    if not opened:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(*opened).orderBy(F.desc("id")).limit(limit)

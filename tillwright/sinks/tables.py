@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tillwright.session import located, path_exists
 
 POINTER = "CURRENT"
+# Versions that readers or other rebuilds may still hold are kept for so long.
+RETAIN_SECONDS = 24 * 3600
 
 
 def as_view(frame: DataFrame, name: str) -> DataFrame:
@@ -38,21 +41,27 @@ def _point_to(spark: SparkSession, path: str, version: str) -> None:
     files.rename(system.makeQualified(aside), system.makeQualified(pointer), overwrite)
 
 
-def as_table(frame: DataFrame, folder: str, name: str) -> DataFrame:
+def as_table(frame: DataFrame, folder: str, name: str, retain_seconds: float = RETAIN_SECONDS) -> DataFrame:
     """Rebuild a mart below `folder` and read it back.
 
-    The new version is written beside the old one, which readers see until the pointer is switched: a failed
-    job leaves the old mart, and a mart may be rebuilt from itself. The version before the last is removed.
+    The new version is written beside the old ones, and readers see the old one until the pointer is switched: a
+    failed job leaves the old mart, and a mart may be rebuilt from itself. Rebuilds at the same time each write
+    their own version; the one that switches last is current. Versions are removed by age only, never the current one.
     """
     spark, path = frame.sparkSession, f"{folder.rstrip('/')}/{name}"
-    old, version = _version(spark, path), f"version-{uuid.uuid4().hex}"
+    version = f"version-{uuid.uuid4().hex}"
     frame.write.parquet(f"{path}/{version}")
     _point_to(spark, path, version)
     system, top = located(spark, path)
-    for status in system.listStatus(top):
-        found = status.getPath().getName()
-        if found.startswith("version-") and found not in (old, version):
-            system.delete(status.getPath(), True)
+    oldest = (time.time() - retain_seconds) * 1000
+    expired = [
+        status.getPath() for status in system.listStatus(top)
+        if status.getPath().getName().startswith("version-") and status.getModificationTime() < oldest
+    ]
+    current = _version(spark, path)
+    for place in expired:
+        if place.getName() not in (version, current):
+            system.delete(place, True)
     return spark.read.schema(frame.schema).parquet(f"{path}/{version}")
 
 
