@@ -28,13 +28,13 @@ def rows(spark, name):
 
 
 def test_registration():
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in entry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in entry.queries()}
     assert "pipeline" in entry.queries()
 
 
 def test_whole_tables(spark):
     documents = {r["doc_id"]: r for r in helpers.sample_table(spark, "documents").collect()}
-    for name in ("op1_mixing", "op3_token_counts", "op5_near_dedup", "op6_pii", "op10_language_id"):
+    for name in ("op1_mixing", "op3_token_counts", "op5_near_dedup", "op6_pii", "op10_language_id", "op11_bpe", "op12_merkle_manifest", "op13_periodic_runs"):
         assert sorted(r["doc_id"] for r in rows(spark, name)) == sorted(documents), name
     assert len(rows(spark, "op4_html_extraction")) == helpers.sample_table(spark, "pages").count()
 
