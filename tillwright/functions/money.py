@@ -4,8 +4,8 @@ Sums of doubles depend on the order in which tasks finish, so a retried task may
 the decimal that a double is printed as, and these decimals are summed without rounding, in any order.
 
 Amounts of at most 15 digits with 6 decimals (3 from 10^9 on, none from 10^12 on) are split into whole part and
-millionths, which are summed as longs: as fast as a double sum. All others, with up to 18 decimals, go through
-decimal sums, which cost next to nothing where there are none. A sum of 10^19 or more, an amount with more than 18
+millionths, which are summed as longs. All others, with up to 18 decimals, go through decimal sums, which stay NULL
+where there are none. A sum of 10^19 or more, an amount with more than 18
 decimals, and NaN fail the query; no sum is ever rounded. A decimal column keeps all places of its own scale.
 """
 
