@@ -1,0 +1,107 @@
+"""Trees as a table: the same predictions as the model's own, in Spark and in plain SQL."""
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import dicts, monthly_frame
+from tillwright.contract import FEATURES
+from tillwright.operators import models, node_table
+from tillwright.operators.features import forecast_training
+from tillwright.session import written
+
+# Every row walks down every tree; leaves have no feature. Values are added in the order of the trees.
+WALK = """
+WITH RECURSIVE walk AS (
+  SELECT k, x, tree, weight, divisor, 0 AS node FROM features, (SELECT DISTINCT tree, weight, divisor FROM nodes)
+  UNION ALL
+  SELECT k, x, w.tree, w.weight, w.divisor, CASE WHEN x[n.position + 1] <= n.threshold THEN n.left ELSE n.right END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NOT NULL),
+reached AS (
+  SELECT k, w.tree, w.divisor, w.weight * n.value AS v FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node
+  WHERE n.feature IS NULL)
+SELECT k, list_reduce(list_prepend(0.0::DOUBLE, list(v ORDER BY tree)), lambda a, b: a + b) / MAX(divisor) AS p
+FROM reached GROUP BY k ORDER BY k"""
+
+FOREST = {"numTrees": 40, "maxDepth": 12}
+BOOSTED = {"maxIter": 25, "maxDepth": 4}
+
+
+@pytest.fixture(scope="module")
+def panel(spark):
+    values = [(s, n, 1000 + 40 * n + 300 * (n % 12 == 11) + 7.31 * len(s) * (n % 5)) for s in ("a", "bb", "ccc") for n in range(30)]
+    return written(forecast_training(monthly_frame(spark, values, ["s"]), ["s"]).orderBy("s", "target_month"), "training")
+
+
+def in_sql(rows, nodes):
+    con = duckdb.connect()
+    features = rows.select(F.concat("s", "target_month").alias("k"), F.array(*(F.col(f).cast("double") for f in FEATURES)).alias("x"))
+    con.register("features_", features.toArrow())
+    con.register("nodes_", nodes.toArrow())
+    con.execute("CREATE TABLE features AS FROM features_; CREATE TABLE nodes AS FROM nodes_")
+    return dict(con.execute(WALK).fetchall())
+
+
+def by_key(frame, *names):
+    return {r["k"]: tuple(r[n] for n in names) for r in dicts(frame.withColumn("k", F.concat("s", "target_month")))}
+
+
+def test_a_forest_scored_by_its_nodes_is_the_forest_to_the_last_bit(spark, panel):
+    model = models.fit("rf", panel, **FOREST)
+    nodes = written(node_table.node_table(spark, model), "nodes")
+    both = by_key(node_table.score(models.predict(model, panel, "own"), nodes, "by_nodes"), "own", "by_nodes")
+    assert len(both) == 72 and all(own == by_nodes for own, by_nodes in both.values())
+    assert {k: own for k, (own, _) in both.items()} == in_sql(panel, nodes)
+
+
+def test_a_boosted_model_scored_by_its_nodes(spark, panel):
+    model = models.fit("gbt", panel, **BOOSTED)
+    nodes = written(node_table.node_table(spark, model), "nodes")
+    both = by_key(node_table.score(models.predict(model, panel, "own"), nodes, "by_nodes"), "own", "by_nodes")
+    assert all(own == pytest.approx(by_nodes, rel=1e-13) for own, by_nodes in both.values())
+    assert {k: v for k, (_, v) in both.items()} == in_sql(panel, nodes)
+
+
+def test_the_saved_model_has_the_same_nodes(spark, panel, tmp_path):
+    model = models.fit("rf", panel, **FOREST)
+    models.save_model(model, str(tmp_path / "m"))
+    first, second = (node_table.node_table(spark, m) for m in (model, models.load_model(str(tmp_path / "m"))))
+    assert first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
+    counts = dicts(first.groupBy("tree").agg(F.count("*").alias("n"), F.count("feature").alias("splits")))
+    assert len(counts) == 40 and all(c["n"] == 2 * c["splits"] + 1 for c in counts)
+
+
+def test_missing_and_odd_feature_values(spark, panel):
+    nodes = written(node_table.node_table(spark, models.fit("rf", panel, **FOREST)), "nodes")
+    missing = panel.withColumn("lag_1", F.lit(None).cast("double"))
+    assert {r["prediction"] for r in dicts(node_table.score(missing, nodes))} == {None}
+    odd, high = (panel.withColumn("lag_1", F.lit(v)) for v in (float("nan"), 1e300))
+    assert by_key(node_table.score(odd, nodes), "prediction") == by_key(node_table.score(high, nodes), "prediction")
+    assert node_table.score(panel.limit(0), nodes).count() == 0
+
+
+def test_a_model_of_one_leaf(spark, panel):
+    nodes = node_table.node_table(spark, models.fit("rf", panel, numTrees=2, maxDepth=0, bootstrap=False))
+    mean = panel.agg(F.avg("target_sales")).scalar()
+    rows = dicts(node_table.score(panel, nodes).withColumn("mean", mean))
+    assert len(rows) == 72 and all(r["prediction"] == pytest.approx(r["mean"], rel=1e-12) for r in rows)
+
+
+def test_broken_tables_are_refused(spark, panel, monkeypatch):
+    nodes = written(node_table.node_table(spark, models.fit("rf", panel, **FOREST)), "nodes")
+    with pytest.raises(ValueError, match="0 nodes"):
+        node_table.score(panel, nodes.limit(0))
+    for broken in (nodes.filter("tree <> 3 OR node <> 1"), nodes.unionByName(nodes.filter("node = 0"))):
+        with pytest.raises(ValueError, match="repeated or missing"):
+            node_table.score(panel, broken)
+    monkeypatch.setattr(node_table, "MAX_NODES", 100)
+    with pytest.raises(ValueError, match="expected 1 to 100"):
+        node_table.score(panel, nodes)
+
+
+def test_no_row_is_shuffled(spark, panel):
+    nodes = written(node_table.node_table(spark, models.fit("rf", panel, **FOREST)), "nodes")
+    plan = node_table.score(panel, nodes)._jdf.queryExecution().executedPlan().toString()
+    main = plan.split("Subquery")[0]
+    assert "Exchange" not in main and "Python" not in main
+    assert main.count("Project") == 1  # the trees are no column of a row

@@ -343,6 +343,86 @@ SELECT 'seasonal_naive' AS model, 'mart_forecast_training' AS source,
 FROM split, (SELECT {_metrics()} FROM naive)"""
 
 
+def _tree(name: str, source: str, depth: int, smallest: int) -> str:
+    """A regression tree over the `fit` rows of `source`, level by level; `name` gives the value of each row's leaf.
+
+    A cut lies halfway between neighbouring values of a feature. The best one parts the sums most; of equal ones the
+    first feature's lowest cut is taken. Equal gains may differ in their last digits.
+    """
+    values = ", ".join(f"CAST({f} AS DOUBLE)" for f in _FEATURES)
+    parts = [f"""
+{name}_long AS (
+  SELECT target_month, fit, unnest(range(1, {len(_FEATURES) + 1})) AS f, unnest([{values}]) AS v FROM {source}),
+{name}_cuts AS (
+  SELECT f, (v + above) / 2 AS cut
+  FROM (SELECT f, v, LEAD(v) OVER (PARTITION BY f ORDER BY v) AS above FROM (SELECT DISTINCT f, v FROM {name}_long WHERE fit))
+  WHERE above IS NOT NULL),
+{name}_0 AS (SELECT target_month, fit, y, 1 AS node FROM {source})"""]
+    for level in range(depth):
+        parts.append(f"""
+{name}_sums_{level} AS (
+  SELECT node, f, cut, SUM(y) AS s, COUNT(*) AS c, SUM(y) FILTER (v <= cut) AS low, COUNT(*) FILTER (v <= cut) AS n
+  FROM (SELECT * FROM {name}_{level} WHERE fit) JOIN {name}_long USING (target_month, fit) JOIN {name}_cuts USING (f)
+  GROUP BY node, f, cut),
+{name}_best_{level} AS (
+  SELECT node, f, cut FROM {name}_sums_{level} WHERE n >= {smallest} AND c - n >= {smallest} AND low * c <> s * n
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY ROUND(LN((low * c - s * n) ** 2 / (n * (c - n))), 9) DESC, f, cut) = 1),
+{name}_{level + 1} AS (
+  SELECT r.target_month, r.fit, r.y, CASE WHEN cut IS NULL THEN node WHEN v <= cut THEN 2 * node ELSE 2 * node + 1 END AS node
+  FROM {name}_{level} r LEFT JOIN {name}_best_{level} b USING (node)
+  LEFT JOIN {name}_long l ON l.target_month = r.target_month AND l.f = b.f)""")
+    parts.append(f"""
+{name} AS (
+  SELECT target_month, value FROM {name}_{depth} JOIN
+  (SELECT node, AVG(y) AS value FROM {name}_{depth} WHERE fit GROUP BY node) USING (node))""")
+    return ",".join(parts)
+
+
+_MONTHS = f"""
+months AS (
+  SELECT target_month, TRUE AS fit, target_sales AS y, {", ".join(_FEATURES)} FROM training
+  UNION ALL SELECT target_month, FALSE, NULL, {", ".join(_FEATURES)} FROM next_all)"""
+
+
+def _boosted(rounds: int, depth: int, rate: float) -> str:
+    """The first tree fits the target, each further one twice what is left, and counts by the rate."""
+    parts = [_tree("tree_1", "months", depth, 1), "\nsum_1 AS (SELECT target_month, value AS p FROM tree_1)"]
+    for n in range(2, rounds + 1):
+        parts.append(f"\nleft_{n} AS (SELECT m.* REPLACE (2 * (y - p) AS y) FROM months m JOIN sum_{n - 1} USING (target_month))")
+        parts.append(_tree(f"tree_{n}", f"left_{n}", depth, 1))
+        parts.append(
+            f"\nsum_{n} AS (SELECT target_month, p + {rate} * value AS p FROM sum_{n - 1} JOIN tree_{n} USING (target_month))"
+        )
+    return f"{_RELATIONS},{_MONTHS},{','.join(parts)}\nSELECT target_month, {_round('p', 4)} AS prediction FROM sum_{rounds}"
+
+
+_TRAINED = f"""{_RELATIONS},{_folds('training', 1, 3, 'split')},
+months AS (
+  SELECT target_month, target_month < test_start AS fit, target_sales AS y, {", ".join(_FEATURES)} FROM training, split),
+{_tree('tree', 'months', 2, 2)},
+tested AS (
+  SELECT m.target_month, m.y, value AS forecast, COALESCE(a.total_sales, b.total_sales) AS baseline
+  FROM months m JOIN tree USING (target_month)
+  LEFT JOIN int_monthly a ON a.month = m.target_month - INTERVAL 12 MONTH
+  LEFT JOIN int_monthly b ON b.month = m.target_month - INTERVAL 1 MONTH
+  WHERE NOT fit)"""
+
+
+def _trained_report() -> str:
+    names = ("mape", "smape", "mae", "rmse")
+    measures = ", ".join(f"{_round(f'{of}.{n}', 4)} AS {of}_{n}" for of in ("model", "baseline") for n in names)
+    sources = ", ".join(
+        f"(SELECT {_metrics(places=False)} FROM (SELECT y, {column} AS p FROM tested)) {of}"
+        for of, column in (("model", "forecast"), ("baseline", "baseline"))
+    )
+    return f"""{_TRAINED}
+SELECT 'rf' AS model, 'mart_forecast_training' AS source,
+       training_rows + test_rows AS training_rows_total, training_rows AS evaluation_training_rows,
+       test_rows AS holdout_rows, 3 AS horizon, train_start AS training_start, test_end AS training_end,
+       test_start AS holdout_start, test_end AS holdout_end, '{",".join(_FEATURES)}' AS feature_columns, {measures}
+FROM split, {sources}"""
+
+
 _LAST_COMPLETE = "DATE '2001-07-01'"
 
 
@@ -433,6 +513,14 @@ SELECT *, TRUE AS {flag} FROM tested"""
         "feature_set_folds": f"{_RELATIONS},{_folds('training', 5, 3, 'fold')}\n"
         "SELECT 'rf' AS model, s.feature_set, s.feature_count, fold.*, TRUE AS metrics_present, TRUE AS wins_add_up "
         "FROM fold, (VALUES ('five_features', 5), ('six_features', 6)) s(feature_set, feature_count)",
+        "trained_tree_report": _trained_report(),
+        "trained_tree_predictions": f"{_TRAINED},{_MONTHS.replace('months AS', 'all_months AS')},{_tree('final', 'all_months', 2, 2)}\n"
+        f"SELECT f.target_month, {_round('f.value', 4)} AS prediction, t.y AS \"Actual\", "
+        f'{_round("t.forecast", 4)} AS "Forecast", t.baseline AS "Baseline" FROM final f LEFT JOIN tested t USING (target_month)',
+        "boosted_predictions": _boosted(rounds=4, depth=2, rate=0.05),
+        "forest_nodes_agree": plain(
+            "SELECT target_month, TRUE AS same, CAST(600 AS BIGINT) AS trees, TRUE AS whole FROM training"
+        ),
         "next_month_forecast": plain(
             "SELECT 'rf' AS model, *, 'mart_next_month_features' AS feature_source, TRUE AS logged, TRUE AS in_range FROM next_all"
         ),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillwright.contract import FEATURES
 from tillwright.functions.money import exact_sum, partial_sum, rounded
-from tillwright.operators import dashboards, evaluation, features, marts, models, quality, series
+from tillwright.operators import dashboards, evaluation, features, marts, models, node_table, quality, series
 from tillwright.plans import backtest, training, warehouse
 from tillwright.plans.forecasting import forecast_and_log
 from tillwright.session import tune, work_path, written
@@ -436,6 +436,74 @@ def feature_set_folds(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("rmse", "mae", "mape", "smape")
 
 
+# A single tree without resampling, and a few boosted ones over all rows and features, can be grown in SQL: their
+# predictions are compared by value. Four decimals: a mean of cents often ends in half a cent.
+_ONE_TREE = {"numTrees": 1, "bootstrap": False, "maxDepth": 2}
+_FEW_ROUNDS = {"maxIter": 4, "maxDepth": 2, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+
+
+def _train_one_tree(spark: SparkSession, folder: str) -> tuple[training.Trained, DataFrame, DataFrame, str]:
+    rows, monthly = _training_rows(spark, folder)
+    out = work_path(spark, "training")
+    return training.train("rf", rows, monthly, out, **_ONE_TREE), rows, monthly, out
+
+
+@_query
+def trained_tree_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report that a training run wrote, with the metrics of its model and of the baseline."""
+    done, rows, _, out = _train_one_tree(spark, folder)
+    schema = training.training_report(rows, done.metrics, "rf").schema
+    report = spark.read.schema(schema).json(f"{out}/training_metrics_rf")
+    measures = [
+        rounded(F.col(f"metrics.{of}.{name}"), 4).alias(f"{of}_{name}".lower())
+        for of in ("Model", "Baseline")
+        for name in ("MAPE", "sMAPE", "MAE", "RMSE")
+    ]
+    kept = [c for c in report.columns if c not in ("trained_at_utc", "feature_columns", "metrics")]
+    return report.select(*kept, F.array_join("feature_columns", ",").alias("feature_columns"), *measures)
+
+
+@_query
+def trained_tree_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """What a training run left: its final model, loaded and scored by its nodes, for all training months and the next
+    one, beside forecast and baseline of the hold-out months as written."""
+    done, rows, monthly, out = _train_one_tree(spark, folder)
+    nodes = written(node_table.node_table(spark, models.load_model(f"{out}/models/sales_forecast_rf")), "nodes")
+    held = spark.read.schema(done.evaluation.schema).option("header", True).csv(f"{out}/forecast_evaluation_rf")
+    held = held.withColumn("Forecast", rounded(F.col("Forecast"), 4))
+    return _scored_months(rows, monthly, nodes).join(held, "target_month", "left")
+
+
+@_query
+def boosted_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of a boosted model: predictions of all training months and of the next one."""
+    rows, monthly = _training_rows(spark, folder)
+    nodes = written(node_table.node_table(spark, models.fit("gbt", rows, **_FEW_ROUNDS)), "nodes")
+    return _scored_months(rows, monthly, nodes)
+
+
+def _scored_months(rows: DataFrame, monthly: DataFrame, nodes: DataFrame) -> DataFrame:
+    months = rows.drop("target_sales").unionByName(features.next_month_features(monthly))
+    return node_table.score(months, nodes).select("target_month", rounded(F.col("prediction"), 4).alias("prediction"))
+
+
+@_query
+def forest_nodes_agree(spark: SparkSession, folder: str) -> DataFrame:
+    """For each month, whether the nodes of the full forest predict the same double as the forest, and the leaves' rows."""
+    rows, _ = _training_rows(spark, folder)
+    model = models.fit("rf", rows)
+    nodes = written(node_table.node_table(spark, model), "nodes")
+    both = node_table.score(models.predict(model, rows, "own"), nodes, "by_nodes")
+    # Every tree's leaves hold its bootstrap rows, which are counted once each in its root.
+    counts = nodes.groupBy("tree").agg(
+        F.sum(F.when(F.col("feature").isNull(), F.col("training_rows"))).alias("leaves"),
+        F.sum(F.when(F.col("node") == 0, F.col("training_rows"))).alias("root"),
+    )
+    trees, whole = counts.agg(F.count("*")), counts.agg(F.every(F.col("leaves") == F.col("root")))
+    same = (F.col("own") == F.col("by_nodes")).alias("same")
+    return both.select("target_month", same, trees.scalar().alias("trees"), whole.scalar().alias("whole"))
+
+
 def _forecasts(spark: SparkSession, folder: str, log: str) -> DataFrame:
     """The forecast of a forest that was saved and loaded again."""
     rows, monthly = _training_rows(spark, folder)
