@@ -536,6 +536,21 @@ SELECT *, TRUE AS {flag} FROM tested"""
             "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, "
             "CAST(product_id AS VARCHAR) AS product_id) FROM lines"
         ),
+        "csv_coerced_lines": plain(
+            "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, "
+            "CAST(product_id AS VARCHAR) AS product_id, CASE WHEN product_id % 40 <> 3 THEN quantity END AS quantity) "
+            "FROM lines WHERE product_id % 50 <> 7 AND customer_id % 60 <> 5"
+        ),
+        "csv_rejected_lines": plain(
+            "SELECT row_id, concat_ws(',', CASE WHEN product_id % 50 = 7 THEN 'Order Date' END, "
+            "CASE WHEN customer_id % 60 = 5 THEN 'Sales' END, CASE WHEN product_id % 40 = 3 THEN 'Quantity' END) AS faults, "
+            "CAST(NULL AS VARCHAR) AS record FROM lines "
+            "WHERE product_id % 50 = 7 OR customer_id % 60 = 5 OR product_id % 40 = 3"
+        ),
+        "csv_daily_revenue": plain(
+            f"SELECT CASE WHEN day(order_date) <> 13 THEN {_month('order_date')} END AS month, "
+            f"{_round(_sum('CASE WHEN day(order_date) <> 17 THEN sales END'), 2)} AS revenue FROM lines GROUP BY 1"
+        ),
         "csv_evaluation": plain(
             'SELECT segment, target_month, actual AS "Actual", baseline AS "Baseline" FROM segment_eval'
         ),

@@ -22,7 +22,7 @@ from tillwright.session import tune, work_path, written
 from tillwright.sinks.forecast_log import latest_forecasts as read_latest_forecasts
 from tillwright.sinks.tables import as_csv, as_json, as_table, as_view
 from tillwright.sources import marts as mart_reads
-from tillwright.sources.orders import read_raw_orders, stage
+from tillwright.sources.orders import read_coerced_orders, read_daily_revenue, read_raw_orders, stage
 from tillwright.sources.star import (
     GROWING,
     order_lines,
@@ -576,6 +576,45 @@ def csv_order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return stage(read_raw_orders(spark, path, "csv"))
 
 
+def _coerced_orders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Order lines from a CSV file in which some dates, amounts and quantities can't be read, and its faulty lines."""
+    path, lines = work_path(spark, "dirty"), raw_order_lines(spark, folder)
+    product, customer, day = F.col("Product ID"), F.col("Customer ID"), F.col("Order Date")
+    quantity, sales = F.col("Quantity").cast("bigint").cast("string"), F.col("Sales").cast("string")
+    dirty = {
+        "Order Date": F.when(product % 50 == 7, F.date_format(day, "dd.MM.yyyy")).otherwise(day.cast("string")),
+        "Quantity": F.when(product % 40 == 3, F.concat(quantity, F.lit(" pcs"))).otherwise(quantity),
+        "Sales": F.when(customer % 60 == 5, F.lit("n/a")).otherwise(sales),
+    }
+    as_csv(lines.withColumns(dirty), path)
+    return read_coerced_orders(spark, path)
+
+
+@_query
+def csv_coerced_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return stage(_coerced_orders(spark, folder)[0])
+
+
+@_query
+def csv_rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
+    rejects = _coerced_orders(spark, folder)[1]
+    return rejects.select(F.col("Row ID").alias("row_id"), F.array_join("faults", ",").alias("faults"), "record")
+
+
+@_query
+def csv_daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by month of a file of daily revenue in which some dates and amounts can't be read."""
+    path, orders = work_path(spark, "daily"), order_totals(spark, folder, "order_date")
+    daily = orders.groupBy(F.col("order_date").alias("date")).agg(exact_sum(orders, "sales").cast("double").alias("revenue"))
+    which = F.dayofmonth("date")
+    dirty = {
+        "revenue": F.when(which == 17, F.lit("none")).otherwise(F.col("revenue").cast("string")),
+        "date": F.when(which == 13, F.lit("soon")).otherwise(F.col("date").cast("string")),
+    }
+    as_csv(daily.withColumns(dirty), path)
+    return dashboards.monthly_revenue(read_daily_revenue(spark, path, lenient=True))
+
+
 @_query
 def csv_evaluation(spark: SparkSession, folder: str) -> DataFrame:
     path, rows = work_path(spark, "evaluation"), _naive_by_segment(spark, folder)
