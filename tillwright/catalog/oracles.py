@@ -572,6 +572,20 @@ SELECT *, TRUE AS {flag} FROM tested"""
                 )
             )
         ),
+        "prediction_contract_faults": plain(
+            "SELECT * FROM (SELECT 'no row' AS copy, 'not one row' AS fault, '*' AS \"column\", CAST(1 AS BIGINT) AS failures"
+            " UNION ALL SELECT 'all series as one', 'not one row', '*', 1 FROM next_segment HAVING COUNT(*) <> 1"
+            + "".join(
+                f" UNION ALL SELECT '{copy}', '{fault}', '{column}', COUNT(*) FROM next_segment WHERE {which}"
+                for copy, fault, column, which in (
+                    ("rising series twice", "not one row", "*", "lag_2 > lag_3"),
+                    ("rising series without lag", "missing feature", "lag_3", "lag_2 > lag_3"),
+                    ("falling series with text", "text feature", "lag_2", "lag_2 <= lag_3"),
+                    ("month 0", "month_of_year", "month_of_year", "TRUE"),
+                )
+            )
+            + ") WHERE failures > 0"
+        ),
         # A month that is no date, or absent, also leaves a gap where it lies inside the series.
         "series_faults": plain(
             "SELECT * FROM ("

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.contract import FEATURES
+from tillwright.contract import FEATURES, PREDICTION_COLUMNS
 from tillwright.functions.money import exact_sum, partial_sum, rounded
 from tillwright.operators import dashboards, evaluation, features, marts, models, node_table, quality, series
 from tillwright.plans import backtest, training, warehouse
@@ -658,6 +658,30 @@ def contract_faults(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@_query
+def prediction_contract_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of feature rows to predict from: one row of a single series, and one row of each series of a panel."""
+    monthly = written(_by_segment(spark, folder), "monthly")
+    panel = written(features.next_month_features(monthly, ["segment"]), "features")
+    one = written(features.next_month_features(_total_by_month(spark, folder)), "one-row")
+    rising = F.col("lag_2") > F.col("lag_3")
+    single = {"one row": one, "no row": one.limit(0), "all series as one": panel.drop("segment")}
+    several = {
+        "panel": panel,
+        "rising series twice": panel.unionByName(panel.filter(rising)),
+        "rising series without lag": panel.withColumn("lag_3", F.when(~rising, F.col("lag_3"))),
+        "falling series with text": panel.withColumn("lag_2", F.when(rising, F.col("lag_2").cast("string")).otherwise("n/a")),
+        "month 0": panel.withColumn("month_of_year", F.lit(0)),
+    }
+
+    def faults(name: str, copy: DataFrame, keys: list[str]) -> DataFrame:
+        found = quality.contract_faults(copy, PREDICTION_COLUMNS, keys, one_per_series=True)
+        return found.select(F.lit(name).alias("copy"), "*")
+
+    parts = [faults(n, c, []) for n, c in single.items()] + [faults(n, c, ["segment"]) for n, c in several.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def series_faults(spark: SparkSession, folder: str) -> DataFrame:
     """Faults of broken copies of the monthly sales."""
