@@ -396,6 +396,51 @@ def _boosted(rounds: int, depth: int, rate: float) -> str:
     return f"{_RELATIONS},{_MONTHS},{','.join(parts)}\nSELECT target_month, {_round('p', 4)} AS prediction FROM sum_{rounds}"
 
 
+def _penalised_tree(name: str, source: str, depth: int, l2: int) -> str:
+    """As `_tree`, but a cut is the largest value on its left, and `l2` is added to each number of rows."""
+    values = ", ".join(f"CAST({f} AS DOUBLE)" for f in _FEATURES)
+    parts = [f"""
+{name}_long AS (
+  SELECT target_month, fit, unnest(range(1, {len(_FEATURES) + 1})) AS f, unnest([{values}]) AS v FROM {source}),
+{name}_0 AS (SELECT target_month, fit, y, 1 AS node FROM {source})"""]
+    for level in range(depth):
+        parts.append(f"""
+{name}_sums_{level} AS (
+  SELECT node, f, cut, SUM(y) AS s, COUNT(*) AS c, SUM(y) FILTER (v <= cut) AS low, COUNT(*) FILTER (v <= cut) AS n
+  FROM (SELECT * FROM {name}_{level} WHERE fit) JOIN {name}_long USING (target_month, fit)
+  JOIN (SELECT DISTINCT f, v AS cut FROM {name}_long WHERE fit) USING (f)
+  GROUP BY node, f, cut),
+{name}_best_{level} AS (
+  SELECT node, f, cut
+  FROM (SELECT *, low ** 2 / (n + {l2}) + (s - low) ** 2 / (c - n + {l2}) - s ** 2 / (c + {l2}) AS gain
+        FROM {name}_sums_{level} WHERE n > 0 AND n < c)
+  WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY ROUND(LN(gain), 9) DESC, f, cut) = 1),
+{name}_{level + 1} AS (
+  SELECT r.target_month, r.fit, r.y, CASE WHEN cut IS NULL THEN node WHEN v <= cut THEN 2 * node ELSE 2 * node + 1 END AS node
+  FROM {name}_{level} r LEFT JOIN {name}_best_{level} b USING (node)
+  LEFT JOIN {name}_long l ON l.target_month = r.target_month AND l.f = b.f)""")
+    parts.append(f"""
+{name} AS (
+  SELECT target_month, value FROM {name}_{depth} JOIN
+  (SELECT node, SUM(y) / (COUNT(*) + {l2}) AS value FROM {name}_{depth} WHERE fit GROUP BY node) USING (node))""")
+    return ",".join(parts)
+
+
+def _penalised(rounds: int, depth: int, rate: float, l2: int) -> str:
+    """From the mean on, each tree fits what is left, and counts by the rate."""
+    parts = ["\nsum_0 AS (SELECT target_month, (SELECT AVG(y) FROM months) AS p FROM months)"]
+    for n in range(1, rounds + 1):
+        parts.append(f"\nleft_{n} AS (SELECT m.* REPLACE (y - p AS y) FROM months m JOIN sum_{n - 1} USING (target_month))")
+        parts.append(_penalised_tree(f"tree_{n}", f"left_{n}", depth, l2))
+        parts.append(
+            f"\nsum_{n} AS (SELECT target_month, p + {rate} * value AS p FROM sum_{n - 1} JOIN tree_{n} USING (target_month))"
+        )
+    return (
+        f"{_RELATIONS},{_MONTHS},{','.join(parts)}\n"
+        f"SELECT target_month, {_round('p', 2)} AS prediction, TRUE AS same FROM sum_{rounds}"
+    )
+
+
 _TRAINED = f"""{_RELATIONS},{_folds('training', 1, 3, 'split')},
 months AS (
   SELECT target_month, target_month < test_start AS fit, target_sales AS y, {", ".join(_FEATURES)} FROM training, split),
@@ -511,8 +556,9 @@ SELECT *, TRUE AS {flag} FROM tested"""
             for name, flag in (("rf_holdout_rows", "in_range"), ("gbt_holdout_rows", "forecast_present"))
         },
         "feature_set_folds": f"{_RELATIONS},{_folds('training', 5, 3, 'fold')}\n"
-        "SELECT 'rf' AS model, s.feature_set, s.feature_count, fold.*, TRUE AS metrics_present, TRUE AS wins_add_up "
-        "FROM fold, (VALUES ('five_features', 5), ('six_features', 6)) s(feature_set, feature_count)",
+        "SELECT m.model, s.feature_set, s.feature_count, fold.*, TRUE AS metrics_present, TRUE AS wins_add_up "
+        "FROM fold, (VALUES ('rf'), ('hist')) m(model), (VALUES ('five_features', 5), ('six_features', 6)) s(feature_set, feature_count)",
+        "penalised_boosting": _penalised(rounds=4, depth=2, rate=0.05, l2=1),
         "trained_tree_report": _trained_report(),
         "trained_tree_predictions": f"{_TRAINED},{_MONTHS.replace('months AS', 'all_months AS')},{_tree('final', 'all_months', 2, 2)}\n"
         f"SELECT f.target_month, {_round('f.value', 4)} AS prediction, t.y AS \"Actual\", "

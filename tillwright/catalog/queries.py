@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillwright.contract import FEATURES, PREDICTION_COLUMNS
 from tillwright.functions.money import exact_sum, partial_sum, rounded
-from tillwright.operators import dashboards, evaluation, features, marts, models, node_table, quality, series
+from tillwright.operators import boosting, dashboards, evaluation, features, marts, models, node_table, quality, series
 from tillwright.plans import backtest, training, warehouse
 from tillwright.plans.forecasting import forecast_and_log
 from tillwright.session import tune, work_path, written
@@ -422,9 +422,10 @@ def gbt_holdout_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def feature_set_folds(spark: SparkSession, folder: str) -> DataFrame:
-    """Fold results of the forest with either feature set, written as CSV and read back, and whether wins add up."""
+    """Fold results of the forest and of boosting with an L2 term, with either feature set, written as CSV and read back,
+    and whether wins add up."""
     rows, _ = _training_rows(spark, folder)
-    done = backtest.compare_feature_sets(rows, {"rf": {}})
+    done = backtest.compare_feature_sets(rows, {"rf": {}, backtest.BOOSTED: {}})
     out = work_path(spark, "comparison")
     done.write(out)
     folds = spark.read.schema(done.results.schema).option("header", True).csv(f"{out}/feature_set_comparison_results")
@@ -482,6 +483,23 @@ def boosted_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _scored_months(rows, monthly, nodes)
 
 
+@_query
+def penalised_boosting(spark: SparkSession, folder: str) -> DataFrame:
+    """Boosting with an L2 term, all rows and features drawn: predictions of all training months and of the next one.
+
+    They come from the nodes; `same` tells whether the booster itself gave the same double."""
+    rows, monthly = _training_rows(spark, folder)
+    months = rows.unionByName(features.next_month_features(monthly), allowMissingColumns=True)
+    x = F.array(*(F.col(f).cast("double") for f in FEATURES)).alias("x")
+    jobs = months.select(F.lit("all").alias("model"), F.col("target_month").alias("row_id"), F.col("target_sales").alias("y"), x)
+    done = boosting.boost(jobs, boosting.Settings(rounds=4, depth=2, row_share=1.0, column_share=1.0))
+    own = done.predictions.select(F.col("row_id").cast("date").alias("target_month"), F.col("prediction").alias("own"))
+    scored = node_table.score(months, written(boosting.model_nodes(done, "all", FEATURES), "nodes")).join(own, "target_month")
+    return scored.select(
+        "target_month", rounded(F.col("prediction"), 2).alias("prediction"), (F.col("prediction") == F.col("own")).alias("same")
+    )
+
+
 def _scored_months(rows: DataFrame, monthly: DataFrame, nodes: DataFrame) -> DataFrame:
     months = rows.drop("target_sales").unionByName(features.next_month_features(monthly))
     return node_table.score(months, nodes).select("target_month", rounded(F.col("prediction"), 4).alias("prediction"))
