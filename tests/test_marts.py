@@ -8,7 +8,7 @@ from tests.helpers import dicts, raw_line
 from tillwright.contract import RAW_SCHEMA
 from tillwright.functions.money import partial_sum
 from tillwright.operators import dashboards, marts
-from tillwright.operators.ranking import rank_within, share_within
+from tillwright.operators.ranking import rank_within, ranged_values, share_within
 from tillwright.sources.orders import stage
 
 
@@ -123,6 +123,22 @@ def test_rank_matches_a_window_on_hot_groups_ties_and_nulls(spark):
     assert shares.count() == 3000
 
 
+def test_values_close_together_are_ranked_by_many_tasks(spark):
+    """A million values within 0.1 %, and as many rows of ties and of a second group with values far apart."""
+    close = spark.range(1_000_000).selectExpr("id", "'close' AS g", "1000D + id / 1000000D AS v")
+    tied = spark.range(1_000_000).selectExpr("id", "'tied' AS g", "double(id % 3) AS v")
+    frame = close.unionByName(tied).unionByName(spark.range(1000).selectExpr("id", "'far' AS g", "exp(id / 50D) AS v"))
+    ranges = ranged_values(frame, "g", "v").groupBy("g", "_range").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    own = sorted((r["_range"], r["n"], r["low"], r["high"]) for r in ranges.where("g = 'close'").collect())
+    assert len(own) >= 128 and max(n for _, n, _, _ in own) < 1.1 * 1_000_000 / 128
+    assert all(a[3] < b[2] for a, b in zip(own, own[1:]))
+    ranked = rank_within(frame, "g", "v", "r")
+    want = F.when(F.col("g") == "close", 1_000_000 - F.col("id")).when(F.col("g") == "far", 1000 - F.col("id")).otherwise(
+        F.when(F.col("v") == 2, 1).when(F.col("v") == 1, 333_334).otherwise(666_667)
+    )
+    assert ranked.agg(F.count("*"), F.count_if(F.col("r") == want)).first()[:] == (2_001_000, 2_001_000)
+
+
 def test_repeated_product_id_keeps_its_rows(spark):
     raw = [raw_line("1"), raw_line("2", **{"Product Name": "Other"})]
     lines = stage(spark.createDataFrame(raw, RAW_SCHEMA))
