@@ -3,26 +3,24 @@
 Generators propose spans, which may overlap: the four base patterns (also where their checks fail) and wider ones
 for numbers and addresses written out. Base matches that pass their checks (digit counts, Luhn, parts up to 255) are
 always selected. The others are told apart by gradient boosted trees over the format and the surroundings, fitted on
-a bounded sample (`sample`) of labelled candidates. Labels come from evidence that the trees do not see: passed and
-failed checks, words before the span that name its kind (`tel`, `mail`) or another one (`order`, `version`), dates and
+all labelled candidates but those held back (`_steps`: no cut is drawn from a sample either). Labels come from
+evidence that the trees do not see: passed and failed checks, words before the span that name its kind (`tel`, `mail`) or another one (`order`, `version`), dates and
 numbers of digits. An address written out is looked at as the address that it spells, so it is scored like one.
-The threshold of each kind is calibrated on labelled candidates that were held back: the lowest score at which, by
-isotonic regression, at least `precision` of them are positive. Candidates of the wider generators at or above it are
+The threshold of each kind is calibrated on all labelled candidates that were held back, three in ten: the lowest
+score at which, by isotonic regression, at least `precision` of them are positive. Candidates of the wider generators at or above it are
 added where no evidence speaks against them and they overlap neither a base span nor an earlier added one.
 
 Everything is DataFrame code and Spark's own trees; positions are code points, the end exclusive.
 
 Defined results: each row is a document, also where ids are null or rows repeat; null and empty texts have no spans.
-Where the sample lacks positives or negatives, no model is fitted and only base spans are returned; a kind without
-labelled candidates gets no spans but its base ones. Extra
-columns are not read.
+Where the labelled candidates lack positives or negatives, no model is fitted and only base spans are returned; a kind
+without labelled candidates gets no spans but its base ones. Extra columns are not read.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +28,7 @@ from pyspark.sql import functions as F
 from tillwright.session import written
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE, PRECISION, CONTEXT = 10_000, 0.98, 24
+PRECISION, CONTEXT = 0.98, 24
 
 # The base patterns. Possessive repeats find the same matches without trying again inside a run of characters.
 # An address can only begin where a run of its characters begins, or where the last match ended (\G).
@@ -175,6 +173,27 @@ def _features(value: Column, before: Column, after: Column) -> dict[str, Column]
     }
 
 
+# Counts are told apart at these values, flags at the first.
+_CUTS = (*range(1, 17), 18, 20, 24, 28, 32, 40, 48, 64)
+_FLAGS = ("plus", "zero", "at", "glued_before", "glued_after", "quoted", "words_before")
+
+
+def _steps(x: Column) -> Column:
+    """The trees' features: for each number of `x` and each cut whether it is reached; the flags come last.
+
+    They are declared binary, as Spark would look for the cuts of numbers in a sample of the rows.
+    """
+    cuts = F.array(*[F.lit(float(c)) for c in _CUTS])
+    reached = F.flatten(F.transform(F.slice(x, 1, F.size(x) - len(_FLAGS)), lambda n: F.transform(cuts, lambda c: (n >= c).cast("double"))))
+    return array_to_vector(F.concat(reached, F.slice(x, -len(_FLAGS), len(_FLAGS))))
+
+
+def _with_steps(frame: DataFrame, numbers: int) -> DataFrame:
+    count = (numbers - len(_FLAGS)) * len(_CUTS) + len(_FLAGS)
+    binary = {"ml_attr": {"attrs": {"binary": [{"idx": i} for i in range(count)]}, "num_attrs": count}}
+    return frame.withColumn("features", _steps(F.col("x"))).withMetadata("features", binary)
+
+
 def _spelled(generator: Column, value: Column) -> Column:
     """What a value stands for: an address written out as the address."""
     plain = value
@@ -206,28 +225,30 @@ def _labelled(spans: DataFrame) -> DataFrame:
     return spans.withColumn("label", label)
 
 
-def _fit(assembled: DataFrame, sample: int, precision: float) -> tuple[GBTClassificationModel, dict[str, float]] | None:
-    """Trees, and thresholds by kind, from at most some `sample` labelled candidates, three in ten of them held back."""
+def _fit(assembled: DataFrame, numbers: int, precision: float) -> tuple[GBTClassificationModel, dict[str, float]] | None:
+    """Trees, and thresholds by kind, from all labelled candidates, three in ten of them held back.
+
+    Candidates of the same features, kind and label are one row with their number as its weight.
+    """
     known = assembled.where("label IS NOT NULL")
-    total = known.count()
-    if not total:
-        return None
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(3), "row", "start", "end", "generator"), 11) / F.lit(float(1 << 53))
-    sampled = known.select("features", "label", "kind", drawn.alias("drawn"))
-    sampled = written(sampled.where(F.col("drawn") < min(1.0, sample / total)), "sample")
-    cut = 0.7 * min(1.0, sample / total)
-    fitting, held = sampled.where(F.col("drawn") < cut), sampled.where(F.col("drawn") >= cut)
+    folded = known.groupBy("x", "label", "kind", (drawn >= 0.7).alias("held"))
+    folded = _with_steps(written(folded.agg(F.count("*").cast("double").alias("weight")), "labelled"), numbers)
+    fitting, held = folded.where("NOT held"), folded.where("held")
     if {r["label"] for r in fitting.select("label").distinct().collect()} != {0.0, 1.0}:
         return None
-    model = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=1, maxBins=32).fit(fitting.coalesce(4))
-    scored = written(model.transform(held).select(vector_to_array("probability")[1].alias("p"), "label", "kind"), "held-back")
+    model = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=1, weightCol="weight").fit(fitting.select("features", "label", "weight"))
+    scored = model.transform(held).select(vector_to_array("probability")[1].alias("p"), "label", "kind", "weight")
+    # One row per score, with its share of positives.
+    shares = (F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).alias("label")
+    scored = written(scored.groupBy("kind", "p").agg(shares, F.sum("weight").alias("weight")), "held-back")
     thresholds = {}
     for kind in sorted({WIDER[generator][0] for generator in SCORED}):
         own = scored.where(F.col("kind") == kind)
         if own.isEmpty():
             continue
         # Shares of positives by score, made monotone: the probability at a score, not of all above it.
-        calibrated = IsotonicRegression(featuresCol="p", labelCol="label").fit(own)
+        calibrated = IsotonicRegression(featuresCol="p", labelCol="label", weightCol="weight").fit(own)
         shares = zip(calibrated.boundaries.toArray().tolist(), calibrated.predictions.toArray().tolist())
         found = [p for p, share in shares if share >= precision]
         if found:
@@ -239,7 +260,6 @@ def personal_data(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    sample: int = SAMPLE,
     precision: float = PRECISION,
 ) -> DataFrame:
     """Per row of `docs`: `id` and `spans`, an array of `start`, `order` (place of the kind in `KINDS`), `kind`, `end`
@@ -247,14 +267,14 @@ def personal_data(
     rows, spans = candidates(docs, doc_id, text)
     spans = _labelled(spans)
     features = _features(_spelled(F.col("generator"), F.col("value")), F.col("before"), F.col("after"))
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    spans = written(assembler.transform(spans.withColumns(features)).drop(*features, "before", "after", "value"), "scorable")
+    numbers = F.array(*[features[name] for name in features if name not in _FLAGS], *[features[name] for name in _FLAGS])
+    spans = written(spans.withColumn("x", numbers).drop("before", "after", "value"), "scorable")
     selected = spans.where("base")
-    if fitted := _fit(spans, sample, precision):
+    if fitted := _fit(spans, len(features), precision):
         model, thresholds = fitted
         open_ones = spans.where(F.col("generator").isin(SCORED) & ~F.col("overlaps") & F.coalesce(F.col("label") > 0, F.lit(True)))
         least = F.create_map(*[F.lit(x) for pair in thresholds.items() for x in pair])[F.col("kind")]
-        scored = model.transform(open_ones).where(vector_to_array("probability")[1] >= least).select(*selected.columns)
+        scored = model.transform(_with_steps(open_ones, len(features))).where(vector_to_array("probability")[1] >= least).select(*selected.columns)
         # Of overlapping candidates the first stays, of those that begin together the longest.
         earlier = Window.partitionBy("row").orderBy("start", F.desc("end"), "generator").rowsBetween(Window.unboundedPreceding, -1)
         scored = scored.withColumn("reach", F.max("end").over(earlier))
