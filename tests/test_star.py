@@ -120,3 +120,27 @@ def test_profit_needs_whole_hundredths(spark):
     frame = spark.createDataFrame([(10.255, 0.05)], "l_extendedprice double, l_discount double")
     with pytest.raises(Exception, match="2 decimals"):
         frame.select(line_profit().alias("p")).collect()
+
+
+def test_lines_are_moved_by_product_and_order_only(spark, folder):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = order_lines(spark, folder)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+    def depth(line):
+        return next(i for i, c in enumerate(line) if c.isalpha())
+
+    at = next(i for i, line in enumerate(plan) if "FileScan" in line and "l_extendedprice" in line)
+    above, deepest = [], depth(plan[at])
+    for line in reversed(plan[:at]):
+        if line.strip() and depth(line) < deepest:
+            deepest = depth(line)
+            above.append(line)
+    moves = [line for line in above if "Exchange hashpartitioning" in line]
+    assert len(moves) == 2 and "Product ID" in moves[0] and "Order ID" in moves[1]
+    # The texts of key and sub-category, and the profit, are made above the last move.
+    below = above[: next(i for i, line in enumerate(above) if line is moves[-1])]
+    assert not any(f"AS {name}#" in line for line in below for name in ("Row ID", "Sub-Category", "Profit"))

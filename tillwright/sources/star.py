@@ -98,55 +98,70 @@ def customers(spark: SparkSession, folder: str, wanted: set[str]) -> DataFrame:
     return frame.drop("n_nationkey", "n_regionkey", "n_name")
 
 
+def _sub_category() -> Column:
+    return F.concat(F.col("p_type"), F.lit(" / "), F.col("p_brand"))
+
+
 def products(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.col("p_partkey").alias("Product ID"),
         F.col("p_type").alias("Category"),
-        F.concat(F.col("p_type"), F.lit(" / "), F.col("p_brand")).alias("Sub-Category"),
+        _sub_category().alias("Sub-Category"),
         F.col("p_name").alias("Product Name"),
     )
 
 
-def _with_dimensions(spark: SparkSession, folder: str, lines: DataFrame, wanted: set[str]) -> DataFrame:
-    """Joins in an order that saves shuffles. Customers come last, which leaves the rows spread by
-    customer for the distinct customer counts. Products come first where orders are counted, which
-    leaves the rows spread by order, and otherwise late, so that names are not shuffled with the lines.
-    """
-    count_orders = "Order ID" in wanted
-    if wanted & _PART and count_orders:
-        lines = lines.join(products(spark, folder), "Product ID", "left")
-    orders = table(spark, folder, "orders").filter(F.col("o_orderdate").isNotNull()).select(
+def _dated_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").filter(F.col("o_orderdate").isNotNull()).select(
         F.col("o_orderkey").alias("Order ID"),
         F.col("o_orderdate").cast("date").alias("Order Date"),
         F.col("o_orderpriority").alias("Ship Mode"),
         F.col("o_custkey").alias("Customer ID"),
     )
-    # A line without a dated order would not pass staging, so this join may be an inner one.
-    frame = lines.join(orders, "Order ID")
-    if wanted & _PART and not count_orders:
-        frame = frame.join(products(spark, folder), "Product ID", "left")
-    if wanted & (_CUSTOMER | _NATION | _REGION):
-        frame = frame.join(customers(spark, folder, wanted), "Customer ID", "left")
-    return frame
 
 
 def raw_order_lines(spark: SparkSession, folder: str, columns: Iterable[str] = tuple(STAGED_NAMES)) -> DataFrame:
-    """The raw order-line columns asked for, one row per line."""
+    """The raw order-line columns asked for, one row per line.
+
+    Lines are moved at most twice, by product and by order, and in a slim form: orders meet their customers before
+    they meet the lines, the line key travels as its 16 bytes, and what follows from other columns (profit,
+    sub-category, its text) is made above the joins. Where orders are counted the rows stay spread by order.
+    """
     wanted = {*columns, "Order Date", "Sales"}
     lines = table(spark, folder, "lineitem").select(
-        line_key().alias("Row ID"),
+        F.unhex(line_key()).alias("_key"),
         F.col("l_orderkey").alias("Order ID"),
         F.col("l_shipdate").cast("date").alias("Ship Date"),
-        F.lit(None).cast("string").alias("City"),
-        F.lit(None).cast("string").alias("Postal Code"),
         F.col("l_partkey").alias("Product ID"),
-        F.col("l_extendedprice").alias("Sales"),
-        F.col("l_quantity").alias("Quantity"),
-        F.col("l_discount").alias("Discount"),
-        line_profit().alias("Profit"),
+        "l_extendedprice",
+        "l_quantity",
+        "l_discount",
     )
-    frame = _with_dimensions(spark, folder, lines, wanted)
-    return frame.select(*(F.col(f"`{name}`") for name in STAGED_NAMES if name in wanted))
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("Product ID"), "p_type", "p_brand", "p_name")
+    orders = _dated_orders(spark, folder)
+    if wanted & (_CUSTOMER | _NATION | _REGION):
+        orders = orders.join(customers(spark, folder, wanted), "Customer ID", "left")
+    # Products come first where orders are counted, and otherwise late, so that names are not moved with the lines.
+    count_orders = "Order ID" in wanted
+    if wanted & _PART and count_orders:
+        lines = lines.join(parts, "Product ID", "left")
+    # A line without a dated order would not pass staging, so this join may be an inner one.
+    frame = lines.join(orders, "Order ID")
+    if wanted & _PART and not count_orders:
+        frame = frame.join(parts, "Product ID", "left")
+    made = {
+        "Row ID": F.lower(F.hex("_key")),
+        "City": F.lit(None).cast("string"),
+        "Postal Code": F.lit(None).cast("string"),
+        "Category": F.col("p_type"),
+        "Sub-Category": _sub_category(),
+        "Product Name": F.col("p_name"),
+        "Sales": F.col("l_extendedprice"),
+        "Quantity": F.col("l_quantity"),
+        "Discount": F.col("l_discount"),
+        "Profit": line_profit(),
+    }
+    return frame.select(*(made.get(name, F.col(f"`{name}`")).alias(name) for name in STAGED_NAMES if name in wanted))
 
 
 def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -171,7 +186,10 @@ def order_totals(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     sums = lines.groupBy("Order ID").agg(
         partial_sum(lines, "sales").alias("sales"), partial_sum(lines, "profit").alias("profit")
     )
-    frame = _with_dimensions(spark, folder, sums, wanted)
+    frame = sums.join(_dated_orders(spark, folder), "Order ID")
+    # Customers come last, which leaves the orders spread by customer for the distinct customer counts.
+    if wanted & (_CUSTOMER | _NATION | _REGION):
+        frame = frame.join(customers(spark, folder, wanted), "Customer ID", "left")
     return frame.select(*(F.col(f"`{_RAW_NAMES[c]}`").alias(c) for c in columns), "sales", "profit")
 
 
