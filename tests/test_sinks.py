@@ -119,3 +119,13 @@ def test_logs_without_reservations_go_on_and_failed_writes_leave_no_rows(spark,
     forecast_log.append_forecasts(forecasts(spark, tmp_path, "none", 0), path, ["s"])
     forecast_log.append_forecasts(forecasts(spark, tmp_path, "next", 2), path, ["s"])
     assert [(r["id"], r["model"]) for r in logged(spark, path)] == [(41, "rf"), (44, "next"), (45, "next")]
+
+
+def test_compressed_csv_reads_back_the_same(spark, tmp_path):
+    frame = spark.range(5000).selectExpr("id", "concat('order ', id % 7, ', \"x\"') AS text", "nullif(id % 3, 1) AS few")
+    for name, codec in (("plain", []), ("small", ["gzip"])):
+        tables.as_csv(frame, str(tmp_path / name), *codec)
+    size = {n: sum(f.stat().st_size for f in (tmp_path / n).glob("part-*")) for n in ("plain", "small")}
+    assert size["small"] * 3 < size["plain"]
+    read = spark.read.schema(frame.schema).option("header", True).option("enforceSchema", False).csv(str(tmp_path / "small"))
+    assert sorted(read.collect()) == sorted(frame.collect())

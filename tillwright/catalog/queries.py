@@ -590,7 +590,7 @@ def adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def csv_order_lines(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "raw")
-    as_csv(raw_order_lines(spark, folder).withColumn("Quantity", F.col("Quantity").cast("bigint")), path)
+    as_csv(raw_order_lines(spark, folder).withColumn("Quantity", F.col("Quantity").cast("bigint")), path, "gzip")
     return stage(read_raw_orders(spark, path, "csv"))
 
 
@@ -604,7 +604,7 @@ def _coerced_orders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
         "Quantity": F.when(product % 40 == 3, F.concat(quantity, F.lit(" pcs"))).otherwise(quantity),
         "Sales": F.when(customer % 60 == 5, F.lit("n/a")).otherwise(sales),
     }
-    as_csv(lines.withColumns(dirty), path)
+    as_csv(lines.withColumns(dirty), path, "gzip")
     return read_coerced_orders(spark, path)
 
 

@@ -74,8 +74,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{version}")
 
 
-def as_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").option("header", True).csv(path)
+def as_csv(frame: DataFrame, path: str, compression: str = "none") -> None:
+    """CSV files with a header, one per partition. Compressed ones (`gzip`) are each read by one task."""
+    frame.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
 
 
 def as_json(frame: DataFrame, path: str) -> None:
