@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,8 +18,11 @@ _RUNTIME = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
-# Stored input per shuffle partition. Jobs here shuffle a few pruned columns, some tenth of it.
-_INPUT_PER_PARTITION = 4 << 30
+# Stored input per shuffle partition, up to so many partitions; beyond them, a larger share of input for each.
+_INPUT_PER_PARTITION, _MOST_PARTITIONS, _LARGE_INPUT_PER_PARTITION = 16 << 20, 10_000, 4 << 30
+# Shuffled bytes that adaptive execution merges into one task. Sums by product and order take some thirty times their
+# shuffled size in a task's hash tables.
+_MERGED = 16 << 20
 
 
 def local_session(cores: int | str = "*", app: str = "tillwright") -> SparkSession:
@@ -35,18 +39,30 @@ def local_session(cores: int | str = "*", app: str = "tillwright") -> SparkSessi
     )
 
 
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def _byte_size(text: str) -> int:
+    """A size setting such as `64MB`, `8m` or `1024` in bytes."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", text.strip().lower()).groups()
+    return int(number) << 10 * (" kmgtp".index(unit) if unit else 0)
+
+
 def tune(spark: SparkSession, *inputs: str) -> SparkSession:
     """Adaptive settings for the given session, with enough shuffle partitions for the input paths.
 
     Adaptive execution merges small partitions but never cuts large ones, so the first number has to
-    grow with the input. It never falls below the session's own number.
+    grow with the input. It never falls below the session's own number, and merged partitions stay small.
     """
     for key, value in _RUNTIME.items():
         spark.conf.set(key, value)
     if inputs:
         own = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        needed = -(-sum(stored_bytes(spark, path) for path in inputs) // _INPUT_PER_PARTITION)
+        stored = sum(stored_bytes(spark, path) for path in inputs)
+        needed = max(min(-(-stored // _INPUT_PER_PARTITION), _MOST_PARTITIONS), -(-stored // _LARGE_INPUT_PER_PARTITION))
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(own, needed)))
+        merged = min(_byte_size(spark.conf.get(_ADVISORY)), _MERGED)
+        spark.conf.set(_ADVISORY, f"{merged}b")
     return spark
 
 
