@@ -12,7 +12,7 @@ from tillwright.operators import models
 from tillwright.operators.features import forecast_training, next_month_features
 from tillwright.plans import backtest, training as train_plan, warehouse
 from tillwright.plans.forecasting import forecast_and_log
-from tillwright.session import written
+from tillwright.session import work_path, written
 from tillwright.sinks.forecast_log import LOG_SCHEMA, latest_forecasts, numbered
 from tillwright.sinks.tables import as_table, read_table
 from tillwright.sources import marts as mart_reads
@@ -48,6 +48,20 @@ def test_same_seed_same_model(panel, name, settings):
     assert first == second
 
 
+def test_boosting_cuts_its_lineage_within_a_few_rounds(spark, panel):
+    """Tasks carry all trees since the last checkpoint, which shows as a job of its own and changes no prediction."""
+    work_path(spark, "checkpoints")  # sets the checkpoint folder of a local session
+    few, jobs, found = {"maxIter": 12, "maxDepth": 2}, {}, {}
+    for name, settings in {"default": few, "never": {**few, "checkpointInterval": -1}}.items():
+        spark.sparkContext.setJobGroup(f"boosting {name}", name)
+        model = models.fit("gbt", panel, **settings)
+        jobs[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosting {name}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        found[name] = dicts(models.predict(model, panel).orderBy("s", "target_month"))
+    assert jobs["default"] > jobs["never"]
+    assert found["default"] == found["never"]
+
+
 def test_saved_model_keeps_its_contract(panel, tmp_path):
     model = models.fit("rf", panel, **TREES)
     for _ in "12":  # the second save replaces the first

@@ -18,8 +18,9 @@ RANDOM_FOREST = {"numTrees": 600, "maxDepth": 12, "minInstancesPerNode": 2, "see
 BOOSTED_TREES = {"maxIter": 600, "maxDepth": 8, "stepSize": 0.05, "subsamplingRate": 0.9, "seed": 42}
 
 # More bins than training months of one series: every value can be a split. The memory lets one pass over the rows
-# serve all nodes of a level. Keeping node ids between levels made fits of a monthly series a third slower.
-_FIT = {"maxBins": 256, "maxMemoryInMB": 1024, "checkpointInterval": 50}
+# serve all nodes of a level. Keeping node ids between levels made fits of a monthly series a third slower. Until the
+# next checkpoint every job of a boosted fit carries the trees since the last one in its tasks, so that comes soon.
+_FIT = {"maxBins": 256, "maxMemoryInMB": 1024, "checkpointInterval": 10}
 
 _ESTIMATORS = {
     "rf": (RandomForestRegressor, {"featureSubsetStrategy": "all", **_FIT, **RANDOM_FOREST}),
