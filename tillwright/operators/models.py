@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwright.contract import FEATURES
 from tillwright.operators.quality import validate_feature_names
+from tillwright.operators.task_boosting import fit_in_task
 
 # The tree settings. A leaf of two rows also implies splits of four or more.
 RANDOM_FOREST = {"numTrees": 600, "maxDepth": 12, "minInstancesPerNode": 2, "seed": 42}
@@ -44,8 +45,14 @@ def feature_names(model: PipelineModel) -> tuple[str, ...]:
 
 
 def fit(name: str, training: DataFrame, features: Sequence[str] = FEATURES, **settings) -> PipelineModel:
-    """Fit on the training rows. Read them from a written table, so that a repeat gives the same model."""
-    model = create_model(name, features, **settings).fit(training.select("target_sales", *features))
+    """Fit on the training rows. Read them from a written table, so that a repeat gives the same model.
+
+    A boosted model of few rows is grown in one task, with the trees that Spark's own jobs per level would give.
+    """
+    pipeline, rows = create_model(name, features, **settings), training.select("target_sales", *features)
+    assembler, trees = pipeline.getStages()
+    grown = fit_in_task(trees, rows, features) if name == "gbt" else None
+    model = pipeline.fit(rows) if grown is None else PipelineModel([assembler, grown])
     validate_feature_names(feature_names(model), features)
     return model
 
